@@ -37,29 +37,41 @@ END_ID, MIN_IDS, MEAN_IDS, MAX_IDS, WINDOW = 1, 128, 1024, 8192, 16
 _GEAR = np.random.default_rng(8).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
 
 
-def cut_points(ids: np.ndarray, least: int = MIN_IDS, mean: int = MEAN_IDS, most: int = MAX_IDS) -> list[int]:
-    """Chunk ends, the last being len(ids). mean is a power of two."""
-    h = _GEAR[ids & 0xFFFF] ^ (ids >> 16).astype(np.uint32)
-    step = 1
-    while step < WINDOW:  # h[i]: sum of the last 2*step gears, each shifted by its distance
+def rolling(ids: np.ndarray) -> np.ndarray:
+    """h[i]: the gears of the last WINDOW ids up to i, each shifted by its distance and summed."""
+    h, step = _GEAR[ids & 0xFFFF] ^ (ids >> 16).astype(np.uint32), 1
+    while step < WINDOW:
         shifted = np.zeros_like(h)
         shifted[step:] = h[:-step] << np.uint32(step)
-        h = h + shifted
-        step *= 2
-    ends, begin = [], 0
-    for at in (np.flatnonzero((h >> np.uint32(16)) & np.uint32(mean - 1) == 0) + 1).tolist():
-        while at - begin > most:
+        h, step = h + shifted, 2 * step
+    return h
+
+
+def cut_points(sizes: list[int], ids: np.ndarray, least: int = MIN_IDS, mean: int = MEAN_IDS, most: int = MAX_IDS) -> list[list[int]]:
+    """Chunk ends of each document; ids are those of all documents, end to end. mean is a power of two.
+
+    No cut is nearer than `least` >= WINDOW to a document's start, so that what stands
+    before a document never decides a cut.
+    """
+    marks = np.flatnonzero((rolling(ids) >> np.uint32(16)) & np.uint32(mean - 1) == 0) + 1
+    out, start = [], 0
+    for size, lo, hi in zip(sizes, *np.searchsorted(marks, [np.cumsum([0, *sizes[:-1]]), np.cumsum(sizes)]).tolist(), strict=True):
+        ends, begin = [], 0
+        for at in (marks[lo:hi] - start).tolist():
+            while at - begin > most:
+                begin += most
+                ends.append(begin)
+            if at - begin >= least and at < size:
+                ends.append(at)
+                begin = at
+        while size - begin > most:
             begin += most
             ends.append(begin)
-        if at - begin >= least:
-            ends.append(at)
-            begin = at
-    while len(ids) - begin > most:
-        begin += most
-        ends.append(begin)
-    if begin < len(ids):
-        ends.append(len(ids))
-    return ends
+        if begin < size:
+            ends.append(size)
+        out.append(ends)
+        start += size
+    return out
 
 
 def digest_of(payload: bytes) -> bytes:
@@ -110,21 +122,19 @@ def crc32_join(a: int, b: int, b_bytes: int) -> int:
 
 
 def _chunk(batches: Iterator[pa.RecordBatch], path: str, end_id: int, wide: bool) -> Iterator[pa.RecordBatch]:
-    encoder, end, kind = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), pa.struct([("digest", pa.binary()), ("n_ids", pa.int32()), ("payload", pa.binary())])
+    encoder, end, width = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), 4 if wide else 2
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            docs = []
-            for data in encoder.encode_all(batch.column(1).slice(at, 1024).cast(pa.binary()).to_pylist()):
-                ids = np.frombuffer(data + end, "<u4")
-                raw = (ids if wide else ids.astype("<u2")).tobytes()
-                width, begin, chunks = 4 if wide else 2, 0, []
-                for stop in cut_points(ids):
-                    payload = raw[begin * width : stop * width]
-                    chunks.append({"digest": digest_of(payload), "n_ids": stop - begin, "payload": payload})
-                    begin = stop
-                docs.append(chunks)
-            ids = batch.column(0).slice(at, 1024)
-            yield pa.RecordBatch.from_arrays([ids, pa.array([sum(c["n_ids"] for c in x) for x in docs], pa.int64()), pa.array(docs, pa.list_(kind))], names=["doc_id", "n_tokens", "chunks"])
+        for at in range(0, batch.num_rows, 512):
+            texts = [data + end for data in encoder.encode_all(batch.column(1).slice(at, 512).cast(pa.binary()).to_pylist())]
+            sizes, ids = [len(t) // 4 for t in texts], np.frombuffer(b"".join(texts), "<u4")
+            raw, start, payloads, counts, begins = (ids if wide else ids.astype("<u2")).tobytes(), 0, [], [], [0]
+            for size, ends in zip(sizes, cut_points(sizes, ids), strict=True):
+                payloads += [raw[(start + a) * width : (start + b) * width] for a, b in zip([0, *ends], ends, strict=False)]
+                counts += [b - a for a, b in zip([0, *ends], ends, strict=False)]
+                begins.append(len(payloads))
+                start += size
+            chunks = pa.StructArray.from_arrays([pa.array(map(digest_of, payloads), pa.binary()), pa.array(counts, pa.int32()), pa.array(payloads, pa.binary())], names=["digest", "n_ids", "payload"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), chunks)], names=["doc_id", "n_tokens", "chunks"])
 
 
 def _crcs(payloads: pd.Series, wide: bool) -> pd.Series:

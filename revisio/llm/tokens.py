@@ -11,15 +11,15 @@ import functools
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 SLICE_BYTES = 1 << 21
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: A lower-case Latin-1 letter run, then one run of ASCII marks but the apostrophe: two pieces that no rule changes.
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)?")
+_PLAIN = re.compile(r"(?m)^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|([^\n]*))$")
 #: The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {32: 32}
@@ -45,7 +45,8 @@ class WordEncoder:
             bare = json.load(f) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
         self.pieces = Tokenizer.from_str(json.dumps(bare))
         (self.zero,) = self.pieces.encode("0", add_special_tokens=False).ids
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}  # by word
+        self.parts: dict[str, bytes] = {}  # by letter run or run of marks
         self.cache_words = cache_words
 
     def encode(self, text: str | bytes | None) -> bytes:
@@ -80,42 +81,39 @@ class WordEncoder:
         if len(self.cache) > self.cache_words:
             self.cache.clear()
         known = [list(map(self.cache.get, words)) for words in group]
-        lacking = [k for k, ids in enumerate(known) if None in ids]
-        self._fill({w for k in lacking for w, ids in zip(group[k], known[k], strict=True) if ids is None})
-        for k in lacking:
-            known[k] = map(self.cache.__getitem__, group[k])
+        gaps = [[k for k, found in enumerate(ids) if found is None] for ids in known]
+        self._fill({words[k] for words, at in zip(group, gaps, strict=True) for k in at})
+        for words, ids, at in zip(group, known, gaps, strict=True):
+            for k in at:
+                ids[k] = self.cache[words[k]]
         return list(map(b"".join, known))
 
     def _fill(self, missing: set[bytes]) -> None:
-        cache = self.cache
-        plain: dict[bytes, tuple[bytes, bytes]] = {}
-        pieces: set[bytes] = set()
-        other = []
-        for w in missing:
-            if m := _PLAIN.fullmatch(w.decode().lower()):
-                plain[w] = core, tail = m[1].encode(), (m[2] or "").encode()
-                pieces.add(core)
-                pieces.add(tail)
-            else:
-                other.append(w)
-        pieces.discard(b"")
-        self._encode_pieces(sorted((p for p in pieces if p not in cache), key=bytes.isascii))
-        self._encode_words(other)
-        cache[b""] = b""
-        for w, (core, tail) in plain.items():
-            cache[w] = cache[core] + cache[tail]
-
-    def _encode_pieces(self, pieces: list[bytes], per_line: int = 256) -> None:
+        if not missing:
+            return
+        if len(self.parts) > self.cache_words:
+            self.parts.clear()
+        words, parts, cache = list(missing), self.parts, self.cache
+        split = _PLAIN.findall(b"\n".join(words).decode().lower())
+        pieces = {p for core, tail, _ in split for p in (core, tail) if p not in parts}
+        ascii_only = [p for p in pieces if p.isascii() and p]
+        self._encode_pieces(ascii_only, " 0 ".join)
+        others = [p for p in pieces if not p.isascii()]
+        self._encode_pieces(others, lambda line: " 0 ".join(line).encode().decode("latin-1").translate(_BYTE_CHARS))
+        parts[""] = b""
+        cache.update([(w, parts[core] + parts[tail]) for w, (core, tail, _) in zip(words, split, strict=True) if core])
+        self._encode_words([w for w, x in zip(words, split, strict=True) if not x[0]])
+
+    def _encode_pieces(self, pieces: list[str], joined: Callable[[list[str]], str], per_line: int = 256) -> None:
         """Pieces that normaliser and pre-tokenizer leave as they are; `0` stands between them."""
         lines = [pieces[i : i + per_line] for i in range(0, len(pieces), per_line)]
         for at in range(0, len(lines), 16):
             some = lines[at : at + 16]
-            texts = [raw.decode() if raw.isascii() else raw.decode("latin-1").translate(_BYTE_CHARS) for raw in map(b" 0 ".join, some)]
-            for line, e in zip(some, self.pieces.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            for line, e in zip(some, self.pieces.encode_batch_fast(list(map(joined, some)), add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
                 ends = 4 * np.flatnonzero(ids == self.zero)
                 data = ids.tobytes()
-                self.cache.update(zip(line, map(data.__getitem__, map(slice, [0, *(ends + 4).tolist()], [*ends.tolist(), len(data)])), strict=True))
+                self.parts.update(zip(line, map(data.__getitem__, map(slice, [0, *(ends + 4).tolist()], [*ends.tolist(), len(data)])), strict=True))
 
     def _encode_words(self, words: list[bytes], per_line: int = 64) -> None:
         """Any other words, by the offsets that the whole tokenizer gives."""
