@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from revisio.functions import geo, project
 from revisio.operators import aliases, merge, revisions
+from revisio.plans.lineage import Scratch
 from revisio.plans.store import Store, Transaction
 from revisio.schema import FILE_ROW, REVISION_KEY, STAGING_PARSER_VERSION
 
@@ -63,6 +64,7 @@ def projected(store: Store, attempt_id: str, receipt: dict, at: datetime) -> tup
     """(typed rows, processed, rejected) of an attempt, after its contract is checked in one aggregate [K1, K2]."""
     raw = store.read("raw_event_records").where(F.col("attempt_id") == attempt_id)
     rows = project.project(raw.withColumnRenamed("parser_version", "raw_parser_version")).withColumn("projected_at", F.lit(at))
+    rows = Scratch(store.spark, "projected").cut(rows.drop("payload"), "rows")  # the models read the typed rows many times
     lacking = F.greatest(*(F.col(c).isNull() for c in ("window_id", "fetched_at", "payload_hash", "raw_parser_version", *FILE_ROW)), F.coalesce(F.col("stage_file_row_number") < 1, F.lit(True)))
     n, bad, keys, rejected = rows.agg(F.count("*"), F.count_if(lacking), F.count_distinct(*FILE_ROW), F.count_if(F.col("reject_reason").isNotNull())).first()
     if bad or keys != n:
@@ -81,7 +83,7 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime) -> int:
     tx.append("stg_event_revision", merge.insert_only(target, staged, FILE_ROW))
 
     everything = tx.read("stg_event_revision").where("reject_reason IS NULL")
-    canonical = aliases.canonical_ids(everything)
+    canonical = Scratch(staged.sparkSession, "canonical").cut(aliases.canonical_ids(everything), "ids")
     facts, bridges = tx.read("fact_event_revision"), tx.read("bridge_event_site")
     moves = facts.join(canonical, "source_event_id").where("canonical_event_id <> canonical_id").limit(1).count()
     if moves:
@@ -98,7 +100,7 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime) -> int:
     tx.replace("fact_event_revision", merged)
     changed = merged.where("merge_action <> 'kept'").count()
 
-    new = source.select(*REVISION_KEY).join(tx.read("fact_event_revision"), list(REVISION_KEY), "left_semi")
+    new = source.select(*REVISION_KEY, "latitude", "longitude").join(tx.read("fact_event_revision"), list(REVISION_KEY), "left_semi")
     tx.replace("bridge_event_site", merge.upsert(bridges, geo.bridge(new), (*REVISION_KEY, "site_key"), ["epicentral_distance_km", "within_radius"]))
     days = source.select(F.explode(F.array("origin_time", "source_updated_at")).alias("t")).select(F.to_date("t").alias("date_key")).distinct().select("date_key", F.year("date_key").alias("calendar_year"), F.month("date_key").alias("calendar_month"))
     dims = {
