@@ -112,7 +112,9 @@ def train(rows: list[np.ndarray], twins: list[tuple[int, np.ndarray, np.ndarray]
     by accelerated proximal steps. Features of fewer than `least` texts, and those whose
     share in the two classes does not differ by `screen` (chi-square), are left out.
     """
-    rate = float(y.mean()) if len(y) else 0.5
+    if not len(y):
+        return Model(0.0, {})
+    rate = float(y.mean())
     if not 0 < rate < 1:
         return Model(float(np.log((rate + 1e-3) / (1 - rate + 1e-3))), {})
     both = np.unique(np.concatenate(rows), return_counts=True)

@@ -95,8 +95,8 @@ def top_k(table: DataFrame, queries: Column, *, k: int = 20, id_col: str = "vec_
     least = [r.v for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(sample).collect()]
     limits = marks(np.concatenate([np.array(v, float) for v in least]) if least else np.empty(0), cells)
     dealt = lambda n, size: F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n * 5 // (size * 4))))).cast("long")
-    files = scratch.cut(_blocks(vectors, block, dealt(total, block)), "blocks")
-    asks = scratch.cut(_blocks(asked, query_block, dealt(n_queries, query_block)), "queries").select("dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.xxhash64("block").alias("ask"))
+    files = scratch.cut(_blocks(vectors, block, dealt(total, block)), "blocks").withColumn("block", F.xxhash64("dim", "block"))
+    asks = scratch.cut(_blocks(asked, query_block, dealt(n_queries, query_block)), "queries").select("dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.xxhash64("dim", "block").alias("ask"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
