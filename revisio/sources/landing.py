@@ -25,7 +25,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     A file is one task's row: an attempt file holds at most some ten thousand features.
     A line that is no JSON fails the load.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     lines = files.select("file", F.posexplode(F.split("value", "\n")).alias("k", "line")).where("trim(line) <> ''")
     v = F.parse_json("line")
     meta = lambda name, kind="string": F.variant_get(v, f"$.metadata.{name}", kind)
