@@ -18,9 +18,11 @@ Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revisio.plans.lineage import Scratch
+
 #: The template's control strings.
 OPEN, CLOSE, END, BEGIN = "[INST]", "[/INST]", "</s>", "<s>"
 _CONTROL = r"/?s>|/?INST\]"
@@ -49,18 +51,11 @@ def format_conversations(turns: DataFrame, *, conv_col: str = "conv_id", turn_co
 
 def expand(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """One row per assistant turn: id, example (from 0), segment, context_chars, target (escaped), by reference to its prefix."""
-    lengths = F.transform("segments", lambda s: F.length(s["text"]).cast("long"))
-    # running context length, one pass over the segments
-    running = F.aggregate(
-        F.zip_with("segments", lengths, lambda s, n: F.struct(s["text"].alias("text"), s["loss"].alias("loss"), n.alias("n"))),
-        F.struct(F.lit(0).cast("long").alias("chars"), F.lit(0).alias("segment"), F.lit(0).alias("example"), F.array().cast("array<struct<example:int,segment:int,context_chars:bigint,target:string>>").alias("out")),
-        lambda a, s: F.struct(
-            (a["chars"] + s["n"]).alias("chars"), (a["segment"] + 1).alias("segment"), (a["example"] + s["loss"].cast("int")).alias("example"),
-            F.when(s["loss"], F.array_append(a["out"], F.struct(a["example"].alias("example"), a["segment"].alias("segment"), a["chars"].alias("context_chars"), s["text"].alias("target")))).otherwise(a["out"]).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
-    return formatted.select(conv_col, F.explode(running).alias("e")).select(conv_col, "e.*")
+    before = Window.partitionBy(conv_col).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0).cast("long"))
+    segments = formatted.select(conv_col, F.posexplode("segments").alias("segment", "s")).select(conv_col, "segment", "s.text", "s.loss")
+    counted = segments.withColumns({"context_chars": so_far(F.length("text").cast("long")), "example": so_far(F.col("loss").cast("long")).cast("int")})
+    return counted.where("loss").select(conv_col, "example", "segment", "context_chars", F.col("text").alias("target"))
 
 
 def materialise(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -82,13 +77,19 @@ def read_turns(formatted: Column) -> Column:
 
 
 def digests(turns: DataFrame, **columns: str) -> DataFrame:
-    """What the formatted output says when it is read back, one row per conversation."""
-    formatted = format_conversations(turns, **columns)
+    """What the written conversations and examples say when they are read back, one row per conversation.
+
+    Turns come from the formatted strings, the text under the loss mask from the targets of the examples.
+    """
+    scratch, conv = Scratch(turns.sparkSession, "chat"), columns.get("conv_col", "conv_id")
+    formatted = scratch.cut(format_conversations(turns, **columns), "formatted")
+    examples = scratch.cut(expand(formatted, conv), "examples")
+    told = examples.groupBy(F.col(conv).alias("told_by")).agg(F.sort_array(F.collect_list(F.struct("example", "target"))).alias("told"))
     read = F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
-    return formatted.select(
-        "conv_id", read.alias("read"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"), F.size(F.filter("segments", lambda s: s["loss"])).cast("long").alias("n_examples")
+    loss = F.coalesce(F.array_join(F.transform("told", lambda e: unescape(e["target"])), ""), F.lit(""))
+    return formatted.select(conv, "formatted").join(told, F.col(conv).eqNullSafe(F.col("told_by")), "left").select(
+        conv, read.alias("read"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"), F.when(F.col("told").isNull(), 0).otherwise(F.size("told")).cast("long").alias("n_examples")
     ).select(
-        "conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(F.array_join("read", ""), 256).alias("turns_sha256"),
+        conv, F.size("read").cast("long").alias("n_turns"), F.sha2(F.array_join("read", ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"), "formatted_chars", "n_examples",
     )
