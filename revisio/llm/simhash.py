@@ -11,8 +11,8 @@ of near copies costs no pairs once it is linked. Each tree gives a spanning set
 
 Shard trees travel with the shuffle instead of a broadcast: together they are as large as
 the fingerprints of the whole corpus, which has no bound. A key with more fingerprints than
-`tree_size` is split: each part has a tree of its own and meets the others as queries, in
-blocks, so that no task holds more than two parts.
+`tree_size` is split: each pair of parts is a group of its own, where one part's tree meets
+the other part's queries. A task reads its groups in order and holds few at a time.
 
 Defined results. Null text and texts without words: fingerprint zero, linked as any other.
 Fewer words than a shingle: the whole sequence. Exact copies share a fingerprint and are
@@ -195,19 +195,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(lambda it: _fingerprints(it, shingle), f"doc_id {kind}, print bigint")
 
 
+_PAIR = ["key", "low", "high"]
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], least: int = 100_000) -> Iterator[pd.DataFrame]:
+    """Frames of about `least` rows that end where a group ends; rows come in the groups' order."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in batches:
+        held.append(frame)
+        size += len(frame)
+        if size < least:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        others = np.flatnonzero((rows[_PAIR] != rows[_PAIR].iloc[-1]).any(axis=1))
+        end = int(others[-1]) + 1 if len(others) else 0
+        if end:
+            yield rows.iloc[:end].reset_index(drop=True)
+        held, size = [rows.iloc[end:]], size - end
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _links_of(batches: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
-    frames = list(batches)
-    if not frames:
-        return
-    rows = pd.concat(frames, ignore_index=True)
-    rows = rows.sort_values(["key", "part", "asks", "print"], ignore_index=True)
-    group = (rows[["key", "part"]] != rows[["key", "part"]].shift()).any(axis=1).cumsum().to_numpy()
-    prints = rows["print"].to_numpy().view(np.uint64)
-    a, b = spanning_links(prints, group, rows["asks"].to_numpy(), radius)
-    signed = prints.view(np.int64)
-    links = np.unique(np.stack([signed[a], signed[b]], axis=1), axis=0)
-    for at in range(0, len(links), 10_000):
-        yield pd.DataFrame(links[at : at + 10_000], columns=["a", "b"])
+    for rows in _whole_groups(batches):
+        group = (rows[_PAIR] != rows[_PAIR].shift()).any(axis=1).cumsum().to_numpy()
+        prints = rows["print"].to_numpy().view(np.uint64)
+        a, b = spanning_links(prints, group, rows["asks"].to_numpy(), radius)
+        signed = prints.view(np.int64)
+        links = np.unique(np.stack([signed[a], signed[b]], axis=1), axis=0)
+        for at in range(0, len(links), 10_000):
+            yield pd.DataFrame(links[at : at + 10_000], columns=["a", "b"])
 
 
 def links(prints: DataFrame, n: int, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
@@ -218,8 +236,10 @@ def links(prints: DataFrame, n: int, radius: int = RADIUS, tree_size: int = TREE
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     keyed = keyed.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / tree_size).cast("int"))
     own = F.pmod(F.xxhash64("print", F.lit(7)), F.col("parts")).cast("int")
-    dealt = keyed.select("key", "print", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("key", "part", "print", (F.col("own") != F.col("part")).alias("asks"))
-    return dealt.repartition("key", "part").mapInPandas(lambda it: _links_of(it, radius), "a bigint, b bigint")
+    met = keyed.select("key", "print", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = met.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "print", (F.col("own") > F.col("other")).alias("asks"))
+    ordered = dealt.repartition(*_PAIR).sortWithinPartitions(*_PAIR, "asks", "print")
+    return ordered.mapInPandas(lambda it: _links_of(it, radius), "a bigint, b bigint")
 
 
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
