@@ -126,14 +126,16 @@ def _chunk(batches: Iterator[pa.RecordBatch], path: str, end_id: int, wide: bool
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             texts = [data + end for data in encoder.encode_all(batch.column(1).slice(at, 512).cast(pa.binary()).to_pylist())]
-            sizes, ids = [len(t) // 4 for t in texts], np.frombuffer(b"".join(texts), "<u4")
-            raw, start, payloads, counts, begins = (ids if wide else ids.astype("<u2")).tobytes(), 0, [], [], [0]
+            sizes, whole = [len(t) // 4 for t in texts], memoryview(b"".join(texts))
+            ids = np.frombuffer(whole, "<u4")
+            raw, start, spans, begins = (ids if wide else ids.astype("<u2")).tobytes(), 0, [], [0]
             for size, ends in zip(sizes, cut_points(sizes, ids), strict=True):
-                payloads += [raw[(start + a) * width : (start + b) * width] for a, b in zip([0, *ends], ends, strict=False)]
-                counts += [b - a for a, b in zip([0, *ends], ends, strict=False)]
-                begins.append(len(payloads))
+                spans += [(start + a, start + b) for a, b in zip([0, *ends], ends, strict=False)]
+                begins.append(len(spans))
                 start += size
-            chunks = pa.StructArray.from_arrays([pa.array(map(digest_of, payloads), pa.binary()), pa.array(counts, pa.int32()), pa.array(payloads, pa.binary())], names=["digest", "n_ids", "payload"])
+            payloads = [raw[a * width : b * width] for a, b in spans]
+            columns = pa.array(map(digest_of, payloads), pa.binary()), pa.array([b - a for a, b in spans], pa.int32()), pa.array([zlib.crc32(whole[4 * a : 4 * b]) for a, b in spans], pa.int64()), pa.array(payloads, pa.binary())
+            chunks = pa.StructArray.from_arrays(columns, names=["digest", "n_ids", "ids_crc32", "payload"])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), chunks)], names=["doc_id", "n_tokens", "chunks"])
 
 
@@ -147,12 +149,11 @@ def write(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str
     wide = max(tokens.encoder(path).tokenizer.get_vocab_size(), end_id) > 0xFFFF
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "store")
-    staged = docs.select(id_col, text_col).mapInArrow(lambda it: _chunk(it, path, end_id, wide), f"doc_id {kind}, n_tokens bigint, chunks array<struct<digest:binary,n_ids:int,payload:binary>>")
+    staged = docs.select(id_col, text_col).mapInArrow(lambda it: _chunk(it, path, end_id, wide), f"doc_id {kind}, n_tokens bigint, chunks array<struct<digest:binary,n_ids:int,ids_crc32:bigint,payload:binary>>")
     staged = scratch.cut(staged, "staged", compression="zstd")
 
-    crc = F.pandas_udf(lambda p: _crcs(p, wide), "long")
-    unique = staged.select(F.explode("chunks").alias("c")).select("c.*").groupBy("digest").agg(F.first("n_ids").alias("n_ids"), F.first("payload").alias("payload"))
-    unique.withColumn("ids_crc32", crc("payload")).write.option("compression", "zstd").parquet(f"{folder}/chunks")
+    unique = staged.select(F.explode("chunks").alias("c")).select("c.*").groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n_ids", "ids_crc32", "payload")))
+    unique.write.option("compression", "zstd").parquet(f"{folder}/chunks")
 
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     recipes = staged.select("doc_id", "n_tokens", F.transform("chunks", lambda c: c["digest"]).alias("chunks"))
