@@ -60,8 +60,8 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
     n_docs = 0
     for batch in batches:
         ids.append(batch.column(0))
-        for at in range(0, batch.num_rows, 256):
-            for k, data in enumerate(encoder.encode_all(batch.column(1).slice(at, 256).cast(pa.binary()).to_pylist())):
+        for at, n in tokens.runs(batch.column(1)):
+            for k, data in enumerate(encoder.encode_all(batch.column(1).slice(at, n).cast(pa.binary()).to_pylist())):
                 data += end
                 for p, start in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[start : start + 4 * capacity]

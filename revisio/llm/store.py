@@ -124,8 +124,8 @@ def crc32_join(a: int, b: int, b_bytes: int) -> int:
 def _chunk(batches: Iterator[pa.RecordBatch], path: str, end_id: int, wide: bool) -> Iterator[pa.RecordBatch]:
     encoder, end, width = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), 4 if wide else 2
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            texts = [data + end for data in encoder.encode_all(batch.column(1).slice(at, 512).cast(pa.binary()).to_pylist())]
+        for at, n in tokens.runs(batch.column(1)):
+            texts = [data + end for data in encoder.encode_all(batch.column(1).slice(at, n).cast(pa.binary()).to_pylist())]
             sizes, whole = [len(t) // 4 for t in texts], memoryview(b"".join(texts))
             ids = np.frombuffer(whole, "<u4")
             raw, start, spans, begins = (ids if wide else ids.astype("<u2")).tobytes(), 0, [], [0]
@@ -136,7 +136,7 @@ def _chunk(batches: Iterator[pa.RecordBatch], path: str, end_id: int, wide: bool
             payloads = [raw[a * width : b * width] for a, b in spans]
             columns = pa.array(map(digest_of, payloads), pa.binary()), pa.array([b - a for a, b in spans], pa.int32()), pa.array([zlib.crc32(whole[4 * a : 4 * b]) for a, b in spans], pa.int64()), pa.array(payloads, pa.binary())
             chunks = pa.StructArray.from_arrays(columns, names=["digest", "n_ids", "ids_crc32", "payload"])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), chunks)], names=["doc_id", "n_tokens", "chunks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), chunks)], names=["doc_id", "n_tokens", "chunks"])
 
 
 def _crcs(payloads: pd.Series, wide: bool) -> pd.Series:
