@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 21
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 CACHE_WORDS = 400_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -164,8 +164,9 @@ def _binary(ends: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
 
 def _gather(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs of ids that start at `begin`, end to end."""
-    shift = begin - (np.cumsum(size) - size)
-    return ids[np.repeat(shift, size) + np.arange(size.sum())]
+    at = np.repeat((begin - (np.cumsum(size) - size)).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at]
 
 
 def runs(texts: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
