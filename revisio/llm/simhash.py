@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revisio.llm import jaccard
 from revisio.llm.tokens import slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
@@ -254,11 +255,12 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return marked.join(named, "print").select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The documents that name their component, columns as they come: one of each group stays.
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents of the least id of each group of near copies (`jaccard`), columns as they come.
 
     Rows that repeat the least id of a group all stay, and so do rows with a null id.
     """
-    found = components(docs, id_col=id_col, text_col=text_col, **options)
-    drop = found.where(F.col("component_id").isNotNull() & (F.col(id_col) != F.col("component_id"))).select(id_col).distinct()
+    found = jaccard.components(docs, id_col=id_col, text_col=text_col)
+    least = found.groupBy("root").agg(F.min(id_col).alias("least"))
+    drop = found.join(least, "root").where(F.col(id_col) != F.col("least")).select(id_col).distinct()
     return docs.join(drop, id_col, "left_anti")

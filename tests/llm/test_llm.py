@@ -170,6 +170,45 @@ def test_keep_one(spark, odd):
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 5, 7}
 
 
+def brute_near_copies(rows):
+    """Least id of each document's group: all pairs, shingle sets of five words, Jaccard of 0.8 or more."""
+    words = [simhash_words(t) for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    label = list(range(len(rows)))
+
+    def root(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or (5 * min(len(a), len(sets[j])) >= 4 * max(len(a), len(sets[j])) > 0 and 5 * len(a & sets[j]) >= 4 * len(a | sets[j])):
+                label[root(i)] = root(j)
+    return [root(k) for k in range(len(rows))]
+
+
+def test_near_copies_equal_brute_force(spark, docs, nothing):
+    """Groups of exact and near copies around the threshold, one of them large, and a line that all texts have."""
+    rng = np.random.default_rng(5)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    line = " ".join(f"common{k}" for k in range(30))
+    for base in range(4):
+        words = [f"b{base}w{k}" for k in range(150)]
+        for copy in range(60 if base == 0 else 12):
+            other = [f"x{base}c{copy}k{k}" if k in set(rng.integers(0, 150, copy % 6)) else w for k, w in enumerate(words)]
+            rows.append((10_000 + 100 * base + copy, " ".join(other) + (" " + line if base % 2 else "")))
+    rows += [(20_000 + k, f"{line} only {k} of these") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_near_copies(rows)
+    first = {}
+    for (i, _), k in zip(rows, want, strict=True):
+        first[k] = min(first.get(k, i), i)
+    assert len(first) < len(rows) - 80
+    assert sorted(r.doc_id for r in simhash.keep_one(frame).select("doc_id").collect()) == sorted(first.values())
+    assert simhash.keep_one(nothing).count() == 0
+
+
 def test_toxicity(spark, docs, odd, nothing):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
