@@ -29,8 +29,8 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables have no image column: each row of `embeddings` is rendered as one (a tile per component)."""
-    rendered = images.render_vectors(_table(spark, sf_dir, "embeddings"))
+    """The tables have no image column: each row of `embeddings` is rendered as one (a tile per component). Three pictures with a crop and an edit each are added (ids under 0)."""
+    rendered = images.render_vectors(_table(spark, sf_dir, "embeddings")).union(images.made_copies(spark))
     return images.copies(rendered, id_col="vec_id", image_col="image")
 
 

@@ -345,3 +345,15 @@ def test_images(spark):
     crowded = {r.image_id: r.class_id for r in images.copies(frame, wide=2).collect()}
     assert sum(crowded[100 + k] == k for k in range(12)) >= 11
     assert images.copies(frame.where("false")).count() == 0
+
+
+def test_rendered_near_copies(spark):
+    """Close vectors give images that link, others do not; the query's own crops and edits link."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(0, 0.125, (12, 64))
+    close = base + rng.normal(0, 0.005, base.shape)
+    rows = [(k, v.tolist()) for k, v in enumerate(base)] + [(100 + k, v.tolist()) for k, v in enumerate(close)]
+    rendered = images.render_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    got = {r.vec_id: r.class_id for r in images.copies(rendered.union(images.made_copies(spark)), id_col="vec_id").collect()}
+    assert sum(got[100 + k] == k for k in range(12)) >= 10 and all(got[k] == k for k in range(12))
+    assert [got[k] for k in range(-9, 0)] == [-9] * 3 + [-6] * 3 + [-3] * 3
