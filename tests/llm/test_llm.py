@@ -357,3 +357,17 @@ def test_rendered_near_copies(spark):
     got = {r.vec_id: r.class_id for r in images.copies(rendered.union(images.made_copies(spark)), id_col="vec_id").collect()}
     assert sum(got[100 + k] == k for k in range(12)) >= 10 and all(got[k] == k for k in range(12))
     assert [got[k] for k in range(-9, 0)] == [-9] * 3 + [-6] * 3 + [-3] * 3
+
+
+@pytest.mark.parametrize("wide", [4, 64])
+def test_crowded_keys_lose_no_links(spark, wide):
+    """Several hundred crops and noisy edits of one picture: keys are wide, descriptors near but unequal."""
+    rng, whole = np.random.default_rng(8), picture(40)
+    rows = []
+    for k in range(300):
+        y, x = rng.integers(0, 40, 2)
+        rows.append((k, images.encode_pgm((whole + rng.normal(0, 8, whole.shape))[y : y + 110, x : x + 110])))
+    rows += [(1000 + k, images.encode_pgm(picture(60 + k))) for k in range(4)]
+    found = images.copies(spark.createDataFrame(rows, "image_id bigint, image binary"), wide=wide).collect()
+    got = {r.image_id: r.class_id for r in found}
+    assert sum(got[k] == 0 for k in range(300)) >= 297 and all(got[1000 + k] == 1000 + k for k in range(4))
