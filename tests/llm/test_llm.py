@@ -371,3 +371,18 @@ def test_crowded_keys_lose_no_links(spark, wide):
     found = images.copies(spark.createDataFrame(rows, "image_id bigint, image binary"), wide=wide).collect()
     got = {r.image_id: r.class_id for r in found}
     assert sum(got[k] == 0 for k in range(300)) >= 297 and all(got[1000 + k] == 1000 + k for k in range(4))
+
+
+def test_small_crops_of_a_large_picture():
+    """Crops of 5 to 25 % of the area hold true places of the picture's corners, with a key in common, for agreement."""
+    rng, whole = np.random.default_rng(9), picture(80, 480)
+    a = images.describe(whole[None])[0]
+    for share in (0.05, 0.1, 0.15, 0.25):
+        for _ in range(3):
+            n = int(480 * share**0.5)
+            y, x = rng.integers(0, 480 - n, 2)
+            b = images.describe(whole[y : y + n, x : x + n][None])[0]
+            xor = [a[d].view("u8")[:, None] ^ b[d].view("u8")[None] for d in ("d0", "d1")]
+            key = sum(((v >> np.uint64(s)) & np.uint64(0xFFFFFFFF)) == 0 for v in xor for s in (0, 32)) > 0
+            true = np.hypot(a["x"][:, None] - x - b["x"][None], a["y"][:, None] - y - b["y"][None]) <= images.PIXELS
+            assert (key & true).any(0).sum() >= images.AGREE
