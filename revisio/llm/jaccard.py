@@ -2,22 +2,32 @@
 
 Candidates come from prefixes: in any one order of all shingles, two sets that are similar
 enough share a shingle among the first fifth of each (n - ceil(4n/5) + 1 places), so that no
-pair is missed. The order puts shingles that a bounded sample of texts repeats last; a poor
-sample costs time alone. Two rounds first compare the texts of a shared shingle with one of
-them, so that a large group of near copies is one component early; then all pairs that share
-a shingle and lie in different components are compared.
+pair is missed. The order puts shingles that a sample of texts repeats last; a poor sample
+costs time alone.
+
+Most candidates only share a passage. Each set has a parity sketch: bit h mod m is the parity
+of the number of its hashes that fall there. Sets that differ in D hashes have sketches that
+differ in at most D bits, so that a pair whose sketches differ in more than (|A| + |B|) / 9
+bits cannot be similar. Sketches are a few bits a shingle; texts are read for the pairs alone
+that they leave, and are compared whole.
+
+Two rounds first compare the sets of a shared shingle with one of them, so that a large group
+of near copies is one component early; then all pairs that share a shingle and lie in
+different components are compared. Components rest on sketches until the texts are read;
+where a text then refutes a pair, all pairs of that component that the refuted one may have
+hidden are compared as well.
 
 Defined results. Fewer words than a shingle: the whole sequence is the one shingle. Texts
-without words are copies of each other alone. Words are as in `simhash`. Shingles and equal
-sets are told apart by hashes of 64 bits.
+without words are copies of each other alone. Words are as in `simhash`. Shingles, equal sets
+and equal texts are told apart by hashes of 64 bits.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,7 +37,11 @@ from revisio.llm.tokens import slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
 
-SHINGLE, SEED, SAMPLE, COMMON = 5, 42, 10_000, 100_000
+SHINGLE, SEED, COMMON = 5, 42, 100_000
+#: The order of shingles follows one text in SAMPLE_EACH, or SAMPLE texts where that is more.
+SAMPLE, SAMPLE_EACH = 10_000, 64
+#: Rows (16 bytes each) up to which a side is broadcast; beyond, both sides are shuffled.
+BROADCAST_ROWS, SKETCH_BITS = 500_000, 1 << 23
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -52,6 +66,20 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Parities of the hashes by their lowest bits, at least two bits a hash (up to SKETCH_BITS)."""
+    m = min(SKETCH_BITS, 1 << max(6, (2 * len(found) - 1).bit_length()))
+    odd = np.bincount((found & (m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """At most the number of hashes in one set alone. The longer sketch is folded to the length of the shorter."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def prefix(found: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
     """The first shingles in the order of (times in the sample, hash); common is sorted."""
     n = len(found)
@@ -85,53 +113,117 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, times: np.n
         for texts in _texts(batch.column(2)):
             sets = [shingle_set(t) for t in texts]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            rest = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), _lists([prefix(s, common, times) for s in sets])]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *rest], names=["id", "text_hash", "node", "n", "keys"])
+            rest = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary()), _lists([prefix(s, common, times) for s in sets])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *rest], names=["id", "text_hash", "node", "n", "sketch", "keys"])
             at += len(texts)
 
 
-def _check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        ok = [similar(a, b) for a, b in zip(rows["left"], rows["right"], strict=True)]
-        yield rows.loc[ok, ["a", "b"]]
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns a, b, n, sketch, other_n, other_sketch to the (a, b) whose sketches may belong to similar sets."""
+    for batch in batches:
+        n = np.asarray(batch.column(2)) + np.asarray(batch.column(4))
+        far = np.fromiter((apart(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)), np.int64, batch.num_rows)
+        yield batch.select([0, 1]).filter(pa.array(9 * far <= n))
+
+
+def _check(batches: Iterator[pa.RecordBatch], kept_bytes: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Columns a, b, text, other to the (a, b) of similar texts. The sets of the last texts are kept: one text meets many."""
+    kept: OrderedDict[int, np.ndarray] = OrderedDict()
+    size = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some, ok = batch.slice(at, 256), []
+            sides = [some.column(k).to_pylist() if k < 2 else some.column(k).cast(pa.binary()).to_pylist() for k in range(4)]
+            for a, b, text, other in zip(*sides, strict=True):
+                for node, raw in ((b, other), (a, text)):
+                    if node not in kept:
+                        kept[node] = shingle_set(raw)
+                        size += kept[node].nbytes
+                    kept.move_to_end(node)
+                ok.append(similar(kept[a], kept[b]))
+                while size > kept_bytes and len(kept) > 2:
+                    size -= kept.popitem(last=False)[1].nbytes
+            yield some.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
 def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that at least three texts of a bounded sample have, and how many have each."""
-    every = max(1, texts.count() // SAMPLE)
+    """Shingles that at least three texts of a sample have, and how many have each; the COMMON most frequent."""
+    every = min(SAMPLE_EACH, max(1, texts.count() // SAMPLE))
     some = texts.where(F.pmod("text_hash", F.lit(every)) == 0).select("text_hash", "text").dropDuplicates(["text_hash"])
     seen = some.mapInArrow(_sets, "node bigint, shingles array<bigint>").select(F.explode("shingles").alias("s")).groupBy("s").count()
     rows = seen.where("count > 2").orderBy(F.desc("count"), "s").limit(COMMON).toPandas().sort_values("s")
     return rows["s"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
 
 
+def small_side(side: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The side of a join, broadcast if it has few rows."""
+    return F.broadcast(side) if rows <= most else side
+
+
 def _fits(x: str, y: str):
     return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
 
 
-def links(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """Similar pairs (a, b) that join all that is similar. shared: key, node, n, p (the key's place); sets: node, shingles."""
+def _open(shared: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Rows of shared with a label, for the keys that still have two labels."""
+    state = shared.withColumn("label", F.col("node"))
+    if components is not None:
+        state = shared.join(components, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    keys = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    return state.join(keys, "key")
+
+
+def _stars(state: DataFrame, order) -> DataFrame:
+    """Pairs of each key's row of the least order with the key's rows of other labels."""
+    one = state.groupBy("key").agg(F.min_by(F.struct("node", "n", "label"), order).alias("one"))
+    pairs = state.join(one, "key").where((F.col("label") != F.col("one.label")) & _fits("n", "one.n"))
+    return pairs.select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")).distinct()
+
+
+def _all_pairs(state: DataFrame, extra=None) -> DataFrame:
+    """Pairs of all rows of a key with different labels."""
+    side = lambda s: state.select("key", *(F.col(c).alias(s + c) for c in state.columns if c != "key"))
+    both = (F.col("lnode") < F.col("rnode")) & (F.col("llabel") != F.col("rlabel")) & _fits("ln", "rn")
+    return side("l").join(side("r"), "key").where(both if extra is None else both & extra).select(F.col("lnode").alias("a"), F.col("rnode").alias("b")).distinct()
+
+
+def _compare(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs that sketches do not rule out."""
+    other = sketches.select(F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"))
+    both = pairs.join(sketches.withColumnRenamed("node", "a"), "a").join(other, "b")
+    return both.select("a", "b", "n", "sketch", "other_n", "other_sketch").mapInArrow(_near, "a bigint, b bigint")
+
+
+def _confirm(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs of similar texts. held: node, text."""
+    both = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("other")), "b").join(held.withColumnRenamed("node", "a"), "a")
+    return both.select("a", "b", "text", "other").mapInArrow(_check, "a bigint, b bigint")
+
+
+def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """Similar pairs (a, b) that join all that is similar. shared: key, node, n; sketches: node, n, sketch, text_hash; texts: text_hash, text."""
     scratch = Scratch(shared.sparkSession, "jaccard-links")
-    found = None
-    for turn in range(3):
-        state = shared.withColumn("label", F.col("node"))
-        if found is not None:
-            state = shared.join(connected_components(found), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        open_keys = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        state = scratch.cut(state.join(open_keys, "key"), f"state-{turn}")
-        if turn < 2:
-            order = F.col("node") if turn == 0 else F.xxhash64("node", "key")
-            one = state.groupBy("key").agg(F.min_by(F.struct("node", "n", "label"), order).alias("one"))
-            pairs = state.join(one, "key").where((F.col("label") != F.col("one.label")) & _fits("n", "one.n")).select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b"))
-        else:
-            side = lambda s: state.select("key", *(F.col(c).alias(s + c) for c in ("node", "n", "p", "label")))
-            enough = 9 * F.least(F.col("ln") - F.col("lp"), F.col("rn") - F.col("rp")) >= 4 * (F.col("ln") + F.col("rn"))
-            pairs = side("l").join(side("r"), "key").where((F.col("lnode") < F.col("rnode")) & (F.col("llabel") != F.col("rlabel")) & _fits("ln", "rn") & enough).select(F.col("lnode").alias("a"), F.col("rnode").alias("b"))
-        pairs = scratch.cut(pairs.distinct(), f"pairs-{turn}")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-        new = scratch.cut(both.mapInPandas(_check, "a bigint, b bigint"), f"links-{turn}")
-        scratch.drop(f"state-{turn}")
-        found = new if found is None else found.union(new)
+    slim = sketches.select("node", "n", "sketch")
+    near = None
+    for turn, find in enumerate((lambda s: _stars(s, F.col("node")), lambda s: _stars(s, F.xxhash64("node", "key")), _all_pairs)):
+        state = scratch.cut(_open(shared, near if near is None else connected_components(near)), f"state-{turn}")
+        pairs = scratch.cut(find(state), f"pairs-{turn}")
+        new = scratch.cut(_compare(pairs, slim), f"near-{turn}")
+        scratch.drop(f"state-{turn}", f"pairs-{turn}")
+        near = new if near is None else near.union(new)
+    asked = scratch.cut(sketches.select("node", "text_hash").join(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), "asked")
+    held = scratch.cut(texts.join(small_side(asked, asked.count()), "text_hash").dropDuplicates(["node"]).select("node", "text"), "held")
+    found = scratch.cut(_confirm(near, held), "links")
+    refuted = near.join(found, ["a", "b"], "left_anti")
+    if not refuted.isEmpty():
+        # Pairs of one component by sketches that lie in different ones by texts.
+        told = scratch.cut(connected_components(near).withColumnRenamed("component", "told"), "told")
+        doubtful = told.join(refuted.select(F.col("a").alias("node")).join(told, "node").select("told").distinct(), "told")
+        state = scratch.cut(_open(shared.join(doubtful, "node"), connected_components(found)), "doubtful")
+        pairs = _all_pairs(state, F.col("ltold") == F.col("rtold")).join(near, ["a", "b"], "left_anti")
+        again = scratch.cut(_compare(scratch.cut(pairs, "pairs-again"), slim), "near-again")
+        found = found.union(scratch.cut(_confirm(again, held), "links-again"))
+    scratch.drop("held")
     return found
 
 
@@ -141,13 +233,12 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     common, times = _common(texts)
-    marked = scratch.cut(texts.mapInArrow(lambda it: _prefixes(it, common, times), f"id {kind}, text_hash bigint, node bigint, n int, keys array<bigint>"), "prefixes")
-    nodes = marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    each = marked.select("node", "n", F.posexplode("keys").alias("p", "key"))
+    marked = scratch.cut(texts.mapInArrow(lambda it: _prefixes(it, common, times), f"id {kind}, text_hash bigint, node bigint, n int, sketch binary, keys array<bigint>"), "prefixes")
+    rows = scratch.cut(marked.select("id", "text_hash", "node"), "rows")
+    sketches = scratch.cut(marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+    each = marked.select("node", F.explode("keys").alias("key"))
     several = each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    shared = scratch.cut(each.join(several, "key").select("key", "node", "n", "p").distinct(), "shared")
-    asked = nodes.join(shared.select("node").distinct(), "node")
-    held = texts.select("text_hash", "text").join(asked, "text_hash").dropDuplicates(["text_hash"]).select("node", "text")
-    sets = scratch.cut(held.mapInArrow(_sets, "node bigint, shingles array<bigint>"), "sets")
-    joined = connected_components(links(shared, sets))
-    return marked.select("id", "text_hash", "node").join(joined, "node", "left").select(F.col("id").alias(id_col), "text_hash", F.coalesce("component", "node").alias("root"))
+    shared = scratch.cut(each.join(several, "key").distinct().join(sketches.select("node", "n"), "node"), "shared")
+    scratch.drop("prefixes")
+    joined = connected_components(links(shared, sketches, texts.select("text_hash", "text")))
+    return rows.join(joined, "node", "left").select(F.col("id").alias(id_col), "text_hash", F.coalesce("component", "node").alias("root"))

@@ -256,11 +256,22 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of the least id of each group of near copies (`jaccard`), columns as they come.
+    """One row of each group of near copies (`jaccard`), columns as they come.
 
-    Rows that repeat the least id of a group all stay, and so do rows with a null id.
+    The row of the least id stays (null ids last; among rows of one id, that of the least hash
+    of its text; among equal ones, any).
     """
     found = jaccard.components(docs, id_col=id_col, text_col=text_col)
-    least = found.groupBy("root").agg(F.min(id_col).alias("least"))
-    drop = found.join(least, "root").where(F.col(id_col) != F.col("least")).select(id_col).distinct()
-    return docs.join(drop, id_col, "left_anti")
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("hash"))
+    each = scratch.cut(found.groupBy(F.col(id_col).alias("id"), "text_hash").agg(F.first("root").alias("root"), F.count("*").alias("rows"), F.min(rank).alias("rank")), "rows")
+    best = each.join(each.groupBy("root").agg(F.min("rank").alias("best")), "root")
+    out = scratch.cut(best.where((F.col("rank") != F.col("best")) | (F.col("rows") > 1)).select("id", "text_hash", (F.col("rank") == F.col("best")).alias("stays")), "out")
+    n, repeated = out.agg(F.count("*"), F.count_if("stays")).first()
+    same = lambda side: docs[id_col].eqNullSafe(side["id"]) & (F.xxhash64(docs[text_col]) == side["text_hash"])
+    gone = jaccard.small_side(out.select("id", "text_hash"), n)
+    kept = docs.join(gone, same(gone), "left_anti")
+    if not repeated:
+        return kept
+    once = jaccard.small_side(out.where("stays"), repeated)
+    return kept.unionByName(docs.join(once, same(once), "left_semi").dropDuplicates([id_col, text_col]))

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from revisio.llm import chat, images, langid, mixing, packing, queries, secret_scan, simhash, store, tokens, toxicity, vafile
+from revisio.llm import chat, images, jaccard, langid, mixing, packing, queries, secret_scan, simhash, store, tokens, toxicity, vafile
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, piece int, start string"
@@ -167,7 +167,43 @@ def test_forest_finds_what_brute_force_finds():
 
 def test_keep_one(spark, odd):
     kept = simhash.keep_one(odd)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 5, 7}
+    assert kept.columns == odd.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == ["1", "2", "5", "7", "None"]
+    text, other = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(1, text, "x"), (5, text, "x"), (5, other, "x"), (None, text, "x"), (None, "c d", "x"), (None, "c d", "x")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, root string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == [(1, text), (5, other), (None, "c d")]
+
+
+def test_sketches_bound_the_difference():
+    """Sketches never tell more than the true difference, and tell apart what is far from similar."""
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 70, 900, 30_000):
+        base = np.unique(rng.integers(-(2**63), 2**63, n))
+        for share in (0.0, 0.05, 0.12, 0.4, 1.0):
+            other = np.unique(np.concatenate([base[rng.random(len(base)) >= share], rng.integers(-(2**63), 2**63, int(n * share))]))
+            true = len(np.setxor1d(base, other))
+            told = jaccard.apart(jaccard.sketch(base), jaccard.sketch(other))
+            assert told <= true and (told - true) % 2 == 0
+            assert jaccard.similar(base, other) == (9 * true <= len(base) + len(other))
+            if n >= 900 and share >= 0.4:
+                assert 9 * told > len(base) + len(other)
+    assert jaccard.sketch(np.empty(0, np.int64)) == bytes(8)
+
+
+def test_refuted_pairs_hide_no_link(spark):
+    """Sketches of two bits a hash let pairs of 0.72 to 0.8 pass; what such pairs join is looked at again."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for base in range(6):
+        words = [f"g{base}w{k}" for k in range(200)]
+        for copy in range(12):
+            at = set(rng.choice(200, rng.integers(1, 11), replace=False).tolist())
+            rows.append((100 * base + copy, " ".join(f"x{copy}k{k}" if k in at else w for k, w in enumerate(words))))
+    want, first = brute_near_copies(rows), {}
+    for (i, _), k in zip(rows, want, strict=True):
+        first[k] = min(first.get(k, i), i)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert 6 < len(first) < len(rows) and sorted(r.doc_id for r in simhash.keep_one(frame).collect()) == sorted(first.values())
 
 
 def brute_near_copies(rows):
