@@ -332,21 +332,49 @@ def test_cuts_and_crcs():
     assert store.crc32_join(zlib.crc32(x), zlib.crc32(y), len(y)) == zlib.crc32(x + y) and store.crc32_join(5, 0, 0) == 5
 
 
+def brute_top(whole, ids, query_ids, k=20):
+    """(query, rank, id, score) by all products."""
+    out = []
+    for q in query_ids:
+        found = sorted((-int(whole[i] @ whole[j]), int(ids[j])) for i in np.flatnonzero(ids == q) for j in np.flatnonzero(ids != q))
+        out += [(int(q), n + 1, j, -s) for n, (s, j) in enumerate(found[:k])]
+    return sorted(out)
+
+
 def test_vafile(spark):
     rng = np.random.default_rng(9)
-    x = rng.normal(0, 0.2, (300, 8)).astype(np.float32)
+    x = rng.normal(0, 0.2, (300, 7)).astype(np.float32)
     x[50:90] = x[3]
-    rows = [(k, v.tolist(), 1) for k, v in enumerate(x)] + [(1000, None, 1), (1020, [None] * 8, 1), (1040, [float("nan")] * 8, 1), (1060, [0.1, 0.2], 1)]
+    ids = np.arange(300)
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(x)] + [(1000, None, 1), (1020, [None] * 7, 1), (1040, [float("nan")] * 7, 1), (1060, [0.1, 0.2], 1), (1080, [], 1), (None, [0.5] * 7, 1), (1100, [float("inf")] * 7, 1)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
-    got = {}
-    for r in vafile.top_k(frame, F.col("vec_id") % 20 == 0, block=64, query_block=4).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    of = F.col("vec_id") % 20 == 0
     whole = np.floor(64 * x.astype(float)).astype(int)
-    for q in range(0, 300, 20):
-        s = whole @ whole[q]
-        order = [k for k in np.lexsort((np.arange(300), -s)) if k != q][:20]
-        assert sorted(got.pop(q)) == [(n + 1, int(k), int(s[k])) for n, k in enumerate(order)]
-    assert not got and vafile.top_k(frame.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+    want = brute_top(whole, ids, range(0, 300, 20))
+    for sizes in ({"block": 64, "query_block": 4}, {"block": 64, "query_block": 4, "probe": 9}, {}):
+        assert sorted(tuple(r) for r in vafile.top_k(frame, of, **sizes).collect()) == want
+    again = frame.union(frame.where("vec_id in (3, 20, 40)")).union(frame.where("vec_id = 7").withColumn("vec_id", F.lit(40).cast("long")))
+    more = [*range(300), 3, 20, 40, 40]
+    values = whole[[*range(300), 3, 20, 40, 7]]
+    assert sorted(tuple(r) for r in vafile.top_k(again, of, block=64, query_block=4).collect()) == brute_top(values, np.array(more), range(0, 300, 20))
+    assert vafile.top_k(frame.where("false"), of).count() == 0 and vafile.top_k(frame.where("vec_id < 15"), of).count() == 14
+
+
+def test_vafile_reads_few_exact_vectors(spark):
+    """On clustered vectors the cells leave few rows to read; wide values and one component work as well."""
+    rng = np.random.default_rng(10)
+    centres = rng.normal(0, 0.125, (40, 64))
+    x = np.repeat(centres, 75, axis=0) + rng.normal(0, 0.02, (3000, 64))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = vafile.top_k(frame, F.col("vec_id") % 100 == 0, block=512, query_block=8, with_reads=True).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows) == brute_top(np.floor(64 * x).astype(int), np.arange(3000), range(0, 3000, 100))
+    reads = [r.exact_reads for r in rows if r["rank"] == 1]
+    assert all(20 <= n < 3000 for n in reads) and np.mean(reads) < 0.2 * 3000
+    y = rng.normal(0, 900, (200, 1))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(y)], "vec_id bigint, embedding array<double>")
+    assert sorted(tuple(r) for r in vafile.top_k(frame, F.col("vec_id") % 20 == 0, block=32).collect()) == brute_top(np.floor(64 * y).astype(np.int64), np.arange(200), range(0, 200, 20))
+    for q in (whole := np.floor(64 * x).astype(float))[:5]:
+        assert (vafile.bounds(q[None], *vafile.cells_of(whole))[0] >= whole @ q).all()
 
 
 def test_language(spark, odd, nothing):
