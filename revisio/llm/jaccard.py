@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisio.llm.tokens import slices
+from revisio.llm.tokens import give_back, slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
 
@@ -116,6 +116,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, times: np.n
             rest = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary()), _lists([prefix(s, common, times) for s in sets])]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *rest], names=["id", "text_hash", "node", "n", "sketch", "keys"])
             at += len(texts)
+        give_back()
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ from revisio.llm import tokens
 from revisio.plans.lineage import Scratch
 
 CAPACITY, END_ID, SLACK, FAN_IN, TASK_BINS = 4096, 1, 4, 16, 500_000
+GROUP_BYTES = 1 << 21  # text that a worker encodes at once
 
 
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,12 +56,12 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = tokens.encoder(path), np.array([end_id], "<u4").tobytes()
+    encoder, end = tokens.encoder(path, GROUP_BYTES), np.array([end_id], "<u4").tobytes()
     ids, rows, pieces, starts, lengths, crcs = [], [], [], [], [], []
     n_docs = 0
     for batch in batches:
         ids.append(batch.column(0))
-        for at, n in tokens.runs(batch.column(1)):
+        for at, n in tokens.runs(batch.column(1), GROUP_BYTES):
             for k, data in enumerate(encoder.encode_all(batch.column(1).slice(at, n).cast(pa.binary()).to_pylist())):
                 data += end
                 for p, start in enumerate(range(0, len(data), 4 * capacity)):
@@ -70,6 +71,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
                     starts.append(start // 4)
                     lengths.append(len(part) // 4)
                     crcs.append(zlib.crc32(part))
+            tokens.give_back()
         n_docs += batch.num_rows
     if not rows:
         return

@@ -9,6 +9,7 @@ are kept from group to group, in a cache of bounded size.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import json
 import os
@@ -92,6 +93,7 @@ class WordEncoder:
         data[1:][big] += 0x20  # Latin-1 capitals
         words = _binary(np.append(np.flatnonzero(first[solid]), len(data)), data).dictionary_encode()
         ids, begin, size = self._words(words.dictionary.cast(pa.string()))
+        del chars, solid, first, data, big
         which = words.indices.to_numpy()
         before = np.concatenate(([0], np.cumsum(size[which])))
         flat = _gather(ids, begin[which], size[which]).tobytes()
@@ -190,6 +192,15 @@ def slices(raw: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
 
 
 @functools.cache
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each Python worker, kept from task to task."""
-    return WordEncoder(path)
+def encoder(path: str, group_bytes: int = GROUP_BYTES) -> WordEncoder:
+    """One encoder for each Python worker and size of group, kept from task to task."""
+    return WordEncoder(path, group_bytes=group_bytes)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
