@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revisio.llm.keyed import all_pairs, open_rows, shared_keys, stars
 from revisio.llm.tokens import give_back, slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
@@ -165,29 +166,6 @@ def _fits(x: str, y: str):
     return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
 
 
-def _open(shared: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Rows of shared with a label, for the keys that still have two labels."""
-    state = shared.withColumn("label", F.col("node"))
-    if components is not None:
-        state = shared.join(components, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    keys = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return state.join(keys, "key")
-
-
-def _stars(state: DataFrame, order) -> DataFrame:
-    """Pairs of each key's row of the least order with the key's rows of other labels."""
-    one = state.groupBy("key").agg(F.min_by(F.struct("node", "n", "label"), order).alias("one"))
-    pairs = state.join(one, "key").where((F.col("label") != F.col("one.label")) & _fits("n", "one.n"))
-    return pairs.select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")).distinct()
-
-
-def _all_pairs(state: DataFrame, extra=None) -> DataFrame:
-    """Pairs of all rows of a key with different labels."""
-    side = lambda s: state.select("key", *(F.col(c).alias(s + c) for c in state.columns if c != "key"))
-    both = (F.col("lnode") < F.col("rnode")) & (F.col("llabel") != F.col("rlabel")) & _fits("ln", "rn")
-    return side("l").join(side("r"), "key").where(both if extra is None else both & extra).select(F.col("lnode").alias("a"), F.col("rnode").alias("b")).distinct()
-
-
 def _compare(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs that sketches do not rule out."""
     other = sketches.select(F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"))
@@ -206,8 +184,8 @@ def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame
     scratch = Scratch(shared.sparkSession, "jaccard-links")
     slim = sketches.select("node", "n", "sketch")
     near = None
-    for turn, find in enumerate((lambda s: _stars(s, F.col("node")), lambda s: _stars(s, F.xxhash64("node", "key")), _all_pairs)):
-        state = scratch.cut(_open(shared, near if near is None else connected_components(near)), f"state-{turn}")
+    for turn, find in enumerate((lambda s: stars(s, F.col("node"), _fits), lambda s: stars(s, F.xxhash64("node", "key"), _fits), lambda s: all_pairs(s, _fits))):
+        state = scratch.cut(open_rows(shared, near if near is None else connected_components(near)), f"state-{turn}")
         pairs = scratch.cut(find(state), f"pairs-{turn}")
         new = scratch.cut(_compare(pairs, slim), f"near-{turn}")
         scratch.drop(f"state-{turn}", f"pairs-{turn}")
@@ -220,8 +198,8 @@ def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame
         # Pairs of one component by sketches that lie in different ones by texts.
         told = scratch.cut(connected_components(near).withColumnRenamed("component", "told"), "told")
         doubtful = told.join(refuted.select(F.col("a").alias("node")).join(told, "node").select("told").distinct(), "told")
-        state = scratch.cut(_open(shared.join(doubtful, "node"), connected_components(found)), "doubtful")
-        pairs = _all_pairs(state, F.col("ltold") == F.col("rtold")).join(near, ["a", "b"], "left_anti")
+        state = scratch.cut(open_rows(shared.join(doubtful, "node"), connected_components(found)), "doubtful")
+        pairs = all_pairs(state, _fits, F.col("ltold") == F.col("rtold")).join(near, ["a", "b"], "left_anti")
         again = scratch.cut(_compare(scratch.cut(pairs, "pairs-again"), slim), "near-again")
         found = found.union(scratch.cut(_confirm(again, held), "links-again"))
     scratch.drop("held")
@@ -238,8 +216,7 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rows = scratch.cut(marked.select("id", "text_hash", "node"), "rows")
     sketches = scratch.cut(marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
     each = marked.select("node", F.explode("keys").alias("key"))
-    several = each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    shared = scratch.cut(each.join(several, "key").distinct().join(sketches.select("node", "n"), "node"), "shared")
+    shared = scratch.cut(shared_keys(each).join(sketches.select("node", "n"), "node"), "shared")
     scratch.drop("prefixes")
     joined = connected_components(links(shared, sketches, texts.select("text_hash", "text")))
     return rows.join(joined, "node", "left").select(F.col("id").alias(id_col), "text_hash", F.coalesce("component", "node").alias("root"))

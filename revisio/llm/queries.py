@@ -29,8 +29,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables have no image column: each row of `embeddings` is rendered as one (a tile per component). Three pictures with a crop and an edit each are added (ids under 0)."""
-    rendered = images.render_vectors(_table(spark, sf_dir, "embeddings")).union(images.made_copies(spark))
+    """The tables have no image column: each row of `embeddings` is rendered as one. A crop, a turn and an edit of one in fifty are added (ids under 0), so that there is something to find.
+
+    Vectors are dealt anew before they are rendered: a few MB of them are minutes of work.
+    """
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rendered = images.render_vectors(vectors, copied=F.col("vec_id") % 50 == 0)
     return images.copies(rendered, id_col="vec_id", image_col="image")
 
 
