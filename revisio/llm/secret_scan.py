@@ -1,7 +1,9 @@
 """Secret scans with a random forest that removes false positives.
 
-Two patterns propose candidates in the whole text: runs of key characters that hold a
-digit, and values after `=` or `:` that a credential word names. The forest scores each
+Two patterns propose candidates in the whole text, of any length: runs of key characters that
+hold a digit, and values after `=` or `:`, up to white space, a quote, comma or semicolon, whose
+name (letters, digits, `_`, `-` and dots) has a credential word in it. Both read a text once,
+whatever stands in it. The forest scores each
 from its length, character transitions, dictionary coverage, path and neighbouring words.
 It is grown in numpy from labelled findings: (value, before, after, path, is_secret). A
 seeded generator gives a labelled set of public credential formats and of look-alikes
@@ -31,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 THRESHOLD, NEAR, MASK = 0.5, 48, "[SECRET]"
-_RUN = re.compile(rb"[A-Za-z0-9_+/\-]{14,512}={0,2}")
-_VALUE = re.compile(rb"[=:][ \t]*[\"']?([^\s\"',;]{6,512})")
-_NAME = re.compile(rb"(?i)(pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credentials?|private[_-]?key)[\"']?\s*$")
+_RUN = re.compile(rb"[A-Za-z0-9_+/\-]{14,}+={0,2}")
+_ASSIGN = re.compile(rb"(?<![\w.\-])([\w.\-]++)[\"']?+\s*+[=:]")
+_VALUE = re.compile(rb"[ \t]*+[\"']?+([^\s\"',;]{6,}+)")
+_NAME = re.compile(rb"(?i)pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|(?<![a-z])pass(?![a-z])")
 _DIGIT = re.compile(rb"[0-9]")
 #: Words whose presence in a value speaks for prose, code or a placeholder.
 WORDS = tuple(
@@ -64,20 +67,23 @@ class Finding:
     before: str = ""
     after: str = ""
     path: str = ""
-
-
-def candidates(raw: bytes) -> list[tuple[int, int]]:
-    """Byte spans of candidates, in order and apart from one another."""
-    spans = [(m.start(), m.end()) for m in _RUN.finditer(raw) if _DIGIT.search(m[0])]
-    for m in _VALUE.finditer(raw):
-        if _NAME.search(raw, max(0, m.start() - 24), m.start()):
-            spans.append(m.span(1))
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
+    name: str = ""  # what the value is assigned to, where it is longer than `before` shows
+
+
+def candidates(raw: bytes) -> list[tuple[int, int, bytes]]:
+    """Byte spans of candidates, in order and apart from one another, and the names of values that have one."""
+    spans = [(m.start(), m.end(), b"") for m in _RUN.finditer(raw) if _DIGIT.search(m[0])]
+    end = 0
+    for m in _ASSIGN.finditer(raw):
+        if m.end() >= end and _NAME.search(m[1]) and (value := _VALUE.match(raw, m.end())):  # what stands in a value is in its span
+            spans.append((*value.span(1), m[1]))
+            end = value.end()
+    out: list[tuple[int, int, bytes]] = []
+    for a, b, name in sorted(spans):
         if out and a < out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2] or name)
         else:
-            out.append((a, b))
+            out.append((a, b, name))
     return out
 
 
@@ -94,16 +100,16 @@ def features(f: Finding) -> list[float]:
         run = run + 1 if a == b else 1
         longest = max(longest, run)
     moves = Counter(zip(kinds, kinds[1:], strict=False))
-    low, near, path = v.lower(), f.before.lower()[-NEAR:], f.path.lower()
+    low, near, path, name = v.lower(), f.before.lower()[-NEAR:], f.path.lower(), f.name.lower()
     vowels = sum(c in "aeiou" for c in low)
     steps = sum(ord(b) - ord(a) == 1 for a, b in zip(v, v[1:], strict=False))
     return [
         len(v), *(kinds.count(k) / n for k in range(4)),
         sum(c for (a, b), c in moves.items() if a != b) / n, moves[2, 0] / n, moves[0, 2] / n, moves[1, 0] / n, moves[0, 1] / n,
-        -sum(c / n * math.log2(c / n) for c in counts.values()), len(counts) / n, longest, steps / n, vowels / n,
+        -sum(c / n * math.log2(c / n) for c in counts.values()), len(counts) / min(n, 64), longest, steps / n, vowels / n,
         float(all(c in string.hexdigits for c in v)), float(v.isdigit()), float(len(v) in (32, 40, 64)),
         sum(len(m[0]) for m in _COVER.finditer(low)) / n, float(bool(_KNOWN.fullmatch(v))),
-        float(any(w in near[-24:] for w in FOR)), float(any(w in near for w in AGAINST)), float(near.rstrip(" \t\"'")[-1:] in ("=", ":")), float(near[-1:] in "\"'" and f.after[:1] in "\"'" and near != ""),
+        float(any(w in near[-24:] or w in name for w in FOR)), float(any(w in near for w in AGAINST)), float(near.rstrip(" \t\"'")[-1:] in ("=", ":")), float(near[-1:] in "\"'" and f.after[:1] in "\"'" and near != ""),
         float(bool(re.search(r"test|example|sample|fixture|doc|readme", path))), float(bool(re.search(r"\.(env|cfg|ini|ya?ml|toml|pem|json)$", path))), float("/" in v or "." in v),
     ]
 
@@ -121,6 +127,7 @@ def labelled_findings(n: int = 4000, seed: int = 2) -> list[tuple[Finding, int]]
         lambda: ("gh" + r.choice("pousr") + "_" + pick(alnum, 36), r.choice(["", named()])), lambda: ("xoxb-" + pick(string.digits, 12) + "-" + pick(alnum, 24), r.choice(["", named()])),
         lambda: ("eyJ" + base64.urlsafe_b64encode(pick(alnum, 40).encode()).decode().rstrip("="), r.choice(["Bearer ", named()])), lambda: (pick(alnum + "!#%&*@", r.randint(9, 20)) + pick(string.digits, 2), r.choice(["password=", "passwd: ", "pwd = '"])),
         lambda: ("AIza" + pick(alnum + "_-", 35), r.choice(["", named()])), lambda: ("sk_live_" + pick(alnum, 24), r.choice(["", named()])),
+        lambda: (pick(r.choice([alnum + "+/", alnum + "!#%&*@", hexes]), r.choice([100, 250, 600, 1600, 4000])), named()),
     ]
     alike = [
         lambda: (pick(hexes, r.choice([32, 40, 64])), r.choice(AGAINST[:6]) + r.choice([" ", ": ", "="])), lambda: ("_".join(r.choices(WORDS, k=r.randint(2, 4))) + pick(string.digits, r.randint(1, 4)), r.choice(["", named()])),
@@ -128,6 +135,7 @@ def labelled_findings(n: int = 4000, seed: int = 2) -> list[tuple[Finding, int]]
         lambda: ("-".join(pick(hexes, k) for k in (8, 4, 4, 4, 12)), r.choice(["uuid ", "guid=", "id: ", ""])), lambda: ("".join(r.choices(syllables, k=r.randint(6, 12))) + pick(string.digits, r.randint(1, 2)), ""),
         lambda: ("/".join(r.choices(WORDS, k=4)) + "/" + pick(string.digits, 4), r.choice(["", "path=", "https:"])), lambda: (r.choice(["changeme", "your-api-key-here-", "example-token-", "password"]) + "1234", named()),
         lambda: (f"{r.randint(2000, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}-{r.choice(WORDS)}-{r.choice(WORDS)}", ""), lambda: ("0123456789abcdef"[: r.randint(14, 16)] * r.randint(1, 3), r.choice(["", named()])),
+        lambda: (pick(r.choice([alnum + "+/", hexes]), r.choice([100, 250, 600, 1600, 4000])), r.choice(["", "base64,", "checksum: ", "data="])),
     ]
     paths, mild = ["", "", "src/app/settings.env", "config/prod.yaml", "notes.txt", "src3"], ["", "docs/readme.md", "tests/fixtures/data.json", "src7", "notes.txt"]
     out = []
@@ -209,9 +217,9 @@ def find(raw: bytes | None, path: str | None, forest: Forest, threshold: float =
     spans = candidates(raw or b"")
     if not spans:
         return []
-    some = [Finding(raw[a:b].decode(errors="replace"), raw[max(0, a - NEAR) : a].decode(errors="replace"), raw[b : b + NEAR].decode(errors="replace"), path or "") for a, b in spans]
+    some = [Finding(raw[a:b].decode(errors="replace"), raw[max(0, a - NEAR) : a].decode(errors="replace"), raw[b : b + NEAR].decode(errors="replace"), path or "", name.decode(errors="replace")) for a, b, name in spans]
     scores = forest.scores(np.array([features(f) for f in some]))
-    return [(a, b, float(s)) for (a, b), s in zip(spans, scores, strict=True) if s >= threshold]
+    return [(a, b, float(s)) for (a, b, _), s in zip(spans, scores, strict=True) if s >= threshold]
 
 
 def scan(docs: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
@@ -223,9 +231,11 @@ def scan(docs: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: s
             paths = batch.column(2).to_pylist() if path_col else [None] * batch.num_rows
             for k0 in range(0, batch.num_rows, 256):
                 for k, raw in enumerate(batch.column(1).slice(k0, 256).cast(pa.binary()).to_pylist(), k0):
+                    last = chars = 0
                     for a, b, s in find(raw, paths[k], forest, threshold):
                         at.append(k)
-                        starts.append(len(raw[:a].decode(errors="replace")))
+                        chars, last = chars + len(raw[last:a].decode(errors="replace")), a
+                        starts.append(chars)
                         lengths.append(len(raw[a:b].decode(errors="replace")))
                         scores.append(s)
                         hashes.append(hashlib.sha256(raw[a:b]).hexdigest())

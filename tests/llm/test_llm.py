@@ -285,6 +285,51 @@ def test_secrets(spark, odd, nothing):
     assert secret_scan.scan(nothing, forest).count() == 0 and secret_scan.redact(odd, forest).count() == odd.count()
 
 
+def test_long_secrets_leave_no_byte(spark):
+    """Values of any length go whole, whatever stands between name and value; look-alikes of that length stay."""
+    rng = np.random.default_rng(3)
+    forest, rows, want = secret_scan.fit(), [], {}
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    for n in (20, 40, 512, 513, 600, 5_000, 100_000):
+        value = "".join(rng.choice(letters, n))
+        for k, (head, tail) in enumerate((('é token = "', '" of'), ("the password: ", " is"), ("secret_for_the_production_database_of_the_shop=", "\nx"), ("api_key" + " " * 60 + "= '", "';"), ("https://host/?lang=en&token=", ""))):
+            rows.append((10 * n + k, head + value + tail))
+            want[10 * n + k] = (head + "[SECRET]" if k < 4 else "", tail)
+        rows.append((10 * n + 9, "data:image/png;base64," + value + " end"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    red = {r.doc_id: r.text for r in secret_scan.redact(frame, forest, path_col=None).collect()}
+    for i, (head, tail) in want.items():
+        assert red[i] == head + "[SECRET]" * (not head) + tail or (not head and red[i].endswith("[SECRET]") and len(red[i]) < 60), (i, red[i][:80])
+    assert sum(red[10 * n + 9] == dict(rows)[10 * n + 9] for n in (512, 513, 600, 5_000, 100_000)) >= 4
+    spans = {r.doc_id: (r.start, r.length) for r in secret_scan.scan(frame, forest, path_col=None).collect()}
+    assert spans[5_130] == (11, 513) and spans[1_000_001] == (14, 100_000)
+
+
+def test_candidates_read_a_text_once():
+    """Texts made to set patterns back take time in proportion to their length."""
+    import time
+
+    for unit in (b"token=", b"a.", b"x ", b"= ", b"password : ", b"aaaaaaaaaaaaaaa", b"'\"=:"):
+        began = time.perf_counter()
+        secret_scan.candidates(unit * (1_000_000 // len(unit)))
+        assert time.perf_counter() - began < 3, unit
+    assert secret_scan.candidates(b"token=" * 1000) == [(6, 6000, b"token")]
+
+
+def test_secrets_of_the_documents(spark):
+    """The marked tokens of the tables are found, all of them, and card numbers are not."""
+    import re
+
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    found = {(r.doc_id, r.start, r.length) for r in secret_scan.scan(table, secret_scan.fit()).collect()}
+    marked, numbers = set(), set()
+    for r in table.collect():
+        marked |= {(r.doc_id, m.start(1), m.end(1) - m.start(1)) for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or "")}
+        numbers |= {(r.doc_id, m.start(), 16) for m in re.finditer(r"(?<!\w)\d{16}(?!\w)", r.text or "")}
+    assert len(marked) >= 10 and len(numbers) >= 20
+    assert marked <= found and not found & numbers and len(found) <= len(marked) + 2
+
+
 def test_mixing(spark, odd, nothing):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source", F.lit(1).alias("n_chars"), F.lit("x").alias("range"))
     rows = mixing.digests(table).collect()
