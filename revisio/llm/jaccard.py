@@ -11,11 +11,12 @@ differ in at most D bits, so that a pair whose sketches differ in more than (|A|
 bits cannot be similar. Sketches are a few bits a shingle; texts are read for the pairs alone
 that they leave, and are compared whole.
 
-Two rounds first compare the sets of a shared shingle with one of them, so that a large group
-of near copies is one component early; then all pairs that share a shingle and lie in
-different components are compared. Components rest on sketches until the texts are read;
-where a text then refutes a pair, all pairs of that component that the refuted one may have
-hidden are compared as well.
+Two rounds first compare the sets of a shared shingle with one of them, at first with the one
+that has the fewest shingles of its own (an unchanged original, where there is one), so that
+a large group of near copies is one component early. Then all sets that share a shingle and
+lie in different components are compared: pairs of few rows by a join; where more than CROWD
+rows share a shingle, sketches meet in groups, one for all shingles with the same first set,
+and only what they leave is a pair. A large group is dealt to pairs of its parts.
 
 Defined results. Fewer words than a shingle: the whole sequence is the one shingle. Texts
 without words are copies of each other alone. Words are as in `simhash`. Shingles, equal sets
@@ -28,12 +29,13 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisio.llm.keyed import all_pairs, open_rows, shared_keys, stars
+from revisio.llm.keyed import all_pairs, open_rows, shared_keys, stars, whole_groups
 from revisio.llm.tokens import give_back, slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
@@ -43,6 +45,8 @@ SHINGLE, SEED, COMMON = 5, 42, 100_000
 SAMPLE, SAMPLE_EACH = 10_000, 64
 #: Rows (16 bytes each) up to which a side is broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS, SKETCH_BITS = 500_000, 1 << 23
+#: Rows of a shingle that are paired by a join, and rows of a part of a larger group.
+CROWD, PART = 32, 2_048
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -68,8 +72,8 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Parities of the hashes by their lowest bits, at least two bits a hash (up to SKETCH_BITS)."""
-    m = min(SKETCH_BITS, 1 << max(6, (2 * len(found) - 1).bit_length()))
+    """Parities of the hashes by their lowest bits, at least four bits a hash (up to SKETCH_BITS)."""
+    m = min(SKETCH_BITS, 1 << max(6, (4 * len(found) - 1).bit_length()))
     odd = np.bincount((found & (m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -179,35 +183,82 @@ def _confirm(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return both.select("a", "b", "text", "other").mapInArrow(_check, "a bigint, b bigint")
 
 
-def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """Similar pairs (a, b) that join all that is similar. shared: key, node, n; sketches: node, n, sketch, text_hash; texts: text_hash, text."""
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    return words if words.shape[1] == width else np.bitwise_xor.reduce(words.reshape(len(words), -1, width), axis=1)
+
+
+def near_in_group(node: np.ndarray, n: np.ndarray, label: np.ndarray, sketches: list[bytes], asks: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of sets with different labels that sketches do not rule out. asks: rows that only meet the others; none: all pairs."""
+    sizes = np.array([len(x) // 8 for x in sketches])
+    by_width = {w: np.flatnonzero(sizes == w) for w in np.unique(sizes).tolist()}
+    words = {w: np.frombuffer(b"".join(sketches[k] for k in at), "<u8").reshape(-1, w) for w, at in by_width.items()}
+    found = []
+    for w, at in by_width.items():
+        for v, other in by_width.items():
+            if not w <= v <= 2 * w:  # sizes of similar sets differ by a quarter at most
+                continue
+            far = _folded(words[v], w)
+            for begin in range(0, len(at), rows):
+                some = at[begin : begin + rows]
+                fits = (label[some][:, None] != label[other][None]) & (5 * np.minimum(n[some][:, None], n[other][None]) >= 4 * np.maximum(n[some][:, None], n[other][None]))
+                fits &= (asks[some][:, None] != asks[other][None]) if asks.any() else (node[some][:, None] < node[other][None]) if w == v else True
+                i, j = np.nonzero(fits)
+                for k in range(0, len(i), 65_536):
+                    x, y = i[k : k + 65_536], j[k : k + 65_536]
+                    apart_by = np.bitwise_count(words[w][begin + x] ^ far[y]).sum(1, dtype=np.int64)
+                    near = 9 * apart_by <= n[some[x]] + n[other[y]]
+                    found.append((some[x[near]], other[y[near]]))
+    return tuple(np.concatenate([np.empty(0, np.int64), *(f[k] for f in found)]) for k in range(2))
+
+
+def _near_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in whole_groups(batches, ["center", "low", "high"], 10_000):
+        for at in rows.groupby(["center", "low", "high"], sort=False).indices.values():
+            some = rows.iloc[at]
+            node = some["node"].to_numpy()
+            i, j = near_in_group(node, some["n"].to_numpy(np.int64), some["label"].to_numpy(), some["sketch"].to_list(), some["asks"].to_numpy(bool))
+            pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1), axis=0)
+            for k in range(0, len(pairs), 10_000):
+                yield pd.DataFrame(pairs[k : k + 10_000], columns=["a", "b"])
+
+
+def _crowded_pairs(rows: DataFrame, slim: DataFrame, part: int) -> DataFrame:
+    """rows: center, node, label. Pairs (a, b) of a group with different labels that sketches do not rule out."""
+    sizes = rows.groupBy("center").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
+    met = rows.join(sizes, "center").select("center", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = met.select("center", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "label", (F.col("own") > F.col("other")).alias("asks"))
+    of = ["center", "low", "high"]
+    return dealt.join(slim, "node").repartition(*of).sortWithinPartitions(*of, "node").mapInPandas(_near_groups, "a bigint, b bigint").distinct()
+
+
+def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int = CROWD, part: int = PART) -> DataFrame:
+    """Similar pairs (a, b) that join all that is similar. shared: key, node, n, own (shingles of its prefix that no other has); sketches: node, n, sketch, text_hash; texts: text_hash, text."""
     scratch = Scratch(shared.sparkSession, "jaccard-links")
     slim = sketches.select("node", "n", "sketch")
+
+    def texts_of(pairs: DataFrame, name: str) -> DataFrame:
+        asked = scratch.cut(sketches.select("node", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), f"asked-{name}")
+        return scratch.cut(texts.join(small_side(asked, asked.count()), "text_hash").dropDuplicates(["node"]).select("node", "text"), f"held-{name}")
+
     near = None
-    for turn, find in enumerate((lambda s: stars(s, F.col("node"), _fits), lambda s: stars(s, F.xxhash64("node", "key"), _fits), lambda s: all_pairs(s, _fits))):
+    for turn, order in enumerate((F.struct("own", "node"), F.xxhash64("node", "key"))):
         state = scratch.cut(open_rows(shared, near if near is None else connected_components(near)), f"state-{turn}")
-        pairs = scratch.cut(find(state), f"pairs-{turn}")
-        new = scratch.cut(_compare(pairs, slim), f"near-{turn}")
-        scratch.drop(f"state-{turn}", f"pairs-{turn}")
+        new = scratch.cut(_compare(stars(state, order, _fits), slim), f"near-{turn}")
         near = new if near is None else near.union(new)
-    asked = scratch.cut(sketches.select("node", "text_hash").join(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), "asked")
-    held = scratch.cut(texts.join(small_side(asked, asked.count()), "text_hash").dropDuplicates(["node"]).select("node", "text"), "held")
-    found = scratch.cut(_confirm(near, held), "links")
-    refuted = near.join(found, ["a", "b"], "left_anti")
-    if not refuted.isEmpty():
-        # Pairs of one component by sketches that lie in different ones by texts.
-        told = scratch.cut(connected_components(near).withColumnRenamed("component", "told"), "told")
-        doubtful = told.join(refuted.select(F.col("a").alias("node")).join(told, "node").select("told").distinct(), "told")
-        state = scratch.cut(open_rows(shared.join(doubtful, "node"), connected_components(found)), "doubtful")
-        pairs = all_pairs(state, _fits, F.col("ltold") == F.col("rtold")).join(near, ["a", "b"], "left_anti")
-        again = scratch.cut(_compare(scratch.cut(pairs, "pairs-again"), slim), "near-again")
-        found = found.union(scratch.cut(_confirm(again, held), "links-again"))
-    scratch.drop("held")
-    return found
-
-
-def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, text_hash, root (the same for all that similar pairs join)."""
+    found = scratch.cut(_confirm(near, texts_of(near, "stars")), "links-stars")
+    # What is in different components by texts: all pairs that no round has compared.
+    state = scratch.cut(open_rows(shared, connected_components(found)), "state-rest")
+    keys = state.groupBy("key").agg(F.count("*").alias("rows"), F.min_by("node", F.struct("own", "node")).alias("center"))
+    few = all_pairs(state.join(keys.where(F.col("rows") <= crowd).select("key"), "key"), _fits)
+    many = state.join(keys.where(F.col("rows") > crowd).select("key", "center"), "key").select("center", "node", "label").distinct()
+    pairs = scratch.cut(_compare(few, slim).union(_crowded_pairs(many, slim, part)), "near-rest").distinct().join(near, ["a", "b"], "left_anti")
+    rest = scratch.cut(pairs, "rest")
+    return found.union(scratch.cut(_confirm(rest, texts_of(rest, "rest")), "links-rest"))
+
+
+def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **groups: int) -> DataFrame:
+    """One row per document: id, text_hash, root (the same for all that similar pairs join). groups: crowd and part of `links`."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
@@ -216,7 +267,10 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rows = scratch.cut(marked.select("id", "text_hash", "node"), "rows")
     sketches = scratch.cut(marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
     each = marked.select("node", F.explode("keys").alias("key"))
-    shared = scratch.cut(shared_keys(each).join(sketches.select("node", "n"), "node"), "shared")
+    found = scratch.cut(shared_keys(each), "keys")
+    of = found.groupBy("node").agg(F.count("*").alias("others")).join(sketches.select("node", "n"), "node")
+    own = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1 - F.col("others")
+    shared = scratch.cut(found.join(of.select("node", "n", own.alias("own")), "node"), "shared")
     scratch.drop("prefixes")
-    joined = connected_components(links(shared, sketches, texts.select("text_hash", "text")))
+    joined = connected_components(links(shared, sketches, texts.select("text_hash", "text"), **groups))
     return rows.join(joined, "node", "left").select(F.col("id").alias(id_col), "text_hash", F.coalesce("component", "node").alias("root"))

@@ -6,6 +6,10 @@ rows of one key with different labels are left to pair.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +44,22 @@ def all_pairs(state: DataFrame, fits=None, extra: Column | None = None) -> DataF
     for more in ([] if fits is None else [fits("ln", "rn")]) + ([] if extra is None else [extra]):
         both = both & more
     return side("l").join(side("r"), "key").where(both).select(F.col("lnode").alias("a"), F.col("rnode").alias("b")).distinct()
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], of: list[str], least: int = 100_000) -> Iterator[pd.DataFrame]:
+    """Frames of about `least` rows that end where a group ends; rows come in the groups' order."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in batches:
+        held.append(frame)
+        size += len(frame)
+        if size < least:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        others = np.flatnonzero((rows[of] != rows[of].iloc[-1]).any(axis=1))
+        end = int(others[-1]) + 1 if len(others) else 0
+        if end:
+            yield rows.iloc[:end].reset_index(drop=True)
+        held, size = [rows.iloc[end:]], size - end
+    if size:
+        yield pd.concat(held, ignore_index=True)

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisio.llm import jaccard
+from revisio.llm.keyed import whole_groups
 from revisio.llm.tokens import slices
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
@@ -199,27 +200,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 _PAIR = ["key", "low", "high"]
 
 
-def _whole_groups(batches: Iterator[pd.DataFrame], least: int = 100_000) -> Iterator[pd.DataFrame]:
-    """Frames of about `least` rows that end where a group ends; rows come in the groups' order."""
-    held: list[pd.DataFrame] = []
-    size = 0
-    for frame in batches:
-        held.append(frame)
-        size += len(frame)
-        if size < least:
-            continue
-        rows = pd.concat(held, ignore_index=True)
-        others = np.flatnonzero((rows[_PAIR] != rows[_PAIR].iloc[-1]).any(axis=1))
-        end = int(others[-1]) + 1 if len(others) else 0
-        if end:
-            yield rows.iloc[:end].reset_index(drop=True)
-        held, size = [rows.iloc[end:]], size - end
-    if size:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _links_of(batches: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
-    for rows in _whole_groups(batches):
+    for rows in whole_groups(batches, _PAIR):
         group = (rows[_PAIR] != rows[_PAIR].shift()).any(axis=1).cumsum().to_numpy()
         prints = rows["print"].to_numpy().view(np.uint64)
         a, b = spanning_links(prints, group, rows["asks"].to_numpy(), radius)

@@ -190,20 +190,45 @@ def test_sketches_bound_the_difference():
     assert jaccard.sketch(np.empty(0, np.int64)) == bytes(8)
 
 
-def test_refuted_pairs_hide_no_link(spark):
-    """Sketches of two bits a hash let pairs of 0.72 to 0.8 pass; what such pairs join is looked at again."""
-    rng = np.random.default_rng(12)
+def variants(rng):
+    """Originals with copies of one to ten changed words of 200: their similarity is around the threshold."""
     rows = []
     for base in range(6):
         words = [f"g{base}w{k}" for k in range(200)]
         for copy in range(12):
             at = set(rng.choice(200, rng.integers(1, 11), replace=False).tolist())
             rows.append((100 * base + copy, " ".join(f"x{copy}k{k}" if k in at else w for k, w in enumerate(words))))
+    return rows
+
+
+@pytest.mark.parametrize("groups", [{}, {"crowd": 1, "part": 4}, {"crowd": 1}])
+def test_refuted_pairs_hide_no_link(spark, groups):
+    """Pairs that only sketches let pass hide nothing, and groups in parts find what joins find."""
+    rows = variants(np.random.default_rng(12))
     want, first = brute_near_copies(rows), {}
     for (i, _), k in zip(rows, want, strict=True):
         first[k] = min(first.get(k, i), i)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert 6 < len(first) < len(rows) and sorted(r.doc_id for r in simhash.keep_one(frame).collect()) == sorted(first.values())
+    roots = {}
+    for r in jaccard.components(frame, **groups).collect():
+        roots.setdefault(r.root, []).append(r.doc_id)
+    assert 6 < len(first) < len(rows) and sorted(map(min, roots.values())) == sorted(first.values())
+
+
+def test_groups_of_sketches_equal_all_pairs():
+    rng = np.random.default_rng(13)
+    sets = []
+    for size in (5, 14, 15, 16, 17, 30, 60, 64, 65, 130):
+        base = rng.integers(-(2**63), 2**63, size)
+        sets += [np.unique(np.concatenate([base[rng.random(size) > share], rng.integers(-(2**63), 2**63, int(size * share))])) for share in (0, 0, 0.05, 0.1, 0.2)]
+    n, node = np.array([len(x) for x in sets]), rng.permutation(len(sets))
+    label, sketches = rng.integers(0, 40, len(sets)), [jaccard.sketch(x) for x in sets]
+    fits = lambda i, j: label[i] != label[j] and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j]) and 9 * jaccard.apart(sketches[i], sketches[j]) <= n[i] + n[j]
+    want = {(i, j) for i in range(len(sets)) for j in range(i) if fits(i, j)}
+    order = lambda i, j: {(max(a, b), min(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
+    assert len(want) > 30 and order(*jaccard.near_in_group(node, n, label, sketches, np.zeros(len(sets), bool), 7)) == want
+    asks = rng.random(len(sets)) < 0.5
+    assert order(*jaccard.near_in_group(node, n, label, sketches, asks, 7)) == {(i, j) for i, j in want if asks[i] != asks[j]}
 
 
 def brute_near_copies(rows):
