@@ -2,10 +2,15 @@
 
 Each partition tokenises its documents and packs its pieces best-fit decreasing. Nearly
 full bins are final there and then. Underfull bins become the items of the next round:
-a few partitions' bins meet in one task, are packed best-fit again, and so on up a tree.
+`fan_in` partitions' bins meet in one task, are packed best-fit again, and so on up a tree.
 A bin that joins another moves as one block, so that only (bin, root, base) triples move,
 never the pieces. All pieces meet their final places in one equi-join at the end.
 
+No two bins that a round leaves fit together, so that a node has at most one bin that is at
+most half full, and every merge of the next round needs one of these: at most `fan_in` in a
+group. Of the bins of one fill a group therefore reads `fan_in`, all that the round could use,
+whatever the number of underfull bins; what moves is less than one bin a partition.
+
 Defined results. Null or empty text: one piece that holds the end id alone. A document
 over the capacity: pieces of exactly the capacity, the last one shorter. Repeated rows:
 each row has pieces of its own. Null ids: kept as null. Empty table: no rows. Other
@@ -14,7 +19,6 @@ columns are not read, so that their names cannot clash.
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -22,13 +26,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revisio.llm import tokens
 from revisio.plans.lineage import Scratch
 
-CAPACITY, END_ID, SLACK, FAN_IN, TASK_BINS = 4096, 1, 4, 16, 500_000
+CAPACITY, END_ID, SLACK, FAN_IN = 4096, 1, 4, 16
 GROUP_BYTES = 1 << 21  # text that a worker encodes at once
 
 
@@ -86,19 +90,20 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
 
 
 def _pack_bins(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """What changes: bins that move into another (their root, at `base`), and roots with the fill they have now."""
     frame = frame.sort_values(["fill", "bin"], ascending=[False, True], kind="stable", ignore_index=True)
     bins, offsets, fills = best_fit(frame["fill"].to_numpy(), capacity)
     first = np.full(len(fills), -1, np.int64)
     starting = np.flatnonzero(offsets == 0)
     first[bins[starting]] = frame["bin"].to_numpy()[starting]
-    return pd.DataFrame({"bin": frame["bin"], "root": first[bins], "base": offsets, "root_fill": fills[bins]})
+    packed = pd.DataFrame({"bin": frame["bin"], "root": first[bins], "base": offsets, "fill": fills[bins]})
+    return packed[(np.bincount(bins, minlength=len(fills)) > 1)[bins]]
 
 
-def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, slack: int = SLACK, fan_in: int = FAN_IN, task_bins: int = TASK_BINS) -> DataFrame:
+def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, slack: int = SLACK, fan_in: int = FAN_IN) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    slack: free tokens up to which a bin is nearly full. task_bins: underfull bins that may
-    meet in one task; if more are left at the top of the tree, it ends in several tasks.
+    slack: free tokens up to which a bin is nearly full. fan_in: nodes that meet in a round.
     """
     spark, path = docs.sparkSession, vocabulary or tokens.vocabulary()
     kind = docs.schema[id_col].dataType.simpleString()
@@ -106,29 +111,25 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", voc
     layout = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, place bigint, fill bigint"
     placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, path, capacity, end_id), layout), "round-0")
 
-    items = placed.where((F.col("place") == 0) & (F.col("fill") < capacity - slack)).select("bin", "fill", F.shiftright("bin", 32).alias("node"))
-    moved = None
-    nodes, left = items.agg(F.max("node"), F.count("*")).first()
-    nodes = (nodes or 0) + 1
-    for turn in range(1, 2 + math.ceil(math.log(max(nodes, 2), fan_in))):
-        if left < 2:
-            break
-        groups = max(math.ceil(nodes / fan_in), math.ceil(left / task_bins))
-        width = max(2, math.ceil(nodes / groups))
-        joined = (
-            items.withColumn("node", F.floor(F.col("node") / width))
-            .groupBy("node")
-            .applyInPandas(lambda key, x: _pack_bins(x, capacity).assign(node=key[0]), "bin bigint, root bigint, base bigint, root_fill bigint, node bigint")
-        )
-        joined = scratch.cut(joined, f"round-{turn}")
-        step = joined.select(F.col("bin").alias("root"), F.col("root").alias("root_2"), F.col("base").alias("base_2"))
-        moved = joined.select("bin", "root", "base") if moved is None else scratch.cut(
-            moved.join(step, "root", "left").select("bin", F.coalesce("root_2", "root").alias("root"), (F.col("base") + F.coalesce("base_2", F.lit(0))).alias("base")), f"moved-{turn}"
-        )
-        items = joined.where((F.col("bin") == F.col("root")) & (F.col("root_fill") < capacity - slack)).select("bin", F.col("root_fill").alias("fill"), "node")
-        nodes, before, left = math.ceil(nodes / width), left, items.count()
-        if nodes == 1 or groups * fan_in > nodes * width and left == before:
-            break
+    items = scratch.cut(placed.where((F.col("place") == 0) & (F.col("fill") < capacity - slack)).select("bin", "fill"), "items")
+    nodes = (items.agg(F.max(F.shiftright("bin", 32))).first()[0] or 0) + 1
+    changed, moved, width, turn = None, None, 1, 0
+    while width < nodes:
+        width, turn = width * fan_in, turn + 1
+        now = items
+        if changed is not None:
+            told = changed.select(F.col("bin").alias("told"), F.when(F.col("bin") == F.col("root"), F.col("fill")).otherwise(-1).alias("now"))
+            now = items.join(told, F.col("bin") == F.col("told"), "left").select("bin", F.coalesce("now", "fill").alias("fill")).where((F.col("fill") >= 0) & (F.col("fill") < capacity - slack))
+        group = F.floor(F.shiftright("bin", 32) / width)
+        of_fill = Window.partitionBy("node", "fill").orderBy("bin")
+        met = now.withColumn("node", group).withColumn("n", F.row_number().over(of_fill)).where(F.col("n") <= fan_in)
+        step = scratch.cut(met.groupBy("node").applyInPandas(lambda x: _pack_bins(x, capacity), "bin bigint, root bigint, base bigint, fill bigint"), f"round-{turn}")
+        new = step.where("bin <> root").select(F.col("bin").alias("root"), F.col("root").alias("root_2"), F.col("base").alias("base_2"))
+        own = step.where("bin <> root").select("bin", "root", "base")
+        if moved is not None:
+            own = moved.join(new, "root", "left").select("bin", F.coalesce("root_2", "root").alias("root"), (F.col("base") + F.coalesce("base_2", F.lit(0))).alias("base")).union(own)
+            step = changed.join(step.select("bin"), "bin", "left_anti").union(step)
+        moved, changed = scratch.cut(own, f"moved-{turn}"), scratch.cut(step, f"changed-{turn}")
     if moved is None:
         moved = spark.createDataFrame([], "bin bigint, root bigint, base bigint")
     return placed.join(moved, "bin", "left").select(

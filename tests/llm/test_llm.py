@@ -103,6 +103,45 @@ def test_packing(spark, docs, odd, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+def fewest_bins(sizes, capacity):
+    """Least number of bins, by trying all ways."""
+    best = len(sizes)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(sizes):
+            best = len(rooms)
+            return
+        for i in range(len(rooms)):
+            if rooms[i] >= sizes[k]:
+                place(k + 1, [*rooms[:i], rooms[i] - sizes[k], *rooms[i + 1 :]])
+        place(k + 1, [*rooms, capacity - sizes[k]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("kind", ["few", "halves", "large", "mixed"])
+def test_packing_up_the_tree(spark, kind):
+    """No two sequences fit together, over partitions whose bins only meet up the tree; few pieces: against all packings."""
+    rng = np.random.default_rng(21)
+    sizes = {"few": rng.integers(1, 16, 9), "halves": rng.integers(7, 10, 300), "large": rng.integers(9, 17, 400), "mixed": rng.integers(1, 40, 500)}[kind].tolist()
+    frame = spark.createDataFrame([(k, " ".join(["a"] * (n - 1))) for k, n in enumerate(sizes)], "doc_id bigint, text string").repartition(11)
+    rows = packing.pack(frame, capacity=16, slack=0, fan_in=2).collect()
+    fills, pieces = {}, {}
+    for r in rows:
+        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
+        pieces.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sum(fills.values()) == sum(sizes) and max(fills.values()) <= 16
+    assert all(sorted(p) == [(sum(n for _, n in sorted(p)[:k]), sorted(p)[k][1]) for k in range(len(p))] for p in pieces.values())
+    least = sorted(fills.values())
+    assert len(least) < 2 or least[0] + least[1] > 16
+    if kind == "few":
+        assert len(fills) <= fewest_bins(sizes, 16) + 1
+
+
 def test_best_fit_of_large_items():
     bins, offsets, fills = packing.best_fit(np.array([2500, 2500, 1500, 1500, 96, 96]))
     assert fills.tolist() == [4096, 4096] and bins[0] != bins[1] and offsets.max() == 4000
