@@ -37,6 +37,14 @@ def stars(state: DataFrame, order: Column, fits=None) -> DataFrame:
     return pairs.select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")).distinct()
 
 
+def nearest_stars(state: DataFrame, order: Column) -> DataFrame:
+    """As `stars`, but for each row's node only the one that it shares most keys with: a pair a node at most."""
+    one = state.groupBy("key").agg(F.min_by(F.struct("node", "label"), order).alias("one"))
+    met = state.join(one, "key").where(F.col("label") != F.col("one.label")).groupBy("node", F.col("one.node").alias("other")).agg(F.count("*").alias("n"))
+    best = met.groupBy("node").agg(F.max(F.struct("n", "other"))["other"].alias("other"))
+    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def all_pairs(state: DataFrame, fits=None, extra: Column | None = None) -> DataFrame:
     """Pairs (a, b) of all rows of a key with different labels. extra: a condition on columns named l... and r..."""
     side = lambda s: state.select("key", *(F.col(c).alias(s + c) for c in state.columns if c != "key"))
