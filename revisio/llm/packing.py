@@ -59,7 +59,7 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return bins, offsets, np.array(fills, np.int64)
 
 
-def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def _pack_partition(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder, end = tokens.encoder(path, GROUP_BYTES), np.array([end_id], "<u4").tobytes()
     ids, rows, pieces, starts, lengths, crcs = [], [], [], [], [], []
     n_docs = 0
@@ -105,11 +105,11 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", voc
 
     slack: free tokens up to which a bin is nearly full. fan_in: nodes that meet in a round.
     """
-    spark, path = docs.sparkSession, vocabulary or tokens.vocabulary()
+    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "packing")
     layout = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, place bigint, fill bigint"
-    placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, path, capacity, end_id), layout), "round-0")
+    placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, vocabulary, capacity, end_id), layout), "round-0")
 
     items = scratch.cut(placed.where((F.col("place") == 0) & (F.col("fill") < capacity - slack)).select("bin", "fill"), "items")
     nodes = (items.agg(F.max(F.shiftright("bin", 32))).first()[0] or 0) + 1

@@ -5,6 +5,10 @@ text are the ids of its space-separated words, one after another. A group of tex
 into words and these are numbered in Arrow and numpy; the library encodes the distinct
 ones, and their ids are then laid out by number. The ids of letter runs and runs of marks
 are kept from group to group, in a cache of bounded size.
+
+Ids are those of the library's plain call on the whole text. A text that holds the string of an
+added token goes to the library whole, and so does every text if the file's normaliser or
+pre-tokenizer is not the one that the cutting relies on.
 """
 
 from __future__ import annotations
@@ -28,6 +32,10 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Lower-case Latin-1 letters, then ASCII marks but the apostrophe: two pieces that no rule changes.
 _LETTERS, _MARKS = "^[a-zß-öø-ÿ]+$", "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+#: The normaliser and the pre-tokenizer under which words can be encoded apart.
+_NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {32: 32}
@@ -47,12 +55,16 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.path = Tokenizer.from_file(path), path
         with open(path, encoding="utf-8") as f:
-            bare = json.load(f) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
-        self.pieces = Tokenizer.from_str(json.dumps(bare))
-        (self.zero,) = self.pieces.encode("0", add_special_tokens=False).ids
+            layout = json.load(f)
+        self.by_word = layout["normalizer"] == _NORMALISER and layout["pre_tokenizer"] == _PRE_TOKENIZER
+        added = [t["content"].encode() for t in layout["added_tokens"]]
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
+        if self.by_word:
+            self.tokenizer.encode_special_tokens = True  # strings that only become an added token's when they are lower-cased are ordinary text
+            self.pieces = Tokenizer.from_str(json.dumps(layout | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+            (self.zero,) = self.pieces.encode("0", add_special_tokens=False).ids
         self.cache_words, self.group_bytes = cache_words, group_bytes
         self._forget()
 
@@ -70,15 +82,23 @@ class WordEncoder:
         size = 0
         for text in texts:
             raw = text.encode() if isinstance(text, str) else text or b""
+            if not self.by_word or (self.added and self.added.search(raw)):
+                out += self._group(group) if group else []
+                out.append(self._plain_call(raw))
+                group, size = [], 0
+                continue
             if size + len(raw) > self.group_bytes:
-                out += self._group(group)
+                out += self._group(group) if group else []
                 group, size = [], 0
             if len(raw) > self.group_bytes:
                 out.append(b"".join(self._group([part])[0] for part in slices(raw, self.group_bytes)))
                 continue
             group.append(raw)
             size += len(raw) + 1
-        return out + self._group(group)
+        return out + (self._group(group) if group else [])
+
+    def _plain_call(self, raw: bytes) -> bytes:
+        return np.array(plain(self.path).encode(raw.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
         chars = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
@@ -192,9 +212,17 @@ def slices(raw: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
 
 
 @functools.cache
-def encoder(path: str, group_bytes: int = GROUP_BYTES) -> WordEncoder:
-    """One encoder for each Python worker and size of group, kept from task to task."""
-    return WordEncoder(path, group_bytes=group_bytes)
+def plain(path: str):
+    """The library's tokenizer as the file has it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+@functools.cache
+def encoder(path: str | None, group_bytes: int = GROUP_BYTES) -> WordEncoder:
+    """One encoder for each Python worker and size of group, kept from task to task. path: on the worker; the default vocabulary where the worker has it, if null."""
+    return WordEncoder(path or vocabulary(), group_bytes=group_bytes)
 
 
 def give_back() -> None:

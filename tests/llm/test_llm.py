@@ -39,19 +39,29 @@ def docs(spark):
 def reference_ids(text):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.vocabulary())
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(tokens.vocabulary())  # the plain call of the library
     return [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_word_encoder_equals_the_library(docs):
-    texts = [r.text for r in docs.collect()] + ["", None, "İ can't, won't. ÉÁ \x1cx\x85y z 12.5,a.b,c. <|endoftext|> </s>, 你好 ΣΣ. x́ ́ 한 ,. a,. don't.###", "a,"]
+    texts = [r.text for r in docs.collect()] + ["", None, "İ can't, won't. ÉÁ \x1cx\x85y z 12.5,a.b,c. <|endoftext|> </s>, 你好 ΣΣ. x́ ́ 한 ,. a,. don't.###", "a,", "x <|ENDOFTEXT|> y", "a<|startoftext|>b <|EndOfText|>", "<|endoftext|>" * 3, "<|endoftext |> <|", "È<|endoftext|>É"]
     small = tokens.WordEncoder(tokens.vocabulary(), cache_words=50)
     assert [np.frombuffer(x, "<u4").tolist() for x in small.encode_all(texts)] == [reference_ids(t)[:-1] for t in texts]
     long = "ab, cd " * 500_000
     assert small.encode(long) == small.encode("ab, cd ") * 500_000
 
 
+def test_other_vocabularies_are_encoded_whole():
+    """A file with another normaliser gives the library's own ids."""
+    from tokenizers import Tokenizer
+
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    other, library = tokens.WordEncoder(path), Tokenizer.from_file(path)
+    texts = ["Two  spaces, a tab\tand É", "", None, "don't <|endoftext|> stop"]
+    assert not other.by_word
+    assert [np.frombuffer(x, "<u4").tolist() for x in other.encode_all(texts)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "x</s>\\[INST] <\\/s>"), (1, 0, "user", None), (1, 1, "assistant", "x</s>\\[INST] <\\/s>"), (2, None, None, "[/INST]"), (None, 0, "assistant", ""), (3, 0, "system", "<s>s"), (3, 1, "assistant", "é𝄞"), (3, 2, "assistant", "b")]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("segments", F.lit(1))
@@ -421,13 +431,58 @@ def test_store(spark, docs, odd, nothing, tmp_path):
         want = sorted(((r.doc_id, s, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for r, s, x in zip(rows, starts, ids, strict=False)), key=repr)
         assert sorted((tuple(r) for r in store.read(spark, folder).collect()), key=repr) == want
         assert [r.ids for r in store.read_ids(spark, folder).orderBy("ordinal").collect()] == ids
-    stored = spark.read.parquet(f"{folder[:-2]}s0/chunks")
+    stored = spark.read.parquet(f"file://{tmp_path}/s0/chunks")
     assert stored.count() == stored.select("digest").distinct().count()
-    damaged = stored.withColumn("payload", F.concat("payload", F.lit(b"\0\0")))
-    damaged.write.parquet(f"file://{tmp_path}/bad/chunks")
-    spark.read.parquet(f"file://{tmp_path}/s0/recipes").write.parquet(f"file://{tmp_path}/bad/recipes")
+    assert stored.count() < spark.read.parquet(f"file://{tmp_path}/s0/recipes").select(F.explode("chunks")).count()
+
+
+def copy_of(spark, tmp_path, name, **changed):
+    for part in ("chunks", "recipes", "manifest", "root"):
+        df = spark.read.parquet(f"file://{tmp_path}/whole/{part}")
+        changed.get(part, lambda d: d)(df).write.mode("overwrite").parquet(f"file://{tmp_path}/{name}/{part}")
+    return f"file://{tmp_path}/{name}"
+
+
+def test_damage_is_seen(spark, docs, tmp_path):
+    """A changed payload, recipe, manifest or root fails verify; a chunk that is gone fails read."""
+    store.write(docs, f"file://{tmp_path}/whole", files=3)
+    store.verify(spark, copy_of(spark, tmp_path, "same"))
+    first = (F.col("part") == 0) & (F.col("place") == 0)
+    bad = {
+        "payload": {"chunks": lambda d: d.withColumn("payload", F.when(F.col("at") == d.agg(F.min("at")).first()[0], F.concat("payload", F.lit(b"\0\0"))).otherwise(F.col("payload")))},
+        "digests": {"recipes": lambda d: d.withColumn("chunks", F.when(first, F.reverse("chunks")).otherwise(F.col("chunks"))).withColumn("chunks", F.when(first & (F.size("chunks") == 1), F.array(F.lit(b"x"))).otherwise(F.col("chunks")))},
+        "tokens": {"recipes": lambda d: d.withColumn("n_tokens", F.col("n_tokens") + first.cast("long"))},
+        "id": {"recipes": lambda d: d.withColumn("doc_id", F.when(first, -7).otherwise(F.col("doc_id")))},
+        "lost": {"recipes": lambda d: d.where(~first)},
+        "manifest": {"manifest": lambda d: d.withColumn("tokens_before", F.col("tokens_before") + 1)},
+        "root": {"root": lambda d: d.withColumn("root", F.reverse("root"))},
+    }
+    for name, changed in bad.items():
+        folder = copy_of(spark, tmp_path, name, **changed)
+        with pytest.raises(Exception, match="differ|damaged"):
+            store.verify(spark, folder)
     with pytest.raises(Exception, match="damaged"):
-        store.read(spark, f"file://{tmp_path}/bad").collect()
+        store.read(spark, f"file://{tmp_path}/payload").collect()
+    with pytest.raises(Exception, match="not stored"):
+        store.read(spark, copy_of(spark, tmp_path, "gone", chunks=lambda d: d.where(F.col("at") != d.agg(F.min("at")).first()[0]))).collect()
+
+
+def test_recipe_files_ascend(spark, tmp_path):
+    """Eight files, one after another, hold the documents in ascending order of their ids, without coalescing."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    table = spark.createDataFrame([((k * 37) % 1000, f"text {k}") for k in range(1000)], "doc_id bigint, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.write(table, f"file://{tmp_path}/order", files=8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [pq.read_table(f).to_pydict() for f in sorted(glob.glob(f"{tmp_path}/order/recipes/*.parquet"))]
+    assert len([f for f in files if f["doc_id"]]) == 8
+    assert [i for f in files for i in f["doc_id"]] == list(range(1000))
+    assert all(f["place"] == list(range(len(f["place"]))) and len(set(f["part"])) <= 1 for f in files)
 
 
 def test_cuts_and_crcs():
