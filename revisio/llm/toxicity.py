@@ -1,18 +1,20 @@
 """Toxicity scores by a counterfactual-regularised linear classifier.
 
 A text is the set of its words and word stems, hashed. The model is a sparse logistic
-regression, trained with proximal gradient steps in numpy. For each labelled text that
-names a group, twins are made that name other groups instead; squared differences of the
-twins' logits are penalised, so that naming a group moves the score as little as possible
-and the neutral mention of one is not taken for an insult.
-
-Training uses a bounded sample: the `sample` labelled rows with the least hash of their id.
-Only the features of these rows come to the driver. Words of fewer than `least` sampled
+regression, trained with proximal gradient steps in numpy. For each sentence of a labelled
+text that names a group, twins are made that name another group of its kind instead; squared
+differences of the logits of sentence and twin are penalised, so that naming a group moves the
+score as little as possible and the neutral mention of one is not taken for an insult. The
+groups are a parameter; IDENTITIES has some of English, German, French and Spanish.
+
+Training uses a bounded sample: the `sample` labelled documents with the least hashes of id and
+text. Only the features of these rows come to the driver. Words of fewer than `least` sampled
 texts are not features.
 
 Defined results. Null and empty texts: the model's bias alone. Labels other than 0 and 1,
-null labels, labels of ids that no document has: not used. Repeated ids: each row is scored.
-No usable labels, or one class alone: the base rate (0.5 without any) for every text.
+null labels, labels of null ids or of ids that no document has: not used. Conflicting labels
+of one id: toxic. Repeated ids: each row is scored, and each may be in the sample, which stays
+within its bound. Null ids: scored, never held out. No usable labels, or one class alone: the base rate (0.5 without any) for every text.
 """
 
 from __future__ import annotations
@@ -41,8 +43,20 @@ IDENTITIES = (
     ("deaf", "blind", "disabled", "autistic"),
     ("immigrant", "foreigner", "refugee", "citizen"),
     ("immigrants", "foreigners", "refugees", "citizens"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken"),
+    ("ausländer", "flüchtlinge", "einwanderer", "einheimische"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("gays", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    ("immigrés", "étrangers", "réfugiés", "citoyens"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("inmigrantes", "extranjeros", "refugiados", "ciudadanos"),
 )
-_GROUP = {w: g for g in IDENTITIES for w in g}
+_SENTENCE = re.compile(r"[.!?\n]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -67,6 +81,7 @@ class Model:
     bias: float
     weights: dict[int, float]
     known: dict[str, float] = field(default_factory=dict)
+    twins: int = 0  # counterfactual sentences that the fit used
 
     def of_word(self, word: str) -> tuple[tuple[int, float], ...]:
         return tuple((f, self.weights[f]) for f in features_of(word) if f in self.weights)
@@ -165,44 +180,59 @@ def train(rows: list[np.ndarray], twins: list[tuple[int, np.ndarray, np.ndarray]
     return Model(float(w[n]), {int(f): float(c) for f, c in zip(kept, w[:n], strict=True) if c})
 
 
-def twin_features(words: set[str], most: int = 3) -> list[tuple[list[int], list[int]]]:
-    """For a text's words: (features lost, features gained) when a group it names is swapped for others."""
-    out = []
-    for w in sorted(words & _GROUP.keys()):
-        group = _GROUP[w]
-        k = group.index(w)
-        for other in [group[(k + j) % len(group)] for j in range(1, min(most, len(group) - 1) + 1)]:
-            if other not in words:
-                out.append((features_of(w), features_of(other)))
-    return out
+def features_of_all(words: set[str]) -> set[int]:
+    return {f for w in words for f in features_of(w)}
+
 
+def twin_features(text: str, identities: tuple[tuple[str, ...], ...] = IDENTITIES, most: int = 3) -> list[tuple[list[int], list[int]]]:
+    """For each sentence that names a group and each of `most` other groups of its kind: (features lost, features gained).
 
-def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Features that another word of the sentence has as well are neither.
+    """
+    kind_of = {w: g for g in identities for w in g}
+    out: dict[tuple[tuple[int, ...], tuple[int, ...]], None] = {}
+    for sentence in _SENTENCE.split(text.lower()):
+        words = set(_LETTERS.findall(sentence))
+        for w in sorted(words & kind_of.keys()):
+            group = kind_of[w]
+            k, before = group.index(w), features_of_all(words)
+            for other in [group[(k + j) % len(group)] for j in range(1, min(most, len(group) - 1) + 1)]:
+                after = features_of_all((words - {w}) | {other})
+                out[tuple(sorted(before - after)), tuple(sorted(after - before))] = None
+    return [(list(a), list(b)) for a, b in out if a or b]
+
+
+def _training_rows(batches: Iterator[pa.RecordBatch], identities: tuple[tuple[str, ...], ...]) -> Iterator[pa.RecordBatch]:
+    """Columns text, y, place to y, place, features, twins."""
+    longs = pa.list_(pa.int64())
     for batch in batches:
-        rows, twins = [], []
-        for raw in batch.column(0).cast(pa.binary()).to_pylist():
-            words = words_of(raw or b"")
-            rows.append(sorted({f for w in words for f in features_of(w)}))
-            twins.append([{"lost": a, "gained": b} for a, b in twin_features(words)])
-        longs = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int32())), pa.array(twins, pa.list_(pa.struct([("lost", longs), ("gained", longs)])))], names=["y", "features", "twins"])
+        for at in range(0, batch.num_rows, 256):
+            some, rows, twins = batch.slice(at, 256), [], []
+            for raw in some.column(0).cast(pa.binary()).to_pylist():
+                rows.append(sorted(features_of_all(words_of(raw or b""))))
+                found = [t for part in slices(raw or b"") for t in twin_features(part.decode(), identities)]
+                twins.append([{"lost": a, "gained": b} for a, b in found])
+            yield pa.RecordBatch.from_arrays([some.column(1), some.column(2), pa.array(rows, pa.list_(pa.int32())), pa.array(twins, pa.list_(pa.struct([("lost", longs), ("gained", longs)])))], names=["y", "place", "features", "twins"])
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % 5 == 0
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, **options: float) -> Model:
-    """Train on documents with a label whose id is not held out, at most `sample` of them."""
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, identities: tuple[tuple[str, ...], ...] = IDENTITIES, **options: float) -> Model:
+    """Train on documents with a label whose id is not held out, at most `sample` of them. options: those of `train`."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("toxicity_y"))
     chosen = usable.orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "toxicity_y")
-    found = rows.mapInArrow(_training_rows, "y int, features array<int>, twins array<struct<lost:array<bigint>,gained:array<bigint>>>").toArrow()
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "toxicity_y", F.struct(F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("t")).alias("place"))
+    made = rows.mapInArrow(lambda it: _training_rows(it, identities), "y int, place struct<h:bigint,t:bigint>, features array<int>, twins array<struct<lost:array<bigint>,gained:array<bigint>>>")
+    found = made.orderBy("place").limit(sample).select("y", "features", "twins").toArrow()
     lists = found.column("features").combine_chunks()
     values, ends = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy()
     x = [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
     twins = [(i, np.array(t["lost"], np.int64), np.array(t["gained"], np.int64)) for i, ts in enumerate(found.column("twins").to_pylist()) for t in ts]
-    return train(x, twins, np.array(found.column("y").to_pylist(), float), **options)
+    model = train(x, twins, np.array(found.column("y").to_pylist(), float), **options)
+    model.twins = len(twins)
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
