@@ -12,7 +12,7 @@ of which the counts of distinct buckets go to the driver.
 
 Defined results. Null text or no letter: `und`, score 0. Null languages are not learnt.
 Ties of languages: the first by code point. No usable row: every text is `und`. Repeated
-ids: each row has a result. Other columns are not read.
+ids: each row has a result. Null ids: never held out, never learnt from. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -150,7 +150,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], *, epochs
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

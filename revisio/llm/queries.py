@@ -65,8 +65,8 @@ def op9_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs)
-    model.threshold = 0.0  # each text with a letter gets a language here
-    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+    threshold, model.threshold = model.threshold, 0.0  # each text with a letter gets a language here; `accepted` says what the calibrated rejection keeps
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", ((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= threshold)).alias("accepted"))
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id)}

@@ -338,13 +338,62 @@ def test_counterfactual_pull():
     said += [(f"the christian neighbour is {w}", 0) for w in ("kind", "nice", "here")] * 8 + [("what a moron and scum", 1), ("a nice day here", 0)] * 6
     words = [toxicity.words_of(t.encode()) for t, _ in said]
     rows = [np.array(sorted({f for w in ws for f in toxicity.features_of(w)})) for ws in words]
-    twins = [(i, np.array(a), np.array(b)) for i, ws in enumerate(words) for a, b in toxicity.twin_features(ws)]
+    twins = [(i, np.array(a), np.array(b)) for i, (t, _) in enumerate(said) for a, b in toxicity.twin_features(t)]
     y = np.array([v for _, v in said], float)
     gap = lambda m: abs(m.logit(b"the muslim neighbour is kind") - m.logit(b"the christian neighbour is kind"))
     plain, fair = toxicity.train(rows, [], y, least=1, screen=0.5), toxicity.train(rows, twins, y, least=1, screen=0.5, fair=5.0)
     assert gap(fair) < 0.5 * gap(plain) and fair.scores([b"what a moron"])[0] > 0.5
 
 
+def test_twins_are_of_sentences():
+    """A feature that another word of the sentence has is neither lost nor gained; other sentences do not matter."""
+    one = toxicity.twin_features("The female and the females. Women came")
+    f = lambda w: set(toxicity.features_of(w))
+    lost = [set(a) for a, _ in one]
+    assert {toxicity.features_of("female")[0]} in lost and f("women") in lost  # the stem of `female` stays with `females`
+    assert not toxicity.twin_features("nothing here. ") and toxicity.twin_features("die frauen", (("frauen", "männer"),)) == [(sorted(f("frauen")), sorted(f("männer")))]
+
+
+def test_counterfactuals_lower_false_positives(spark):
+    """Documents with planted mentions: groups that toxic texts name often are not held against neutral ones."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    rng = np.random.default_rng(17)
+    named, others = ("muslims", "immigrants", "women", "juden", "musulmans", "mujeres"), ("christians", "citizens", "men", "christen", "chrétiens", "hombres")
+    texts, marks = [], []
+    for r in table.join(labels, "doc_id").collect():
+        if rng.random() < (0.8 if r.toxic else 0.02):
+            pick = named[rng.integers(6)]
+        else:
+            pick = others[rng.integers(6)]
+        texts.append((r.doc_id, f"{r.text} . all the {pick} of the town ."))
+        marks.append((r.doc_id, r.toxic))
+    frame, marked = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    plain, fair = toxicity.fit(frame, marked, fair=0.0), toxicity.fit(frame, marked, fair=5.0)
+    assert fair.twins > 300
+    said = [f"the meeting of {w} was in the town hall ." for w in named]
+    swapped = [f"the meeting of {w} was in the town hall ." for w in others]
+    gap = lambda m: np.abs(m.scores([t.encode() for t in said]) - m.scores([t.encode() for t in swapped])).mean()
+    clean = [t for (i, t), (_, y) in zip(texts, marks, strict=True) if not y]
+    neutral = [t.encode().rpartition(b" . all the ")[0] + b" . all the " + w.encode() + b" of the town ." for t in clean for w in named]
+    wrong = lambda m: float((m.scores(neutral) >= 0.5).mean())
+    rows = [(t, y) for (i, t), (_, y) in zip(texts, marks, strict=True) if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = lambda m: np.mean((m.scores([t.encode() for t, _ in rows]) >= 0.5) == [y for _, y in rows])
+    print(gap(plain), gap(fair), wrong(plain), wrong(fair), right(plain), right(fair))
+    assert gap(fair) < 0.5 * gap(plain) and wrong(fair) < wrong(plain) and right(fair) >= right(plain) - 0.03
+
+
+def test_toxicity_sample_is_bounded(spark):
+    """An id that many rows repeat does not stretch the sample; null ids are scored and not held out."""
+    rows = [(1, f"awful scum {k}") for k in range(300)] + [(k, "a kind day here") for k in range(2, 40)] + [(None, "scum")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k == 1)) for k in range(1, 40)], "doc_id bigint, toxic int")
+    model = toxicity.fit(frame, labels, sample=50)
+    assert model.twins == 0
+    out = toxicity.score(frame, model).select("doc_id", toxicity.held_out().alias("h")).where("doc_id is null").collect()
+    assert [r.h for r in out] == [False]
+
+
 def test_secrets(spark, odd, nothing):
     rows = secret_scan.labelled_findings(2000)
     forest = secret_scan.fit(rows[:1500])
@@ -553,6 +602,17 @@ def test_language(spark, odd, nothing):
     assert langid.predict(nothing, model).count() == 0 and langid.fit(nothing).predict([b"x"])[0] == ["und"]
 
 
+def test_language_rejection_acts(spark):
+    """What is no language of the sample scores under the calibrated threshold more often than what is."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(table)
+    rows = queries.op10_language_id(spark, "/root/testdata/sf0.01")
+    kept = rows.agg(F.avg(F.col("accepted").cast("int")), F.count_if(F.col("accepted") & (F.col("lang_pred") == "und"))).first()
+    assert kept[0] > 0.5 and kept[1] == 0
+    junk = ["xqz wvk jjq zzx", "qqqq wwww", "kjhg fdsa poiu"]
+    assert model.predict([t.encode() for t in junk])[0].count("und") >= 2
+
+
 def picture(seed, n=160):
     rng = np.random.default_rng(seed)
     coarse = rng.integers(20, 235, (n // 8, n // 8)).astype(float)
