@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """WHEN NOT MATCHED THEN INSERT: the rows to append."""
-    return source.join(target.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+    return source.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], condition: Column | None = None) -> DataFrame:
@@ -37,4 +37,16 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], assig
 
 
 def delete(target: DataFrame, keys_to_go: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(keys_to_go.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+    return target.join(keys_to_go.select(*keys), list(keys), "left_anti").select(*target.columns)
+
+
+class CountDiffers(ValueError):
+    """A rewrite would touch another number of rows than was expected; nothing is swapped."""
+
+
+def checked(rows: DataFrame, expected: int, what: str, touched: Column | None = None) -> DataFrame:
+    """The rows, if as many of them as expected are `touched` (of all, if not given) [A19]. Counted before the swap."""
+    n = rows.agg(F.count_if(F.coalesce(touched, F.lit(False))) if touched is not None else F.count("*")).first()[0]
+    if n != expected:
+        raise CountDiffers(f"{what}: {n} rows instead of {expected}")
+    return rows

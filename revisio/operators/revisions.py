@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revisio.schema import REVISION_KEY
+from revisio.schema import REVISION_KEY, SITES
 
 
 def dedup(observations: DataFrame) -> DataFrame:
@@ -20,12 +22,75 @@ def conflicting_rows(observations: DataFrame) -> DataFrame:
     return observations.select("stage_file_name", "stage_file_row_number", *REVISION_KEY).distinct().groupBy("stage_file_name", "stage_file_row_number").count().where("count > 1")
 
 
+def refuse_conflicts(observations: DataFrame) -> DataFrame:
+    """The observations, if each file row carries one revision [K5]."""
+    first = conflicting_rows(observations).first()
+    if first is not None:
+        raise ValueError(f"file row {first.stage_file_name}:{first.stage_file_row_number} carries {first['count']} revisions")
+    return observations
+
+
+def duplicate_groups(rows: DataFrame, keys: Sequence[str]) -> int:
+    """Keys that more than one row has [D7]."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").count()
+
+
 def current(facts: DataFrame) -> DataFrame:
     """The latest revision of each event; then, and only then, deleted ones go [E1, K11]."""
     latest = Window.partitionBy("canonical_event_id").orderBy(*(F.col(c).desc() for c in ("source_updated_at", "fetched_at", "payload_hash", "stage_file_name", "stage_file_row_number")))
     return facts.withColumn("revision_rank", F.row_number().over(latest)).where("revision_rank = 1").where("source_status <> 'deleted'").drop("revision_rank")
 
 
+_RANK = ("fetched_at", "stage_file_name", "stage_file_row_number", "canonical_event_id")
+
+
+def _count(flag: Column) -> Column:
+    return F.count_if(F.coalesce(flag, F.lit(False)))
+
+
+def rekey_problems(facts: DataFrame, bridges: DataFrame, canonical: DataFrame, sites: Sequence[str] = tuple(s[0] for s in SITES)) -> DataFrame:
+    """(problem, n) of what stops a re-keying, without those that do not occur [K7].
+
+    facts without a new id; old ids that fall into two groups; repeated fact keys; bridge rows
+    without a fact; repeated bridge keys; bridge rows that would meet under one new key; facts
+    that win a collision but lack a site. Grouped counts and joins on the revision key alone.
+    """
+    key, new_key = list(REVISION_KEY), ["new_id", "source_updated_at", "payload_hash"]
+    new = canonical.select("source_event_id", F.col("canonical_id").alias("new_id"))
+    mapped = facts.select("source_event_id", *key, "fetched_at", "stage_file_name", "stage_file_row_number").join(new, "source_event_id", "left")
+    groups = mapped.groupBy("canonical_event_id").agg(F.min("new_id").alias("low"), F.max("new_id").alias("high"))
+    order = Window.partitionBy(*new_key).orderBy(*(F.col(c).desc() for c in _RANK))
+    met = mapped.where("new_id IS NOT NULL").withColumns({"rank": F.row_number().over(order), "met": F.count("*").over(Window.partitionBy(*new_key))})
+    ranked = met.groupBy(*key).agg(F.min("rank").alias("rank"), F.max("met").alias("met"), F.min("new_id").alias("new_id"))
+    placed = bridges.select(*key, "site_key").join(ranked, key, "left")
+    per_key = placed.groupBy(*key, "site_key").agg(F.count("*").alias("n"), F.count_if(F.col("rank").isNull()).alias("orphans"))
+    per_new = placed.where("rank = 1").select(*new_key, "site_key", "canonical_event_id").distinct().groupBy(*new_key, "site_key").agg(F.count("*").alias("n"))
+    winners = ranked.where("rank = 1 AND met > 1").select(*key).join(bridges.where(F.col("site_key").isin(*sites)).groupBy(*key).agg(F.count_distinct("site_key").alias("sites")), key, "left")
+    counts = [
+        ("no canonical id", mapped.agg(_count(F.col("new_id").isNull()))),
+        ("one id in two groups", groups.agg(_count(F.col("low") != F.col("high")))),
+        ("repeated fact key", facts.groupBy(*key).agg(F.count("*").alias("n")).agg(_count(F.col("n") > 1))),
+        ("bridge without a fact", per_key.agg(F.coalesce(F.sum("orphans"), F.lit(0)))),
+        ("repeated bridge key", per_key.agg(_count(F.col("n") > 1))),
+        ("bridges collide", per_new.agg(_count(F.col("n") > 1))),
+        ("winner lacks a site", winners.agg(_count(F.coalesce("sites", F.lit(0)) < len(sites)))),
+    ]
+    found = None
+    for problem, frame in counts:
+        row = frame.toDF("n").select(F.lit(problem).alias("problem"), F.col("n").cast("long").alias("n"))
+        found = row if found is None else found.union(row)
+    return found.where("n > 0")
+
+
+def rekey_checked(facts: DataFrame, bridges: DataFrame, canonical: DataFrame, sites: Sequence[str] = tuple(s[0] for s in SITES)) -> tuple[DataFrame, DataFrame, int]:
+    """As `rekey`, with the number of old ids that move; any problem stops it before a row is written."""
+    problems = rekey_problems(facts, bridges, canonical, sites).collect()
+    if problems:
+        raise ValueError("; ".join(f"{r.problem}: {r.n}" for r in problems))
+    moves = facts.join(canonical, "source_event_id").where("canonical_event_id <> canonical_id").agg(F.count_distinct("canonical_event_id")).first()[0]
+    return (*rekey(facts, bridges, canonical), moves)
+
+
 def rekey(facts: DataFrame, bridges: DataFrame, canonical: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Facts and bridges under new canonical ids (columns source_event_id, canonical_id) [K7].
 

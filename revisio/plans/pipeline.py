@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisio.functions import geo, project
-from revisio.operators import aliases, merge, revisions
+from revisio.operators import aliases, merge, revisions, views
 from revisio.plans.lineage import Scratch
-from revisio.plans.store import Store, Transaction
+from revisio.plans.store import CommitUncertain, Store, Transaction
 from revisio.schema import FILE_ROW, REVISION_KEY, STAGING_PARSER_VERSION
 
 
@@ -48,6 +48,10 @@ class ModelWriter(Protocol):
     def __call__(self, tx: Transaction, staged: DataFrame, at: datetime) -> int: ...
 
 
+#: Accepted staging rows of all attempts to (source_event_id, canonical_id) [J3].
+Resolver = Callable[[DataFrame], DataFrame]
+
+
 def receipt_gate(store: Store, attempt_id: str) -> dict:
     """The one complete receipt without gaps whose three counts agree [K3]."""
     rows = store.read("batch_attempt").where(F.col("attempt_id") == attempt_id).select("*", F.to_json("coverage_gaps").alias("gaps")).limit(2).collect()
@@ -74,34 +78,44 @@ def projected(store: Store, attempt_id: str, receipt: dict, at: datetime) -> tup
     return rows, n, rejected
 
 
-def write_models(tx: Transaction, staged: DataFrame, at: datetime) -> int:
+def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Resolver = aliases.canonical_ids) -> int:
     """Staging, aliases, rekey, facts, dimensions, bridge; returns revisions inserted or updated."""
     target = tx.read("stg_event_revision")
     clash = staged.join(target.select(*FILE_ROW, *(F.col(c).alias(f"old_{c}") for c in ("attempt_id", "payload_hash", "raw_parser_version", "staging_parser_version"))), list(FILE_ROW))
     if clash.where(" OR ".join(f"{c} <> old_{c}" for c in ("attempt_id", "payload_hash", "raw_parser_version", "staging_parser_version"))).limit(1).count():
         raise ValueError("stored staging rows differ")
     tx.append("stg_event_revision", merge.insert_only(target, staged, FILE_ROW))
+    staged_counts = staged.groupBy("attempt_id").agg(F.count("*").alias("processed"))
+    stored_counts = tx.read("stg_event_revision").groupBy("attempt_id").agg(F.count("*").alias("stored"))
+    if staged_counts.join(stored_counts, "attempt_id", "left").where(~F.col("processed").eqNullSafe(F.col("stored"))).limit(1).count():
+        raise ValueError("staging holds another number of rows than were processed")
 
-    everything = tx.read("stg_event_revision").where("reject_reason IS NULL")
-    canonical = Scratch(staged.sparkSession, "canonical").cut(aliases.canonical_ids(everything), "ids")
+    scratch = Scratch(staged.sparkSession, "models")
+    canonical = scratch.cut(resolve(tx.read("stg_event_revision").where("reject_reason IS NULL")), "canonical")
     facts, bridges = tx.read("fact_event_revision"), tx.read("bridge_event_site")
-    moves = facts.join(canonical, "source_event_id").where("canonical_event_id <> canonical_id").limit(1).count()
+    moves = facts.join(canonical, "source_event_id", "left").where(~F.col("canonical_event_id").eqNullSafe(F.col("canonical_id"))).limit(1).count()
     if moves:
-        facts, bridges = revisions.rekey(facts, bridges, canonical)
+        facts, bridges, _ = revisions.rekey_checked(facts, bridges, canonical)
         tx.replace("fact_event_revision", facts)
         tx.replace("bridge_event_site", bridges)
         facts, bridges = tx.read("fact_event_revision"), tx.read("bridge_event_site")
 
     accepted = staged.where("reject_reason IS NULL").join(canonical.withColumnRenamed("canonical_id", "canonical_event_id"), "source_event_id", "left")
     accepted = accepted.withColumn("canonical_event_id", F.coalesce("canonical_event_id", F.raise_error(F.lit("no canonical id")).cast("string"))).withColumn("curated_at", F.lit(at))
-    source = revisions.dedup(accepted.select(*facts.columns))
+    source = scratch.cut(revisions.dedup(revisions.refuse_conflicts(accepted.select(*facts.columns))), "source")
     lineage = ["fetched_at", "curated_at", "stage_file_name", "stage_file_row_number"]
-    merged = merge.upsert(facts, source, REVISION_KEY, lineage, F.col("s.fetched_at") > F.col("t.fetched_at"))
-    tx.replace("fact_event_revision", merged)
+    merged = scratch.cut(merge.upsert(facts, source, REVISION_KEY, lineage, F.col("s.fetched_at") > F.col("t.fetched_at")), "merged")  # once, for the table, its check and the count
     changed = merged.where("merge_action <> 'kept'").count()
-
-    new = source.select(*REVISION_KEY, "latitude", "longitude").join(tx.read("fact_event_revision"), list(REVISION_KEY), "left_semi")
-    tx.replace("bridge_event_site", merge.upsert(bridges, geo.bridge(new), (*REVISION_KEY, "site_key"), ["epicentral_distance_km", "within_radius"]))
+    if changed:
+        if duplicates := revisions.duplicate_groups(merged, REVISION_KEY):
+            raise ValueError(f"{duplicates} revision keys repeat after the merge")
+        tx.replace("fact_event_revision", merged)
+
+    new = source.select(*REVISION_KEY, "latitude", "longitude")
+    placed = scratch.cut(merge.upsert(bridges, geo.bridge(new), (*REVISION_KEY, "site_key"), ["epicentral_distance_km", "within_radius"]), "bridge")
+    if duplicates := revisions.duplicate_groups(placed, (*REVISION_KEY, "site_key")):
+        raise ValueError(f"{duplicates} bridge keys repeat after the merge")
+    tx.replace("bridge_event_site", placed)
     days = source.select(F.explode(F.array("origin_time", "source_updated_at")).alias("t")).select(F.to_date("t").alias("date_key")).distinct().select("date_key", F.year("date_key").alias("calendar_year"), F.month("date_key").alias("calendar_month"))
     dims = {
         "dim_date": (days, ["date_key"]), "dim_magnitude_type": (source.select("magnitude_type").where("magnitude_type IS NOT NULL").distinct(), ["magnitude_type"]),
@@ -109,14 +123,19 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime) -> int:
         "dim_site": (geo.sites(staged.sparkSession).select("site_key", "site_name", F.col("site_latitude").alias("latitude"), F.col("site_longitude").alias("longitude"), "radius_km"), ["site_key"]),
     }
     for table, (rows, keys) in dims.items():
-        tx.append(table, merge.insert_only(tx.read(table), rows, keys))
+        rows = scratch.cut(merge.insert_only(tx.read(table), rows, keys), table)
+        if not rows.isEmpty():
+            tx.append(table, rows)
+            tx.compact(table)
+    scratch.drop("canonical", "source", "merged", "bridge", *dims)
     return changed
 
 
 def process_attempt(store: Store, attempt_id: str, *, writer: ModelWriter = write_models, make_id: Callable[[], str] = lambda: uuid.uuid4().hex, now: Callable[[], datetime] = lambda: datetime.now(UTC)) -> Outcome:
     """Models and success log in one commit; on failure nothing of it, and a failure record in a commit of its own [K14].
 
-    Only messages of ValueError are stored; others may hold data.
+    Only messages of ValueError are stored; others may hold data. A commit that may be visible
+    is no failure: CommitUncertain is raised and nothing is logged.
     """
     process_id, started = make_id(), now()
     n = processed = rejected = 0
@@ -131,6 +150,8 @@ def process_attempt(store: Store, attempt_id: str, *, writer: ModelWriter = writ
         _log(tx, outcome)
         tx.commit()
         return outcome
+    except CommitUncertain:
+        raise
     except Exception as error:
         message = str(error) if isinstance(error, ValueError) else "Transformation failed"
         failed = Outcome(process_id, attempt_id, started, now(), "failed", n, processed, rejected, 0, type(error).__name__, message)
@@ -182,3 +203,35 @@ def pending(store: Store, limit: int) -> list[str]:
     done = store.read("batch_process_attempt").where("status = 'complete'").select("attempt_id")
     rows = store.read("batch_attempt").where("load_status = 'complete'").join(done, "attempt_id", "left_anti").orderBy("fetched_at", "attempt_id").select("attempt_id").limit(limit)
     return [r.attempt_id for r in rows.collect()]
+
+
+class StateDiffers(RuntimeError):
+    """An attempt is not in the state that was expected; the loop stops there."""
+
+
+def health(store: Store, attempt_id: str | None = None) -> DataFrame:
+    """Batch health over the store's tables [K15], of one attempt or of all."""
+    one = lambda table: store.read(table) if attempt_id is None else store.read(table).where(F.col("attempt_id") == attempt_id)
+    raw = one("raw_event_records").groupBy("attempt_id").agg(F.count("*").alias("raw_rows"))
+    staged = one("stg_event_revision").groupBy("attempt_id").agg(F.count("*").alias("staging_rows"), F.count_if(F.col("reject_reason").isNotNull()).alias("staging_reject_rows"))
+    gaps = F.coalesce(F.size(F.try_variant_get("coverage_gaps", "$", "array<variant>")), F.lit(0))
+    receipts = one("batch_attempt").withColumn("gap_count", F.when(F.col("coverage_gaps").isNull(), 0).otherwise(F.greatest(gaps, F.lit(0))))
+    return views.batch_health(receipts, raw, staged, one("batch_process_attempt"), one("fact_batch_run"), F.col("gap_count"))
+
+
+def process_pending(store: Store, limit: int, run: Callable[[Store, str], Outcome] = process_attempt) -> list[Outcome]:
+    """Process the oldest pending attempts; before and after each its health must be what the loop expects [K24]."""
+    done = []
+    for attempt_id in pending(store, limit):
+        state = lambda: [(r.health_status, r.loaded_rows, r.raw_rows, r.staging_rows, r.processed_rows, r.rejected_rows) for r in health(store, attempt_id).collect()]  # noqa: E731, B023
+        before = state()
+        n = before[0][1] if before else None
+        if before != [("PENDING_PROCESS", n, n, 0, None, None)]:
+            raise StateDiffers(f"{attempt_id} is not pending as it was: {before}")
+        outcome = run(store, attempt_id)
+        if (outcome.attempt_id, outcome.status, outcome.loaded_rows, outcome.processed_rows) != (attempt_id, "complete", n, n) or not outcome.process_attempt_id:
+            raise StateDiffers(f"{attempt_id} was processed with another outcome: {outcome}")
+        if (after := state()) != [("RECONCILED", n, n, n, n, outcome.rejected_rows)]:
+            raise StateDiffers(f"{attempt_id} is not reconciled: {after}")
+        done.append(outcome)
+    return done

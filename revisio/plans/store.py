@@ -6,13 +6,17 @@ version for reads of the past, the compare-and-set of the state, and (copied) a
 Staged folders that no commit names are invisible; `vacuum` removes them. Row counts of
 tables are never collected here, only folder names.
 
-The catalog talks to its root through Hadoop's file system, so that any shared store works
-that makes files exclusively.
+The catalog talks to its root through Hadoop's file system. A commit is written aside whole and
+published by a link (local files) or a rename (others) that does not replace, so that a crash
+between leaves nothing that a reader takes for a commit. A store whose renames replace needs a
+lock service beside it. A commit whose publication failed without an answer is looked up by its own mark before
+it is called lost.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from typing import Any
 
@@ -25,6 +29,10 @@ class CommitConflict(RuntimeError):
     """Another commit took the version; nothing of this one is visible."""
 
 
+class CommitUncertain(RuntimeError):
+    """The store gave no answer to a commit and cannot be read: it may be visible or not."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, str] = TABLES):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), tables
@@ -50,14 +58,38 @@ class Store:
             stream.close()
 
     def _publish(self, version: int, commit: dict[str, Any]) -> None:
-        jvm = self.spark.sparkContext._jvm
+        mark = uuid.uuid4().hex
+        target, aside = self._path(f"{self.root}/commits/{version}.json"), self._path(f"{self.root}/commits/.{version}-{mark}.tmp")
+        out = self._fs.create(aside, False)
+        try:
+            out.write(bytearray(json.dumps(commit | {"mark": mark}, sort_keys=True).encode()))
+        finally:
+            out.close()
         try:
-            out = self._fs.create(self._path(f"{self.root}/commits/{version}.json"), False)
+            published = self._claim(aside, target)
         except Exception as error:
-            raise CommitConflict(f"version {version} is taken") from error
-        out.write(bytearray(json.dumps(commit, sort_keys=True).encode()))
-        out.close()
-        del jvm
+            published = self._holds(version, mark, error)
+        if not published or not self._holds(version, mark):
+            self._fs.delete(aside, False)
+            raise CommitConflict(f"version {version} is taken")
+
+    def _claim(self, aside, target) -> bool:
+        """Give the target's name to the file aside, unless it is taken."""
+        if self._fs.getScheme() != "file":
+            return not self._fs.exists(target) and self._fs.rename(aside, target)
+        try:
+            os.link(aside.toUri().getPath(), target.toUri().getPath())
+        except FileExistsError:
+            return False
+        self._fs.delete(aside, False)
+        return True
+
+    def _holds(self, version: int, mark: str, error: Exception | None = None) -> bool:
+        """True if the version is the commit of this mark."""
+        try:
+            return self._fs.exists(self._path(f"{self.root}/commits/{version}.json")) and self.commit_at(version).get("mark") == mark
+        except Exception as unread:
+            raise CommitUncertain(f"version {version} may be published or not") from error or unread
 
     # ---- reads
     def read(self, table: str, version: int | None = None) -> DataFrame:
@@ -66,7 +98,7 @@ class Store:
         schema = self.tables[table]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{f}" for f in folders))
+        return self.spark.read.schema(schema).parquet(*map(self.at, folders))
 
     def state(self, key: str) -> Any:
         return self.commit_at()["state"].get(key)
@@ -79,18 +111,29 @@ class Store:
         if self._fs.exists(self._path(f"{root}/commits")):
             raise CommitConflict(f"{root} exists")
         now = self.commit_at()
-        tables = {t: [f if "://" in f or f.startswith("/") else f"{self.root}/{f}" for f in fs] for t, fs in now["tables"].items()}
+        tables = {t: [self.at(f) for f in fs] for t, fs in now["tables"].items()}
         other = Store.__new__(Store)
         other.spark, other.root, other.tables, other._path, other._fs = self.spark, root.rstrip("/"), self.tables, self._path, self._fs
         other._publish(0, {"tables": tables, "state": now["state"]})
-        other.read = lambda table, version=None, o=other: o._read_absolute(table, version)  # type: ignore[method-assign]
         return other
 
-    def _read_absolute(self, table: str, version: int | None) -> DataFrame:
-        folders = self.commit_at(version)["tables"].get(table, [])
-        if not folders:
-            return self.spark.createDataFrame([], self.tables[table])
-        return self.spark.read.schema(self.tables[table]).parquet(*(f if "://" in f or f.startswith("/") else f"{self.root}/{f}" for f in folders))
+    def at(self, folder: str) -> str:
+        """A folder of a commit as a path: relative ones are of this root, a clone's are whole."""
+        return folder if "://" in folder or folder.startswith(("/", "file:")) else f"{self.root}/{folder}"
+
+    def temporary_like(self, table: str, name: str, rows: DataFrame | None = None) -> str:
+        """A session view with a table's columns, empty or with the given rows; the store does not know it [A23]."""
+        frame = self.spark.createDataFrame([], self.tables[table])
+        if rows is not None:
+            frame = rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in frame.schema))
+        frame.createOrReplaceTempView(name)
+        return name
+
+    def metadata(self) -> DataFrame:
+        """One row per table: whether a commit has written it, its folders and columns [A24]."""
+        now = self.commit_at()
+        rows = [(t, t in now["tables"], len(now["tables"].get(t, [])), len(self.spark.createDataFrame([], schema).columns), self.version()) for t, schema in sorted(self.tables.items())]
+        return self.spark.createDataFrame(rows, "table_name string, written boolean, folders int, columns int, version int")
 
     def drop(self) -> None:
         self._fs.delete(self._path(self.root), True)
@@ -117,7 +160,7 @@ class Transaction:
         folders = self.now["tables"].get(table, [])
         if not folders:
             return self.store.spark.createDataFrame([], self.store.tables[table])
-        return self.store.spark.read.schema(self.store.tables[table]).parquet(*(f if "://" in f or f.startswith("/") else f"{self.store.root}/{f}" for f in folders))
+        return self.store.spark.read.schema(self.store.tables[table]).parquet(*map(self.store.at, folders))
 
     def _stage(self, table: str, rows: DataFrame) -> str:
         folder = f"data/{table}-{uuid.uuid4().hex}"
@@ -128,6 +171,13 @@ class Transaction:
     def append(self, table: str, rows: DataFrame) -> None:
         self.now["tables"][table] = [*self.now["tables"].get(table, []), self._stage(table, rows)]
 
+    def compact(self, table: str, most: int = 64) -> bool:
+        """Rewrite a table of more than `most` folders into one."""
+        if len(self.now["tables"].get(table, [])) <= most:
+            return False
+        self.replace(table, self.read(table))
+        return True
+
     def replace(self, table: str, rows: DataFrame) -> None:
         """The next state of a table; the folders that the rows are read from stay."""
         self.now["tables"][table] = [self._stage(table, rows)]

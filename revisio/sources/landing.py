@@ -36,6 +36,51 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def window_counts(rows: DataFrame) -> DataFrame:
+    """Rows and fetch times of each window of landed rows [D13]."""
+    return rows.groupBy("attempt_id", "window_id").agg(F.count("*").alias("window_rows"), F.count_distinct("fetched_at").alias("fetch_times"))
+
+
+def batch_problems(rows: DataFrame, audit: DataFrame, attempt_id: str, logical_id: str | None = None) -> DataFrame:
+    """(problem, n) of an attempt's rows against its audit, without those that do not occur [A8].
+
+    rows: as `scan` gives them. audit: attempt_id, window_id, window_status, returned_rows. All
+    rows of a window are of one fetch; rows name windows of the audit, as many as it says.
+    """
+    bad_row = (F.col("attempt_id") != attempt_id) | F.col("payload").isNull() | (F.length("payload_hash") != 64) | F.col("window_id").isNull() | F.col("fetched_at").isNull()
+    if logical_id is not None:
+        bad_row = bad_row | ~F.col("logical_batch_id").eqNullSafe(F.lit(logical_id))
+    counts = rows.groupBy("window_id").agg(F.count("*").alias("window_rows"), F.count_distinct("fetched_at").alias("fetch_times"), F.count_if(F.coalesce(bad_row, F.lit(True))).alias("bad_rows"))
+    leaves = audit.where((F.col("attempt_id") == attempt_id) & (F.col("window_status") == "reconciled")).select(F.col("window_id").alias("told"), "returned_rows")
+    both = counts.join(leaves, F.col("window_id") == F.col("told"), "full")
+    tests = {
+        "rows lack metadata": F.sum(F.coalesce("bad_rows", F.lit(0))),
+        "windows with several fetch times": F.count_if(F.col("fetch_times") > 1),
+        "windows that no audit names": F.count_if(F.col("told").isNull()),
+        "windows whose count differs": F.count_if(F.col("told").isNotNull() & (F.coalesce("window_rows", F.lit(0)) != F.col("returned_rows"))),
+    }
+    told = both.agg(*(F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias(f"p{k}") for k, v in enumerate(tests.values())))
+    listed = F.array(*(F.struct(F.lit(name).alias("problem"), F.col(f"p{k}").alias("n")) for k, name in enumerate(tests)))
+    return told.select(F.inline(listed)).where("n > 0")
+
+
+def stage(store: Store, path: str, attempt_id: str) -> str:
+    """Copy an attempt's file to landing/<attempt id>/events.jsonl of the store; one that is there is never overwritten [A9]."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", attempt_id):
+        raise ValueError("invalid attempt id")
+    jvm, conf = store.spark.sparkContext._jvm, store.spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    source, target = at(path), at(f"{store.root}/landing/{attempt_id}/events.jsonl")
+    fs = target.getFileSystem(conf)
+    if fs.exists(target):
+        raise FileExistsError(f"{attempt_id} is staged already")
+    whole = at(f"{store.root}/landing/{attempt_id}/.events.jsonl.tmp")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, fs, whole, False, True, conf)
+    if not fs.rename(whole, target):
+        raise FileExistsError(f"{attempt_id} is staged already")
+    return target.toString()
+
+
 def load(store: Store, path: str, receipt: dict[str, Any], loaded_at: datetime) -> int:
     """Append an attempt's file and its receipt in one commit; an attempt that is loaded already is refused [A11, A12]."""
     attempt = receipt["attempt_id"]
