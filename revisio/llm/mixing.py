@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revisio.plans.lineage import Scratch
+
 EPOCHS, WEIGHTS, WORD = 3, (1, 2, 3), r"[^\x20\x09-\x0D]+"
 
 
@@ -43,22 +45,30 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int
     return levels.withColumn("level", level).select("source", "source_size", F.least(limit.cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, digits: int = 3) -> DataFrame:
-    """All rows and columns, with mix_size, mix_source_size, mix_target, mix_passes, mix_taken (words taken, repeats counted).
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """All rows and columns, with what the mix needs of each: size, source, key, and a hash of the text for ties."""
+    name = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
+    return docs.withColumns({"mix_size": words(F.col(text_col)), "mix_source": name, "mix_key": F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), "mix_tie": F.xxhash64(F.col(text_col))})
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options: object) -> DataFrame:
+    """All rows and columns, with mix_size, mix_source_size, mix_target, mix_passes, mix_taken (words taken, repeats counted). options: those of `placed`."""
+    return placed(sized(docs, id_col, text_col, source_col), docs.columns, **options)
+
+
+def placed(rows: DataFrame, keep: list[str], *, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, digits: int = 3) -> DataFrame:
+    """The mix of sized rows; keep: columns that stay.
 
     digits: hexadecimal digits of the key that deal rows to ranges (16**digits a source).
     """
-    keep = docs.columns
-    name = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
-    sized = docs.withColumns({"mix_size": words(F.col(text_col)), "mix_source": name, "mix_key": F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))})
-    sized = sized.withColumns({"mix_range": F.substring("mix_key", 1, digits), "mix_tie": F.xxhash64(F.col(text_col))})
-    ranges = sized.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("size"))
+    rows = rows.withColumn("mix_range", F.substring("mix_key", 1, digits))
+    ranges = rows.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("size"))
     goals = targets(ranges.groupBy(F.col("mix_source").alias("source")).agg(F.sum("size").alias("source_size")), weights, epochs)
     before = F.coalesce(F.sum("size").over(Window.partitionBy("mix_source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     begins = ranges.withColumn("mix_begin", before).join(goals.withColumnsRenamed({"source": "mix_source", "source_size": "mix_source_size", "target": "mix_target"}), "mix_source").drop("size")
     in_range = Window.partitionBy("mix_source", "mix_range").orderBy("mix_key", "mix_size", "mix_tie").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("mix_place", F.coalesce(F.sum("mix_size").over(in_range), F.lit(0).cast("long")))
-    joined = placed.join(begins, ["mix_source", "mix_range"])
+    in_order = rows.withColumn("mix_place", F.coalesce(F.sum("mix_size").over(in_range), F.lit(0).cast("long")))
+    joined = in_order.join(begins, ["mix_source", "mix_range"])
     budget, whole = F.floor("mix_target").cast("long"), F.col("mix_source_size")
     passes = F.when(whole > 0, F.floor(F.try_divide(budget, whole))).otherwise(0).cast("long")
     last = F.least(F.col("mix_size"), F.greatest(F.lit(0).cast("long"), budget - passes * whole - F.col("mix_begin") - F.col("mix_place")))
@@ -66,8 +76,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def digests(docs: DataFrame, **options: object) -> DataFrame:
-    slim = docs.select("doc_id", "source", "text")
-    return mix(slim, **options).select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+    """Texts are read once: what the mix needs of a row is written, and read twice."""
+    rows = Scratch(docs.sparkSession, "mix").cut(sized(docs.select("doc_id", "source", "text")).drop("text"), "sized")
+    return placed(rows, ["doc_id"], **options).select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
 def emit(mixed: DataFrame, text_col: str = "text") -> DataFrame:
