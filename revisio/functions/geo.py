@@ -24,10 +24,14 @@ def sites(spark: SparkSession, radius_km: float = RADIUS_KM) -> DataFrame:
     return spark.createDataFrame([(k, n, la, lo, radius_km) for k, n, la, lo in SITES], "site_key string, site_name string, site_latitude double, site_longitude double, radius_km double")
 
 
-def bridge(facts: DataFrame, radius_km: float = RADIUS_KM) -> DataFrame:
-    """Each revision with each configured site [C9, K10]. The sites are a constant of three rows."""
-    pairs = facts.select("canonical_event_id", "source_updated_at", "payload_hash", "latitude", "longitude").crossJoin(F.broadcast(sites(facts.sparkSession, radius_km)))
+def measured(facts: DataFrame, radius_km: float = RADIUS_KM) -> DataFrame:
+    """Each row with each configured site, its distance and whether it is inside. The sites are a constant of three rows."""
+    pairs = facts.crossJoin(F.broadcast(sites(facts.sparkSession, radius_km).drop("site_name")))
     far = haversine_km(F.col("latitude"), F.col("longitude"), F.col("site_latitude"), F.col("site_longitude"))
-    return pairs.withColumn("epicentral_distance_km", far).select(
-        "canonical_event_id", "source_updated_at", "payload_hash", "site_key", "epicentral_distance_km", (F.col("epicentral_distance_km") <= F.col("radius_km")).alias("within_radius")
-    )
+    return pairs.withColumn("epicentral_distance_km", far).withColumn("within_radius", F.col("epicentral_distance_km") <= F.col("radius_km")).drop("site_latitude", "site_longitude", "radius_km")
+
+
+def bridge(facts: DataFrame, radius_km: float = RADIUS_KM) -> DataFrame:
+    """Each revision with each configured site [C9, K10]."""
+    slim = facts.select("canonical_event_id", "source_updated_at", "payload_hash", "latitude", "longitude")
+    return measured(slim, radius_km).select("canonical_event_id", "source_updated_at", "payload_hash", "site_key", "epicentral_distance_km", "within_radius")

@@ -39,6 +39,11 @@ def batch_health(attempts: DataFrame, raw_counts: DataFrame, staging_counts: Dat
     return joined.withColumn("health_status", health_status(F.col("receipt_gap_count"))).drop("f_attempt_id")
 
 
+def judged(joined: DataFrame) -> DataFrame:
+    """health_status of rows that hold all of batch_health's columns already: no join."""
+    return joined.withColumn("health_status", health_status(F.col("receipt_gap_count")))
+
+
 def window_audit(receipts: DataFrame) -> DataFrame:
     """One row per audited window; an empty or null audit gives none [K16, B12]."""
     get = lambda path, kind: F.try_variant_get("value", path, kind)
@@ -63,6 +68,36 @@ def reconciliation(health: DataFrame) -> DataFrame:
     return health.groupBy("health_status").agg(F.count("*").alias("attempts"), F.sum("loaded_rows").alias("receipt_loaded_rows"), F.sum("raw_rows").alias("observed_raw_rows"), F.sum("staging_rows").alias("observed_staging_rows"), total("processed_rows", "processed_rows"), total("rejected_rows", "rejected_rows"))
 
 
+def batch_anomalies(health: DataFrame) -> DataFrame:
+    """Attempts that are neither reconciled nor waiting [K18]."""
+    return health.where(~F.col("health_status").isin("RECONCILED", "PENDING_PROCESS")).select("attempt_id", "health_status", "loaded_rows", "raw_rows", "staging_rows", "processed_rows", "rejected_rows", "receipt_gap_count")
+
+
+def day_sample(current: DataFrame, bridge: DataFrame, site_key: str, start: Column, end: Column) -> DataFrame:
+    """Current events of one site's radius and one half-open time range: count and extremes; no row if there are none [K21]."""
+    near = bridge.where((F.col("site_key") == site_key) & F.col("within_radius"))
+    some = current.where((F.col("origin_time") >= start) & (F.col("origin_time") < end)).join(near, ["canonical_event_id", "source_updated_at", "payload_hash"])
+    return some.groupBy("site_key").agg(
+        F.count("*").alias("current_events_within_radius"), F.min("magnitude").alias("min_magnitude"), F.max("magnitude").alias("max_magnitude"),
+        F.min("origin_time").alias("earliest_origin"), F.max("origin_time").alias("latest_origin"),
+    )
+
+
+def create(store) -> list[str]:
+    """Session views over the store's tables as they are now, and the reporting views over them [A26]."""
+    from revisio.operators import revisions
+    from revisio.plans import pipeline
+
+    frames = {name: store.read(name) for name in store.tables}
+    frames |= {
+        "event_current": revisions.current(store.read("fact_event_revision")), "v_batch_health": pipeline.health(store),
+        "v_receipt_window_audit": window_audit(store.read("batch_attempt")), "v_event_rejects": rejects(store.read("stg_event_revision")),
+    }
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    return sorted(frames)
+
+
 def load_state(plans: DataFrame, receipts: DataFrame, raw_counts: DataFrame) -> DataFrame:
     """ready, loaded or investigate for each planned attempt (attempt_id, expected_rows) [K23]."""
     r = receipts.groupBy("attempt_id").agg(F.count("*").alias("receipts"), F.min("load_status").alias("status"), F.min("loaded_rows").alias("loaded"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 from datetime import UTC, datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,23 +62,25 @@ def sweep_windows(start: datetime, end: datetime, years: int, recent_year: int =
         days = (first, months_before(first, -1))
         if not start <= days[0] < days[1] <= end:
             raise ValueError("a daily month lies within the sweep")
-    starts_of = [datetime(y, 1, 1, tzinfo=start.tzinfo) for y in (recent_year, monthly_year) if y is not None]
-    out, at = [], start
-    while at < end:
-        if days and days[0] <= at < days[1]:
-            limits = [at + timedelta(days=1), days[1]]
-        else:
-            if monthly_year is not None and at.year >= monthly_year:
-                ahead = min(months, 9999 * 12 + 11 - (at.year * 12 + at.month - 1))
-            else:
-                ahead = 12 * min(recent_years if at.year >= recent_year else years, 9999 - at.year)
-            limits = [months_before(at, -ahead), *(s for s in starts_of if at < s), *([days[0]] if days and at < days[0] else [])]
-        upto = min(*limits, end)
-        if upto <= at:
-            raise ValueError("the sweep cannot advance")
-        out.append((at, upto))
-        at = upto
-    return out
+    # Where the step changes; from there on it counts anew.
+    changes = [(datetime.min.replace(tzinfo=start.tzinfo), 12 * years), (datetime(recent_year, 1, 1, tzinfo=start.tzinfo), 12 * recent_years)]
+    if monthly_year is not None:
+        changes.append((datetime(monthly_year, 1, 1, tzinfo=start.tzinfo), months))
+    if days is not None:
+        changes += [(days[0], 0), (days[1], months)]
+    spans = [(max(at, start), min(upto, end), step) for (at, step), (upto, _) in pairwise([*changes, (end, 0)]) if max(at, start) < min(upto, end)]
+    edges = [start]
+    for at, upto, step in spans:
+        while at < upto:
+            at = min(at + timedelta(days=1) if step == 0 else _later(at, step), upto)
+            edges.append(at)
+    return list(pairwise(edges))
+
+
+def _later(at: datetime, months: int) -> datetime:
+    """Some months on, or the end of time."""
+    left = (9999 - at.year) * 12 + 12 - at.month
+    return months_before(at, -months) if months <= left else datetime.max.replace(tzinfo=at.tzinfo)
 
 
 def overlap_filter(rows: DataFrame, watermark: DataFrame, overlap_seconds: int, updated: str = "source_updated_at") -> DataFrame:
