@@ -81,15 +81,23 @@ def digests(docs: DataFrame, **options: object) -> DataFrame:
     return placed(rows, ["doc_id"], **options).select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
-def emit(mixed: DataFrame, text_col: str = "text") -> DataFrame:
-    """The mix itself: a row for each whole pass that takes it, and one with the words up to the cut, columns of the input."""
-    keep = [c for c in mixed.columns if not c.startswith("mix_")]
+def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **options: object) -> DataFrame:
+    """The mix itself, with the columns of the input: a row for each whole pass that takes it, and one with the words up to the cut.
+
+    length_col (if there is one) follows the text. Columns pass under names of their own, so
+    that none clashes with what the mix adds.
+    """
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    keep, text = list(names.values()), names[text_col]
+    mixed = mix(docs.toDF(*keep), id_col=names[id_col], text_col=text, source_col=names[source_col], **options)
     rest = (F.col("mix_taken") - F.col("mix_passes") * F.col("mix_size")).cast("int")
     whole = (F.col("mix_passes") + (rest.cast("long") == F.greatest(F.col("mix_size"), F.lit(1))).cast("long")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when((rest > 0) & (rest < F.col("mix_size")), F.array(rest)).otherwise(F.array().cast("array<int>")))
-    runs = F.split(F.col(text_col), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)  # white space, then a word
+    runs = F.split(F.col(text), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)  # white space, then a word
     head = F.array_join(F.slice(runs, F.lit(1), F.col("mix_copy")), "")
+    cut = F.col("mix_copy") >= 0
     out = mixed.withColumn("mix_copy", F.explode(copies))
-    if "n_chars" in keep:
-        out = out.withColumn("n_chars", F.when(F.col("mix_copy") < 0, F.col("n_chars")).otherwise(F.length(head)))
-    return out.withColumn(text_col, F.when(F.col("mix_copy") < 0, F.col(text_col)).otherwise(head)).select(*keep)
+    if length_col in names:
+        at = names[length_col]
+        out = out.withColumn(at, F.when(cut, F.length(head)).otherwise(F.col(at)).cast(out.schema[at].dataType))
+    return out.withColumn(text, F.when(cut, head).otherwise(F.col(text))).select(*keep).toDF(*names)

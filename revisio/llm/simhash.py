@@ -74,7 +74,7 @@ class Forest:
     """BK-trees over arrays: one tree per group, built level by level for all groups at once."""
 
     def __init__(self, prints: np.ndarray, groups: np.ndarray):
-        self.prints = prints
+        self.prints, self.visited = prints, 0  # visited: nodes that searches met
         n = len(prints)
         self.parent, self.edge = np.full(n, -1, np.int64), np.zeros(n, np.int64)
         _, roots = np.unique(groups, return_index=True)
@@ -107,6 +107,7 @@ class Forest:
         q, at = np.arange(len(queries)), starts
         hits: list[tuple[np.ndarray, np.ndarray]] = []
         while len(q):
+            self.visited += len(q)
             if skip is not None:
                 go = skip[0][q] != skip[1][at]
                 q, at = q[go], at[go]

@@ -214,6 +214,20 @@ def test_forest_finds_what_brute_force_finds():
         assert blocks - chosen >= 4
 
 
+def test_trees_prune():
+    """A search of a shard's tree meets a part of its nodes alone, and in a linked group next to none."""
+    rng = np.random.default_rng(4)
+    prints = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
+    forest = simhash.Forest(prints, np.zeros(len(prints), np.int64))
+    forest.search(prints, np.zeros(len(prints), np.int64), 4)
+    apart = forest.visited / len(prints) ** 2
+    group = np.unique(prints[0] ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (3000, 2)).astype(np.uint64), axis=1))
+    forest = simhash.Forest(group, np.zeros(len(group), np.int64))
+    label = np.zeros(len(group), np.int64)
+    forest.search(group, np.zeros(len(group), np.int64), 4, (label, forest.uniform(label)))
+    assert apart < 0.5 and forest.visited <= len(group)
+
+
 def test_keep_one(spark, odd):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == ["1", "2", "5", "7", "None"]
@@ -463,10 +477,10 @@ def test_mixing(spark, odd, nothing):
         s[0] += r.taken
         assert r.taken <= 3 * r.size
     assert all(abs(t - goal) <= 1 and goal <= 3 * size for t, goal, size in by.values()) and sum(g for _, g, _ in by.values()) == pytest.approx(sum(s for _, _, s in by.values()))
-    mixed = mixing.emit(mixing.mix(table))
+    mixed = mixing.mixture(table)
     assert mixed.columns == table.columns and mixed.select(F.sum(mixing.words(F.col("text")))).first()[0] == sum(r.taken for r in rows)
     out = mixing.digests(odd).collect()
-    assert len(out) == odd.count() and sum(r.taken for r in out) > 0 and mixing.emit(mixing.mix(odd)).columns == odd.columns
+    assert len(out) == odd.count() and sum(r.taken for r in out) > 0 and mixing.mixture(odd).columns == odd.columns
     assert mixing.digests(nothing).count() == 0
 
 
