@@ -168,7 +168,7 @@ def write(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "store")
     staged = docs.select(id_col, text_col).mapInArrow(lambda it: _chunk(it, vocabulary, end_id), f"doc_id {kind}, n_tokens bigint, chunks array<struct<at:bigint,digest:binary,n_ids:int,ids_crc32:bigint,payload:binary>>")
-    staged = scratch.cut(staged, "staged", compression="zstd")
+    staged = scratch.cut(staged, "staged", compression="snappy")  # read back soon: cheap to write
 
     named = staged.select(F.explode("chunks").alias("c")).select("c.at", "c.digest")
     owners = named.groupBy("digest").agg(F.min("at").alias("owner"), F.count("*").alias("n")).where("n > 1")
