@@ -78,44 +78,56 @@ def projected(store: Store, attempt_id: str, receipt: dict, at: datetime) -> tup
     return rows, n, rejected
 
 
-def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Resolver = aliases.canonical_ids) -> int:
-    """Staging, aliases, rekey, facts, dimensions, bridge; returns revisions inserted or updated."""
+def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Resolver | None = None) -> int:
+    """Staging, aliases, rekey, facts, dimensions, bridge; returns revisions inserted or updated.
+
+    What is written is what an attempt adds or changes, whatever the tables hold; past edges of
+    aliases are not read again. resolve: another way to canonical ids, from all accepted rows.
+    """
+    scratch = Scratch(staged.sparkSession, "models")
     target = tx.read("stg_event_revision")
     clash = staged.join(target.select(*FILE_ROW, *(F.col(c).alias(f"old_{c}") for c in ("attempt_id", "payload_hash", "raw_parser_version", "staging_parser_version"))), list(FILE_ROW))
     if clash.where(" OR ".join(f"{c} <> old_{c}" for c in ("attempt_id", "payload_hash", "raw_parser_version", "staging_parser_version"))).limit(1).count():
         raise ValueError("stored staging rows differ")
     tx.append("stg_event_revision", merge.insert_only(target, staged, FILE_ROW))
     staged_counts = staged.groupBy("attempt_id").agg(F.count("*").alias("processed"))
-    stored_counts = tx.read("stg_event_revision").groupBy("attempt_id").agg(F.count("*").alias("stored"))
+    stored_counts = tx.read("stg_event_revision").join(F.broadcast(staged_counts.select("attempt_id")), "attempt_id", "left_semi").groupBy("attempt_id").agg(F.count("*").alias("stored"))
     if staged_counts.join(stored_counts, "attempt_id", "left").where(~F.col("processed").eqNullSafe(F.col("stored"))).limit(1).count():
         raise ValueError("staging holds another number of rows than were processed")
 
-    scratch = Scratch(staged.sparkSession, "models")
-    canonical = scratch.cut(resolve(tx.read("stg_event_revision").where("reject_reason IS NULL")), "canonical")
-    facts, bridges = tx.read("fact_event_revision"), tx.read("bridge_event_site")
-    moves = facts.join(canonical, "source_event_id", "left").where(~F.col("canonical_event_id").eqNullSafe(F.col("canonical_id"))).limit(1).count()
-    if moves:
-        facts, bridges, _ = revisions.rekey_checked(facts, bridges, canonical)
-        tx.replace("fact_event_revision", facts)
-        tx.replace("bridge_event_site", bridges)
-        facts, bridges = tx.read("fact_event_revision"), tx.read("bridge_event_site")
-
-    accepted = staged.where("reject_reason IS NULL").join(canonical.withColumnRenamed("canonical_id", "canonical_event_id"), "source_event_id", "left")
+    valid = staged.where("reject_reason IS NULL")
+    labels = tx.read("alias_label")
+    if resolve is None:
+        changes, moved = aliases.added(labels, valid)
+    else:
+        wanted = scratch.cut(resolve(tx.read("stg_event_revision").where("reject_reason IS NULL")), "wanted")
+        both = wanted.join(labels.withColumnRenamed("canonical_id", "old_id"), "source_event_id", "left").where(~F.col("canonical_id").eqNullSafe(F.col("old_id")))
+        changes, moved = both.select("source_event_id", "canonical_id"), both.where("old_id IS NOT NULL").select("old_id", F.col("canonical_id").alias("new_id")).distinct()
+    tx.append("alias_label", scratch.cut(changes, "labels"))
+    labels = tx.read("alias_label")
+    moved = scratch.cut(moved, "moved")
+    if not moved.isEmpty():
+        _rekey(tx, moved, labels, scratch)
+
+    facts = tx.read("fact_event_revision")
+    names = valid.select("source_event_id").distinct().join(labels.withColumnRenamed("canonical_id", "canonical_event_id"), "source_event_id", "left")
+    accepted = valid.join(names, "source_event_id", "left")
     accepted = accepted.withColumn("canonical_event_id", F.coalesce("canonical_event_id", F.raise_error(F.lit("no canonical id")).cast("string"))).withColumn("curated_at", F.lit(at))
     source = scratch.cut(revisions.dedup(revisions.refuse_conflicts(accepted.select(*facts.columns))), "source")
+    stored = facts.join(source.select(*REVISION_KEY), list(REVISION_KEY), "left_semi")
     lineage = ["fetched_at", "curated_at", "stage_file_name", "stage_file_row_number"]
-    merged = scratch.cut(merge.upsert(facts, source, REVISION_KEY, lineage, F.col("s.fetched_at") > F.col("t.fetched_at")), "merged")  # once, for the table, its check and the count
-    changed = merged.where("merge_action <> 'kept'").count()
+    merged = scratch.cut(merge.upsert(stored, source, REVISION_KEY, lineage, F.col("s.fetched_at") > F.col("t.fetched_at")).where("merge_action <> 'kept'"), "merged")  # once, for the table, its check and the count
+    changed = merged.count()
+    if duplicates := revisions.duplicate_groups(merged, REVISION_KEY):
+        raise ValueError(f"{duplicates} revision keys repeat after the merge")
     if changed:
-        if duplicates := revisions.duplicate_groups(merged, REVISION_KEY):
-            raise ValueError(f"{duplicates} revision keys repeat after the merge")
-        tx.replace("fact_event_revision", merged)
+        tx.append("fact_event_revision", merged)
 
-    new = source.select(*REVISION_KEY, "latitude", "longitude")
-    placed = scratch.cut(merge.upsert(bridges, geo.bridge(new), (*REVISION_KEY, "site_key"), ["epicentral_distance_km", "within_radius"]), "bridge")
+    placed = scratch.cut(geo.bridge(source.select(*REVISION_KEY, "latitude", "longitude")), "bridge")
     if duplicates := revisions.duplicate_groups(placed, (*REVISION_KEY, "site_key")):
         raise ValueError(f"{duplicates} bridge keys repeat after the merge")
-    tx.replace("bridge_event_site", placed)
+    if not placed.isEmpty():
+        tx.append("bridge_event_site", placed)
     days = source.select(F.explode(F.array("origin_time", "source_updated_at")).alias("t")).select(F.to_date("t").alias("date_key")).distinct().select("date_key", F.year("date_key").alias("calendar_year"), F.month("date_key").alias("calendar_month"))
     dims = {
         "dim_date": (days, ["date_key"]), "dim_magnitude_type": (source.select("magnitude_type").where("magnitude_type IS NOT NULL").distinct(), ["magnitude_type"]),
@@ -126,11 +138,22 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Reso
         rows = scratch.cut(merge.insert_only(tx.read(table), rows, keys), table)
         if not rows.isEmpty():
             tx.append(table, rows)
-            tx.compact(table)
-    scratch.drop("canonical", "source", "merged", "bridge", *dims)
+    scratch.drop("labels", "moved", "source", "merged", "bridge", *dims)
     return changed
 
 
+def _rekey(tx: Transaction, moved: DataFrame, labels: DataFrame, scratch: Scratch) -> None:
+    """Facts and bridges of the canonical ids that move, and of those they may meet, under their new ids [K7]."""
+    touched = moved.select(F.explode(F.array("old_id", "new_id")).alias("canonical_event_id")).distinct()
+    facts = scratch.cut(tx.read("fact_event_revision").join(touched, "canonical_event_id", "left_semi"), "facts-touched")
+    bridges = scratch.cut(tx.read("bridge_event_site").join(touched, "canonical_event_id", "left_semi"), "bridges-touched")
+    canonical = scratch.cut(labels.join(facts.select("source_event_id").distinct(), "source_event_id", "left_semi"), "ids-touched")
+    new_facts, new_bridges, _ = revisions.rekey_checked(facts, bridges, canonical)
+    tx.exchange("fact_event_revision", facts, scratch.cut(new_facts, "facts-new"))
+    tx.exchange("bridge_event_site", bridges, scratch.cut(new_bridges, "bridges-new"))
+    scratch.drop("facts-touched", "bridges-touched", "ids-touched", "facts-new", "bridges-new")
+
+
 def process_attempt(store: Store, attempt_id: str, *, writer: ModelWriter = write_models, make_id: Callable[[], str] = lambda: uuid.uuid4().hex, now: Callable[[], datetime] = lambda: datetime.now(UTC)) -> Outcome:
     """Models and success log in one commit; on failure nothing of it, and a failure record in a commit of its own [K14].
 
@@ -184,7 +207,7 @@ def _batch_fact(tx: Transaction, receipt: dict, outcome: Outcome) -> None:
     }
     source = target.sparkSession.range(1).select(*(F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in target.schema))
     changing = ["curated_at", "processed_rows", "rejected_rows", "fetch_to_curated_seconds", "process_status", "last_process_attempt_id", "updated_at"]
-    tx.replace("fact_batch_run", merge.upsert(target, source, ["attempt_id"], changing))
+    tx.replace("fact_batch_run", merge.upsert(target, source, ["attempt_id"], changing))  # a row an attempt
 
 
 def commit_watermark(store: Store, sweep: str, expected: str | None, value: str) -> int:

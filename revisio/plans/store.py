@@ -1,6 +1,10 @@
 """Snapshot catalog on plain Parquet [A16-A24, A28, L1-L7].
 
-A table version is an immutable folder. A commit is one file, `commits/<n>.json`, made
+A table version is a list of segments, immutable folders of rows (and, for tables that are merged
+by key, of keys that are gone). A write adds a segment of what it changes; TIER neighbours of one
+level become one of the next, so that a row is rewritten as often as there are levels, not with
+every write. Tables of `schema.MERGED` are merged by key as they are read: the last segment's row
+of a key holds. A commit is one file, `commits/<n>.json`, made
 exclusively, that names the folder of every table: it is the multi-table transaction, the
 version for reads of the past, the compare-and-set of the state, and (copied) a clone.
 Staged folders that no commit names are invisible; `vacuum` removes them. Row counts of
@@ -21,8 +25,11 @@ import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revisio.schema import TABLES
+from revisio.schema import MERGED, TABLES
+
+TIER = 8
 
 
 class CommitConflict(RuntimeError):
@@ -94,11 +101,29 @@ class Store:
     # ---- reads
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """A table now or as of a version; empty with its schema where no commit has written it."""
-        folders = self.commit_at(version)["tables"].get(table, [])
-        schema = self.tables[table]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*map(self.at, folders))
+        return self._frame(self.commit_at(version), table)
+
+    def _frame(self, commit: dict[str, Any], table: str) -> DataFrame:
+        return self._merged(table, commit["tables"].get(table, [])).where("NOT gone").drop("gone")
+
+    def _merged(self, table: str, segments: list[dict[str, Any]]) -> DataFrame:
+        """Rows of segments, with gone: keys that a later segment took away, if no later one brought them back."""
+        schema, keys = self.tables[table], MERGED.get(table)
+        rows = [s["rows"] for s in segments if s["rows"]]
+        if not rows and not any(s.get("gone") for s in segments):
+            return self.spark.createDataFrame([], schema).withColumn("gone", F.lit(False))
+        if not keys or (len(segments) == 1 and not segments[0].get("gone")):
+            return self.spark.read.schema(schema).parquet(*map(self.at, rows)).withColumn("gone", F.lit(False))
+        whole = self.spark.createDataFrame([], schema).withColumns({"gone": F.lit(False), "segment": F.lit(0)})
+        for k, s in enumerate(segments):
+            if s["rows"]:
+                whole = whole.unionByName(self.spark.read.schema(schema).parquet(self.at(s["rows"])).withColumns({"gone": F.lit(False), "segment": F.lit(k)}))
+            if s.get("gone"):
+                lost = self.spark.read.schema(self.spark.createDataFrame([], schema).select(*keys).schema).parquet(self.at(s["gone"]))
+                whole = whole.unionByName(lost.withColumns({"gone": F.lit(True), "segment": F.lit(k)}), allowMissingColumns=True)
+        # Of one segment, rows come after what it takes away: a key may go and come back.
+        last = F.max_by(F.struct(*(c for c in whole.columns if c not in keys and c != "segment")), F.struct("segment", ~F.col("gone")))
+        return whole.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*")
 
     def state(self, key: str) -> Any:
         return self.commit_at()["state"].get(key)
@@ -111,7 +136,7 @@ class Store:
         if self._fs.exists(self._path(f"{root}/commits")):
             raise CommitConflict(f"{root} exists")
         now = self.commit_at()
-        tables = {t: [self.at(f) for f in fs] for t, fs in now["tables"].items()}
+        tables = {t: [x | {c: self.at(x[c]) for c in ("rows", "gone") if x.get(c)} for x in xs] for t, xs in now["tables"].items()}
         other = Store.__new__(Store)
         other.spark, other.root, other.tables, other._path, other._fs = self.spark, root.rstrip("/"), self.tables, self._path, self._fs
         other._publish(0, {"tables": tables, "state": now["state"]})
@@ -130,17 +155,17 @@ class Store:
         return name
 
     def metadata(self) -> DataFrame:
-        """One row per table: whether a commit has written it, its folders and columns [A24]."""
+        """One row per table: whether a commit has written it, its segments and columns [A24]."""
         now = self.commit_at()
         rows = [(t, t in now["tables"], len(now["tables"].get(t, [])), len(self.spark.createDataFrame([], schema).columns), self.version()) for t, schema in sorted(self.tables.items())]
-        return self.spark.createDataFrame(rows, "table_name string, written boolean, folders int, columns int, version int")
+        return self.spark.createDataFrame(rows, "table_name string, written boolean, segments int, columns int, version int")
 
     def drop(self) -> None:
         self._fs.delete(self._path(self.root), True)
 
     def vacuum(self) -> int:
         """Remove staged folders that no commit names; returns how many."""
-        named = {f for n in range(self.version() + 1) for fs in self.commit_at(n)["tables"].values() for f in fs}
+        named = {x.get(c) for n in range(self.version() + 1) for xs in self.commit_at(n)["tables"].values() for x in xs for c in ("rows", "gone")}
         data, gone = self._path(f"{self.root}/data"), 0
         for s in self._fs.listStatus(data) if self._fs.exists(data) else []:
             if f"data/{s.getPath().getName()}" not in named:
@@ -157,30 +182,40 @@ class Transaction:
 
     def read(self, table: str) -> DataFrame:
         """The table as this transaction has it."""
-        folders = self.now["tables"].get(table, [])
-        if not folders:
-            return self.store.spark.createDataFrame([], self.store.tables[table])
-        return self.store.spark.read.schema(self.store.tables[table]).parquet(*map(self.store.at, folders))
+        return self.store._frame(self.now, table)
 
-    def _stage(self, table: str, rows: DataFrame) -> str:
+    def _stage(self, table: str, rows: DataFrame, columns: tuple[str, ...] | None = None) -> str:
         folder = f"data/{table}-{uuid.uuid4().hex}"
         target = self.store.spark.createDataFrame([], self.store.tables[table])
-        rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in target.schema)).write.parquet(f"{self.store.root}/{folder}")
+        rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in target.schema if columns is None or f.name in columns)).write.parquet(f"{self.store.root}/{folder}")
         return folder
 
     def append(self, table: str, rows: DataFrame) -> None:
-        self.now["tables"][table] = [*self.now["tables"].get(table, []), self._stage(table, rows)]
-
-    def compact(self, table: str, most: int = 64) -> bool:
-        """Rewrite a table of more than `most` folders into one."""
-        if len(self.now["tables"].get(table, [])) <= most:
-            return False
-        self.replace(table, self.read(table))
-        return True
+        """Rows to add. Of a table that is merged by key: the rows that hold for their keys from now on."""
+        self.now["tables"][table] = [*self.now["tables"].get(table, []), {"rows": self._stage(table, rows), "level": 0}]
+        self._settle(table)
+
+    def exchange(self, table: str, gone: DataFrame, rows: DataFrame) -> None:
+        """Keys to take away and rows to add, in one segment of a table that is merged by key."""
+        keys = MERGED[table]
+        self.now["tables"][table] = [*self.now["tables"].get(table, []), {"gone": self._stage(table, gone.select(*keys), keys), "rows": self._stage(table, rows), "level": 0}]
+        self._settle(table)
+
+    def _settle(self, table: str) -> None:
+        """Make TIER last segments of one level one of the next, as long as there are so many."""
+        segments, keys = self.now["tables"][table], MERGED.get(table)
+        while len(segments) >= TIER and len({s["level"] for s in segments[-TIER:]}) == 1:
+            some, rest = segments[-TIER:], segments[:-TIER]
+            whole = self.store._merged(table, some)
+            joined = {"rows": self._stage(table, whole.where("NOT gone")), "level": some[0]["level"] + 1}
+            if keys and rest and any(s.get("gone") for s in some):
+                joined["gone"] = self._stage(table, whole.where("gone"), keys)
+            segments = [*rest, joined]
+        self.now["tables"][table] = segments
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """The next state of a table; the folders that the rows are read from stay."""
-        self.now["tables"][table] = [self._stage(table, rows)]
+        self.now["tables"][table] = [{"rows": self._stage(table, rows), "level": 0}]
 
     def compare_and_set(self, key: str, expected: Any, value: Any) -> None:
         if self.now["state"].get(key) != expected:

@@ -18,6 +18,9 @@ LATENCY_TARGET_SECONDS, LATENCY_LEAST_SAMPLE = 86_400, 30
 REVISION_KEY = ("canonical_event_id", "source_updated_at", "payload_hash")
 FILE_ROW = ("stage_file_name", "stage_file_row_number")
 
+#: Tables that are merged by key when they are read: the latest segment's row of a key holds.
+MERGED = {"fact_event_revision": REVISION_KEY, "bridge_event_site": (*REVISION_KEY, "site_key"), "alias_label": ("source_event_id",)}
+
 TABLES = {
     "batch_attempt": """attempt_id string, logical_batch_id string, batch_kind string, site_key string, requested_starttime timestamp,
         requested_endtime timestamp, query_parameters variant, window_audit variant, coverage_gaps variant, fetched_at timestamp,
@@ -35,6 +38,7 @@ TABLES = {
         staging_parser_version string, stage_file_name string, stage_file_row_number bigint""",
     "bridge_event_site": """canonical_event_id string, source_updated_at timestamp, payload_hash string, site_key string,
         epicentral_distance_km double, within_radius boolean""",
+    "alias_label": "source_event_id string, canonical_id string",
     "dim_date": "date_key date, calendar_year int, calendar_month int",
     "dim_site": "site_key string, site_name string, latitude double, longitude double, radius_km double",
     "dim_magnitude_type": "magnitude_type string",

@@ -76,19 +76,76 @@ def test_metadata_temporary_tables_views_and_session(spark, store, tmp_path):
     assert lineage.run_metrics(spark, "measured")["jobs"] >= 1
 
 
-def test_compaction_and_counts(spark, store):
-    tx = store.transaction()
-    for k in range(4):
+def test_tiers_and_counts(spark, store):
+    """Segments of one level become one of the next; rows stay, and no write rewrites all."""
+    for k in range(70):
+        tx = store.transaction()
         tx.append("dim_magnitude_type", spark.createDataFrame([(f"m{k}",)], "magnitude_type string"))
-    assert not tx.compact("dim_magnitude_type", 4) and tx.compact("dim_magnitude_type", 3)
-    tx.commit()
-    assert store.read("dim_magnitude_type").count() == 4 and len(store.commit_at()["tables"]["dim_magnitude_type"]) == 1
+        tx.commit()
+    assert sorted(s["level"] for s in store.commit_at()["tables"]["dim_magnitude_type"]) == [0] * 6 + [2]
     rows = store.read("dim_magnitude_type")
-    assert merge.checked(rows, 4, "all").count() == 4 and merge.checked(rows, 1, "one", F.col("magnitude_type") == "m1") is rows
-    with pytest.raises(merge.CountDiffers, match="4 rows instead of 3"):
+    assert sorted(r.magnitude_type for r in rows.collect()) == sorted(f"m{k}" for k in range(70)) and store.read("dim_magnitude_type", 5).count() == 5
+    assert merge.checked(rows, 70, "all").count() == 70 and merge.checked(rows, 1, "one", F.col("magnitude_type") == "m1") is rows
+    with pytest.raises(merge.CountDiffers, match="70 rows instead of 3"):
         merge.checked(rows, 3, "all")
 
 
+def test_merged_tables_hold_the_last_row_of_a_key(spark, store):
+    of = lambda rows: spark.createDataFrame(rows, "source_event_id string, canonical_id string")
+    want = {}
+    for k in range(20):
+        tx = store.transaction()
+        rows = {f"s{j}": f"c{k}" for j in range(k % 5, k % 5 + 4)}
+        if k % 3 == 2:
+            gone = {f"s{j}" for j in range(k % 4, k % 4 + 3)}
+            tx.exchange("alias_label", of([(s, None) for s in sorted(gone)]), of(sorted(rows.items())))
+            want = {s: c for s, c in want.items() if s not in gone} | rows
+        else:
+            tx.append("alias_label", of(sorted(rows.items())))
+            want |= rows
+        tx.commit()
+        assert {r.source_event_id: r.canonical_id for r in store.read("alias_label").collect()} == want
+    assert len(store.commit_at()["tables"]["alias_label"]) < 10
+    other = store.clone(store.root + "-clone")
+    assert {r.source_event_id: r.canonical_id for r in other.read("alias_label").collect()} == want and store.vacuum() >= 0
+    assert {r.source_event_id: r.canonical_id for r in store.read("alias_label").collect()} == want
+
+
+def test_labels_added_step_by_step_equal_those_of_all(spark, store):
+    """Random rows in ten attempts: stored labels are the components of all accepted rows so far."""
+    import random
+
+    from revisio.operators import aliases
+
+    rng, seen = random.Random(5), []
+    kind = "source_event_id string, associated_ids array<string>"
+    for _ in range(10):
+        rows = [(f"i{rng.randrange(40):02}", [f"i{rng.randrange(40):02}" for _ in range(rng.randrange(3))] if rng.random() < 0.5 else None) for _ in range(3)]
+        seen += rows
+        tx = store.transaction()
+        changes, _ = aliases.added(tx.read("alias_label"), spark.createDataFrame(rows, kind))
+        tx.append("alias_label", changes)
+        tx.commit()
+        assert sorted(map(tuple, store.read("alias_label").collect())) == sorted(map(tuple, aliases.canonical_ids(spark.createDataFrame(seen, kind)).collect()))
+
+
+def test_an_attempt_writes_what_it_changes(store, tmp_path):
+    """The bytes that an attempt adds do not grow with the table."""
+    def size(names):
+        return sum(f.stat().st_size for n in names for f in (tmp_path / "store" / n).glob("*.parquet"))
+
+    land(store, tmp_path, "big", [feature(f"e{k}", k) for k in range(3000)], 0)
+    pipeline.process_attempt(store, "big", now=now)
+    whole = {t: size(x["rows"] for x in xs) for t, xs in store.commit_at()["tables"].items()}
+    land(store, tmp_path, "small", [feature("e1", 9000), feature("new", ids=",new,e2,")], 1)
+    before = {x.get(c) for xs in store.commit_at()["tables"].values() for x in xs for c in ("rows", "gone")}
+    out = pipeline.process_attempt(store, "small", now=now)
+    added = {t: [x[c] for x in xs for c in ("rows", "gone") if x.get(c) and x[c] not in before] for t, xs in store.commit_at()["tables"].items()}
+    assert out.revision_rows_merged == 2 and all(size(added[t]) < 0.2 * whole[t] for t in ("fact_event_revision", "bridge_event_site", "alias_label", "stg_event_revision"))
+    facts = store.read("fact_event_revision")
+    assert facts.count() == 3002 and {r.canonical_event_id for r in facts.where("source_event_id in ('new', 'e2')").collect()} == {"e2"} and store.read("bridge_event_site").count() == 3 * 3002
+
+
 # ---- the loop
 def test_pending_loop_with_guards(store, tmp_path):
     for k in range(3):
