@@ -207,7 +207,8 @@ def _batch_fact(tx: Transaction, receipt: dict, outcome: Outcome) -> None:
     }
     source = target.sparkSession.range(1).select(*(F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in target.schema))
     changing = ["curated_at", "processed_rows", "rejected_rows", "fetch_to_curated_seconds", "process_status", "last_process_attempt_id", "updated_at"]
-    tx.replace("fact_batch_run", merge.upsert(target, source, ["attempt_id"], changing))  # a row an attempt
+    stored = target.where(F.col("attempt_id") == row["attempt_id"])
+    tx.append("fact_batch_run", merge.upsert(stored, source, ["attempt_id"], changing))
 
 
 def commit_watermark(store: Store, sweep: str, expected: str | None, value: str) -> int:

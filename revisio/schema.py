@@ -19,7 +19,7 @@ REVISION_KEY = ("canonical_event_id", "source_updated_at", "payload_hash")
 FILE_ROW = ("stage_file_name", "stage_file_row_number")
 
 #: Tables that are merged by key when they are read: the latest segment's row of a key holds.
-MERGED = {"fact_event_revision": REVISION_KEY, "bridge_event_site": (*REVISION_KEY, "site_key"), "alias_label": ("source_event_id",)}
+MERGED = {"fact_event_revision": REVISION_KEY, "bridge_event_site": (*REVISION_KEY, "site_key"), "alias_label": ("source_event_id",), "fact_batch_run": ("attempt_id",)}
 
 TABLES = {
     "batch_attempt": """attempt_id string, logical_batch_id string, batch_kind string, site_key string, requested_starttime timestamp,
