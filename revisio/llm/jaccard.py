@@ -11,9 +11,9 @@ differ in at most D bits, so that a pair whose sketches differ in more than (|A|
 bits cannot be similar. Sketches are a few bits a shingle; texts are read for the pairs alone
 that they leave, and are compared whole.
 
-Two rounds first compare the sets of a shared shingle with one of them, at first with the one
-that has the fewest shingles of its own (an unchanged original, where there is one), so that
-a large group of near copies is one component early. Then all sets that share a shingle and
+A first round compares the sets of a shared shingle with one of them, the one that has the
+fewest shingles of its own (an unchanged original, where there is one), so that a large group
+of near copies is one component early. Then all sets that share a shingle and
 lie in different components are compared: pairs of few rows by a join; where more than CROWD
 rows share a shingle, sketches meet in groups, one for all shingles with the same first set,
 and only what they leave is a pair. A large group is dealt to pairs of its parts.
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisio.llm.keyed import all_pairs, open_rows, shared_keys, stars, whole_groups
-from revisio.llm.tokens import give_back, slices
+from revisio.llm.tokens import give_back, slices, text_batches
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
 
@@ -241,11 +241,7 @@ def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int =
         asked = scratch.cut(sketches.select("node", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), f"asked-{name}")
         return scratch.cut(texts.join(small_side(asked, asked.count()), "text_hash").dropDuplicates(["node"]).select("node", "text"), f"held-{name}")
 
-    near = None
-    for turn, order in enumerate((F.struct("own", "node"), F.xxhash64("node", "key"))):
-        state = scratch.cut(open_rows(shared, near if near is None else connected_components(near)), f"state-{turn}")
-        new = scratch.cut(_compare(stars(state, order, _fits), slim), f"near-{turn}")
-        near = new if near is None else near.union(new)
+    near = scratch.cut(_compare(stars(open_rows(shared, None), F.struct("own", "node"), _fits), slim), "near-stars")
     found = scratch.cut(_confirm(near, texts_of(near, "stars")), "links-stars")
     # What is in different components by texts: all pairs that no round has compared.
     state = scratch.cut(open_rows(shared, connected_components(found)), "state-rest")
@@ -261,6 +257,7 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """One row per document: id, text_hash, root (the same for all that similar pairs join). groups: crowd and part of `links`."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     kind = docs.schema[id_col].dataType.simpleString()
+    text_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     common, times = _common(texts)
     marked = scratch.cut(texts.mapInArrow(lambda it: _prefixes(it, common, times), f"id {kind}, text_hash bigint, node bigint, n int, sketch binary, keys array<bigint>"), "prefixes")

@@ -108,6 +108,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", voc
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "packing")
+    tokens.text_batches(spark)
     layout = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, place bigint, fill bigint"
     placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, vocabulary, capacity, end_id), layout), "round-0")
 

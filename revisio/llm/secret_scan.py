@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from revisio.llm.tokens import text_batches
+
 THRESHOLD, NEAR, MASK = 0.5, 48, "[SECRET]"
 _RUN = re.compile(rb"[A-Za-z0-9_+/\-]{14,}+={0,2}")
 _ASSIGN = re.compile(rb"(?<![\w.\-])([\w.\-]++)[\"']?+\s*+[=:]")
@@ -275,4 +277,5 @@ def redact(docs: DataFrame, forest: Forest, *, text_col: str = "text", path_col:
                     columns[length_at] = pa.array([None if t is None else len(t.decode()) for t in texts], columns[length_at].type)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    text_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

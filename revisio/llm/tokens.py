@@ -24,10 +24,12 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 21
 GROUP_BYTES = 1 << 22
 CACHE_WORDS = 400_000
+TEXT_ROWS = 4_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Lower-case Latin-1 letters, then ASCII marks but the apostrophe: two pieces that no rule changes.
@@ -225,6 +227,13 @@ def encoder(path: str | None, group_bytes: int = GROUP_BYTES) -> WordEncoder:
     return WordEncoder(path or vocabulary(), group_bytes=group_bytes)
 
 
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """Let batches of texts between Spark and Python have so many rows at most: both sides hold several."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, beside those of other stages."""
     pa.default_memory_pool().release_unused()

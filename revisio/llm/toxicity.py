@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisio.llm.tokens import slices
+from revisio.llm.tokens import slices, text_batches
 
 SAMPLE, LEAST, STEM, SPACE = 12_000, 3, 5, 1 << 22
 #: Groups whose names are swapped for one another.
@@ -259,4 +259,5 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
                 if keep.any():
                     yield some.filter(pa.array(keep))
 
+    text_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
