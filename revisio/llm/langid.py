@@ -46,7 +46,7 @@ def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     letter = _letters()[codes]
     keep = letter.copy()
     keep[:-1] |= letter[1:]  # of a run without letters, its last place stands for the word end
-    keep[-1] = len(codes) > 1 and letter[-2]
+    keep[-1] = letter.any()  # the end of the last run, whatever stands after it
     codes, of, letter = np.where(letter, codes, 0)[keep].astype(np.uint64), of[keep], letter[keep]
     buckets, texts_of = [], []
     for n in GRAMS:

@@ -627,6 +627,47 @@ def test_language_rejection_acts(spark):
     assert model.predict([t.encode() for t in junk])[0].count("und") >= 2
 
 
+def brute_buckets(text):
+    """n-grams of 1 to 4 characters of each run of letters with a word end at either side, hashed one by one."""
+    out, mask = [], (1 << 64) - 1
+    runs, run = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            run += c
+        elif run:
+            runs.append(run)
+            run = ""
+    for run in runs:
+        codes = [0, *map(ord, run), 0]
+        for n in langid.GRAMS:
+            for k in range(len(codes) - n + 1):
+                gram = codes[k : k + n]
+                if n == 1 and gram == [0]:
+                    continue
+                h = n
+                for c in gram:
+                    h = (h ^ c) * 0x9E3779B97F4A7C15 & mask
+                    h ^= h >> 29
+                out.append((h >> 40) & (langid.BUCKETS - 1))
+    return out
+
+
+def test_language_equals_brute_force(spark, docs, odd):
+    """Scores of whole texts are the softmax of the mean of all subwords' rows, gram by gram."""
+    model = langid.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    model.threshold = 0.0
+    both = docs.select("doc_id", "text").limit(40).union(odd.select("doc_id", "text"))
+    texts = [r.text for r in both.collect()]
+    found = {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.predict(both, model).collect()}
+    want = set()
+    for r in both.collect():
+        at = brute_buckets(r.text)
+        z = (model.table[at].mean(0) if at else np.zeros(len(model.languages))) + model.bias
+        e = np.exp((z - z.max()) / model.temperature)
+        want.add((r.doc_id, model.languages[int(e.argmax())] if at else "und", round(float((e / e.sum()).max()), 9) if at else 0.0))
+    assert len(texts) > 40 and found == want
+
+
 def picture(seed, n=160):
     rng = np.random.default_rng(seed)
     coarse = rng.integers(20, 235, (n // 8, n // 8)).astype(float)
