@@ -110,6 +110,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts(batch.column(1)):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), _lists([shingle_set(t) for t in texts])], names=["node", "shingles"])
             at += len(texts)
+        give_back()
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -150,6 +151,7 @@ def _check(batches: Iterator[pa.RecordBatch], kept_bytes: int = 1 << 24) -> Iter
                 while size > kept_bytes and len(kept) > 2:
                     size -= kept.popitem(last=False)[1].nbytes
             yield some.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
 
 def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:

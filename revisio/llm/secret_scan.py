@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from revisio.llm.tokens import text_batches
+from revisio.llm.tokens import give_back, text_batches
 
 THRESHOLD, NEAR, MASK = 0.5, 48, "[SECRET]"
 _RUN = re.compile(rb"[A-Za-z0-9_+/\-]{14,}+={0,2}")
@@ -276,6 +276,7 @@ def redact(docs: DataFrame, forest: Forest, *, text_col: str = "text", path_col:
                 if length_at is not None:
                     columns[length_at] = pa.array([None if t is None else len(t.decode()) for t in texts], columns[length_at].type)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            give_back()
 
     text_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

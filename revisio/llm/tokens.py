@@ -28,7 +28,7 @@ from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 21
 GROUP_BYTES = 1 << 22
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 TEXT_ROWS = 4_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -62,7 +62,7 @@ class WordEncoder:
             layout = json.load(f)
         self.by_word = layout["normalizer"] == _NORMALISER and layout["pre_tokenizer"] == _PRE_TOKENIZER
         added = [t["content"].encode() for t in layout["added_tokens"]]
-        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
+        self.added, self.added_start = added, os.path.commonprefix(added)
         if self.by_word:
             self.tokenizer.encode_special_tokens = True  # strings that only become an added token's when they are lower-cased are ordinary text
             self.pieces = Tokenizer.from_str(json.dumps(layout | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
@@ -84,7 +84,7 @@ class WordEncoder:
         size = 0
         for text in texts:
             raw = text.encode() if isinstance(text, str) else text or b""
-            if not self.by_word or (self.added and self.added.search(raw)):
+            if not self.by_word or (self.added and self.added_start in raw and any(t in raw for t in self.added)):
                 out += self._group(group) if group else []
                 out.append(self._plain_call(raw))
                 group, size = [], 0
@@ -224,7 +224,9 @@ def plain(path: str):
 @functools.cache
 def encoder(path: str | None, group_bytes: int = GROUP_BYTES) -> WordEncoder:
     """One encoder for each Python worker and size of group, kept from task to task. path: on the worker; the default vocabulary where the worker has it, if null."""
-    return WordEncoder(path or vocabulary(), group_bytes=group_bytes)
+    made = WordEncoder(path or vocabulary(), group_bytes=group_bytes)
+    give_back()
+    return made
 
 
 def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:

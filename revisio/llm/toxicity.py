@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisio.llm.tokens import slices, text_batches
+from revisio.llm.tokens import give_back, slices, text_batches
 
 SAMPLE, LEAST, STEM, SPACE = 12_000, 3, 5, 1 << 22
 #: Groups whose names are swapped for one another.
@@ -258,6 +258,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
                 keep = model.scores(some.column(names.index(text_col)).cast(pa.binary()).to_pylist()) < threshold
                 if keep.any():
                     yield some.filter(pa.array(keep))
+            give_back()
 
     text_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
