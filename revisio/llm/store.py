@@ -145,8 +145,8 @@ def _chunk(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int) ->
             columns = pa.array(np.arange(number, number + len(spans))), pa.array(map(digest_of, payloads), pa.binary()), pa.array([b - a for a, b in spans], pa.int32()), pa.array([zlib.crc32(whole[4 * a : 4 * b]) for a, b in spans], pa.int64()), pa.array(payloads, pa.binary())
             chunks = pa.StructArray.from_arrays(columns, names=["at", "digest", "n_ids", "ids_crc32", "payload"])
             number += len(spans)
-        tokens.give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), chunks)], names=["doc_id", "n_tokens", "chunks"])
+        tokens.give_back()
 
 
 def _crcs(payloads: pd.Series, wide: bool) -> pd.Series:
