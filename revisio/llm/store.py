@@ -168,7 +168,6 @@ def write(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "store")
-    tokens.text_batches(spark)
     staged = docs.select(id_col, text_col).mapInArrow(lambda it: _chunk(it, vocabulary, end_id), f"doc_id {kind}, n_tokens bigint, chunks array<struct<at:bigint,digest:binary,n_ids:int,ids_crc32:bigint,payload:binary>>")
     staged = scratch.cut(staged, "staged", compression="snappy")  # read back soon: cheap to write
 
