@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisio.llm import chat, images, langid, mixing, packing, secret_scan, simhash, store, toxicity, vafile
+from revisio.llm import chat, images, langid, merkle, mixing, packing, secret_scan, simhash, store, toxicity, vafile
 from revisio.plans.lineage import Scratch
 
 
@@ -69,7 +69,37 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", ((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= threshold)).alias("accepted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(_table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 14, over: int = 9) -> str:
+    """One expression for each level of the sources' trees and of the tree over them; a tree that has one node stays as it is."""
+    byte = "[ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]"  # a byte of the decimal id goes in, then eight shifts
+    shift = "CASE WHEN x >= 0 THEN xor(a, x::BIGINT) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END"
+    crc = f"xor(list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: {byte})), lambda a, x: {shift}, 4294967295::BIGINT), 4294967295::BIGINT)"
+    field = lambda value: f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+    leaf = lambda text: f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+    parts = [
+        f"d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS tree, {leaf('text')} AS leaf, CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS other FROM documents)",
+        "a0 AS (SELECT tree, leaf AS hash, doc_id, other, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM d)",
+    ]
+    grow = "{to} AS MATERIALIZED (SELECT tree, idx // 3 AS idx, (max(n) + 2) // 3 AS n, max(n) = 1 AS done, string_agg(hash, '' ORDER BY idx) AS pre, CASE WHEN max(n) = 1 THEN max(hash) ELSE sha256(string_agg(hash, '' ORDER BY idx)) END AS hash FROM {of} GROUP BY tree, idx // 3)"
+    parts += [grow.format(to=f"a{k + 1}", of=f"a{k}") for k in range(levels)]
+    parts.append(f"b0 AS (SELECT '' AS tree, tree AS name, hash, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM a{levels})")
+    parts += [grow.format(to=f"b{k + 1}", of=f"b{k}") for k in range(over)]
+
+    def climb(now: str, nodes: str, k: int, tree: str, idx: str) -> str:
+        before, after = f"substr(pre, 1, 64 * ({idx} // {3**k} % 3)::INTEGER)", f"substr(pre, 64 * ({idx} // {3**k} % 3)::INTEGER + 65)"
+        return f"SELECT p.* EXCLUDE (told, folded), CASE WHEN done THEN told ELSE told || {before} || {after} END AS told, CASE WHEN done THEN folded ELSE sha256({before} || folded || {after}) END AS folded FROM {now} p JOIN {nodes}{k + 1} x ON x.tree = {tree} AND x.idx = {idx} // {3 ** (k + 1)}"
+
+    parts.append("p0 AS (SELECT a0.doc_id, a0.tree AS name, a0.hash AS leaf, a0.idx AS at, b0.idx AS place, b0.hash AS subroot, '' AS told, coalesce(a0.other, a0.hash) AS folded FROM a0 JOIN b0 ON b0.name = a0.tree)")
+    parts += [f"p{k + 1} AS ({climb(f'p{k}', 'a', k, 'p.name', 'p.at')})" for k in range(levels)]
+    parts += [f"p{levels + k + 1} AS ({climb(f'p{levels + k}', 'b', k, repr(''), 'p.place')})" for k in range(over)]
+    return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, b{over}.hash AS root, sha256(told) AS proof_sha256, folded AS folded_root, folded = b{over}.hash AS verified FROM p{levels + over}, b{over}"
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id, op13_merkle_manifest)}
 
 SQL = {
     "op1_chat_formatting": r"""
@@ -119,4 +149,5 @@ WITH v AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_merkle_manifest": _merkle_sql(),
 }
