@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisio.llm import chat, images, langid, merkle, mixing, packing, secret_scan, simhash, store, toxicity, vafile
+from revisio.llm import balltree, chat, images, langid, merkle, mixing, packing, secret_scan, simhash, store, toxicity, vafile
 from revisio.plans.lineage import Scratch
 
 
@@ -69,6 +69,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", ((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= threshold)).alias("accepted"))
 
 
+def op12_ball_tree_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.digests(_table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Two expressions for each round: whole numbers below 2**53 in doubles, sums and floors in integers."""
+    far = "list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c)"
+    nearest = "a{r} AS MATERIALIZED (SELECT no, any_value(vec_id) AS vec_id, any_value(v) AS v, arg_min(cluster, (d, cluster)) AS cluster, min(d)::BIGINT AS distance FROM (SELECT *, {far} AS d FROM v, c{r}) GROUP BY no)"
+    mean = """c{to} AS MATERIALIZED (SELECT c{r}.cluster, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (SELECT cluster, list(((s - (s % n + n) % n) // n)::DOUBLE ORDER BY place) AS c
+      FROM (SELECT cluster, place, sum(x::BIGINT)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range({dim})) AS place FROM a{r}) GROUP BY 1, 2) GROUP BY 1) m USING (cluster))"""
+    parts = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)",
+        f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1)::INTEGER AS cluster, v AS c FROM v WHERE vec_id IS NOT NULL QUALIFY cluster < {k})",
+    ]
+    for r in range(rounds):
+        parts += [nearest.format(r=r, far=far), mean.format(r=r, to=r + 1, dim=dim)]
+    parts.append(nearest.format(r=rounds, far=far))
+    return f"""WITH {', '.join(parts)} SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digests(_table(spark, sf_dir, "documents"))
 
@@ -99,7 +120,7 @@ def _merkle_sql(levels: int = 14, over: int = 9) -> str:
     return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, b{over}.hash AS root, sha256(told) AS proof_sha256, folded AS folded_root, folded = b{over}.hash AS verified FROM p{levels + over}, b{over}"
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id, op12_ball_tree_clusters, op13_merkle_manifest)}
 
 SQL = {
     "op1_chat_formatting": r"""
@@ -149,5 +170,6 @@ WITH v AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op12_ball_tree_clusters": _clusters_sql(),
     "op13_merkle_manifest": _merkle_sql(),
 }
