@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisio.llm import balltree, chat, images, langid, merkle, mixing, packing, secret_scan, simhash, store, toxicity, vafile
+from revisio.llm import balltree, chat, images, langid, merkle, mixing, ngram, packing, secret_scan, simhash, store, toxicity, vafile
 from revisio.plans.lineage import Scratch
 
 
@@ -69,6 +69,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", ((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= threshold)).alias("accepted"))
 
 
+def op11_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.digests(_table(spark, sf_dir, "documents"))
+
+
 def op12_ball_tree_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.digests(_table(spark, sf_dir, "embeddings"))
 
@@ -120,7 +124,7 @@ def _merkle_sql(levels: int = 14, over: int = 9) -> str:
     return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, b{over}.hash AS root, sha256(told) AS proof_sha256, folded AS folded_root, folded = b{over}.hash AS verified FROM p{levels + over}, b{over}"
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id, op12_ball_tree_clusters, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scan, op3_best_fit_packing, op4_image_copies, op5_simhash, op6_toxicity, op7_mixing, op8_token_store, op9_vafile, op10_language_id, op11_ngram_trie, op12_ball_tree_clusters, op13_merkle_manifest)}
 
 SQL = {
     "op1_chat_formatting": r"""
