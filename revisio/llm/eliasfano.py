@@ -114,15 +114,33 @@ class Sequence:
 
 
 def codebook(values: np.ndarray, bits: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """(code of each value, mean of each code) of positive values: equal steps of the logarithm; fewer distinct values than codes stay exact."""
-    levels, which = np.unique(values, return_inverse=True)
-    if len(levels) > 1 << bits:
-        logs = np.log(levels)
-        step = (logs[-1] - logs[0]) / ((1 << bits) - 1)
-        _, bins = np.unique(np.round((logs - logs[0]) / step), return_inverse=True)
-        which = bins[which]
-        levels = np.bincount(which, values) / np.bincount(which)
-    return which.astype(np.uint8 if bits <= 8 else np.uint16), levels.astype(np.float32)
+    """(code of each value, mean of each code) of positive values, in equal steps of the logarithm."""
+    kind = np.uint8 if bits <= 8 else np.uint16
+    if not len(values):
+        return np.empty(0, kind), np.empty(0, np.float32)
+    logs = np.log(values)
+    low = logs.min()
+    step = (logs.max() - low) / ((1 << bits) - 1) or 1.0
+    code = np.round((logs - low) / step).astype(kind)
+    n = np.bincount(code)
+    return code, (np.bincount(code, values) / np.maximum(n, 1)).astype(np.float32)
+
+
+def rank(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of each distinct number, ascending, and the place of each row among them). Numbers that leave room for a row's own below them are sorted with it, without an index."""
+    n = len(code)
+    bits = n.bit_length()
+    if int(code.max(initial=0)).bit_length() + bits <= 64:
+        both = np.sort((code.astype(np.uint64) << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
+        order, code = (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+    else:
+        order = np.argsort(code)
+        code = code[order]
+    new = np.ones(n, np.bool_)
+    np.not_equal(code[1:], code[:-1], out=new[1:])
+    place = np.empty(n, np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], place
 
 
 class Trie:
@@ -179,13 +197,20 @@ class Trie:
         at, same = self.words.successor(keys)
         return np.where(same, at, -1)
 
-    def leaf(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The value of each successor word within its context's range, 0 where there is none."""
+    def leaf_code(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The code of each successor word within its context's range, from 1 on; 0 where there is none."""
         at = self._down(self.levels[-1], node, word)
-        out = np.zeros(len(word), np.float64)
-        out[at >= 0] = self.parts["leaf_values"][self.parts["leaf"][at[at >= 0]]]
+        out = np.zeros(len(word), np.uint16 if self.parts["leaf"].itemsize == 1 else np.uint32)
+        out[at >= 0] = self.parts["leaf"][at[at >= 0]].astype(out.dtype) + 1
         return out
 
+    def leaf_values(self) -> np.ndarray:
+        """The value of each code of `leaf_code`."""
+        return np.append(np.float32(0), self.parts["leaf_values"])
+
+    def leaf(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return self.leaf_values()[self.leaf_code(node, word)]
+
     def successors(self, node: np.ndarray) -> np.ndarray:
         """How many words have followed each context: the distance of two pointers."""
         return (self.pointers.get(node + 1) - self.pointers.get(node)).astype(np.int64)

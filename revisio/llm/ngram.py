@@ -39,17 +39,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisio.llm.eliasfano import Trie
+from revisio.llm.eliasfano import Trie, codebook, rank
 from revisio.llm.tokens import give_back, runs, slices
 from revisio.plans.lineage import Scratch
 
-ORDER, DISCOUNT, BITS, SHARD_ROWS, HOT_ROWS = 3, 0.75, 8, 2_000_000, 500_000
+ORDER, DISCOUNT, BITS, SHARD_ROWS, HOT_ROWS = 3, 0.75, 8, 1_500_000, 400_000
 BLOCK_BYTES, BLOCK_DOCS = 3_500_000, 100_000
 START, END = 0, 1  # numbers of the two marks in a block; words follow
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ZSTD = pa.Codec("zstd", compression_level=1)
 _BLOCKS = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, tokens binary, n_tokens bigint, n_words bigint, keys binary, checks binary"
-_LEARNT = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, tokens binary, ids binary, counts binary"
+_LEARNT = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, start bigint, tokens binary, ids binary, counts binary"
 _MESSAGES = "shard bigint, block bigint, n bigint, grams binary, counts binary, checks binary"
 _ANSWERS = "kind string, shard bigint, block bigint, n bigint, first binary, second binary, key bigint, count bigint"
 _SCORES = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -69,13 +69,35 @@ def _table(rows: list[Row], schema: pa.Schema) -> pa.Table:
 
 
 def _pack(values: np.ndarray, kind: str) -> bytes:
+    """The numbers' lowest bytes, then the next ones, and so on: most of the upper ones are equal."""
     raw = np.ascontiguousarray(values, kind)
-    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw.tobytes(), asbytes=True)
+    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(len(raw), raw.itemsize).T)
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(planes.tobytes(), asbytes=True)
 
 
 def _unpack(raw: bytes, kind: str) -> np.ndarray:
-    n = int.from_bytes(raw[:8], "little")
-    return np.frombuffer(_ZSTD.decompress(raw[8:], n * np.dtype(kind).itemsize, asbytes=True), kind) if n else np.empty(0, kind)
+    n, size = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
+    planes = np.frombuffer(_ZSTD.decompress(raw[8:], n * size, asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_coded(codes: np.ndarray, values: np.ndarray) -> bytes:
+    """Codes and the values of those that occur."""
+    used = np.zeros(len(values), np.bool_)
+    used[codes] = True
+    table = values[used].astype("<f4")
+    return len(table).to_bytes(4, "little") + table.tobytes() + _pack((np.cumsum(used) - 1)[codes], "<u4")
+
+
+def _unpack_coded(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    return np.frombuffer(raw, "<f4", n, 4)[_unpack(raw[4 + 4 * n :], "<u4")]
+
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
 
 
 def _mixed(parts: list[np.ndarray]) -> np.ndarray:
@@ -217,22 +239,22 @@ class Grams:
 
 
 def _ranked(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(first row of each distinct row, in ascending order, and the place of each row among them)."""
+    """(a row of each distinct row, in ascending order, and the place of each row among them)."""
+    n = len(columns[0])
     code = columns[0].astype(np.uint64)
     for column in columns[1:]:
         most = int(column.max(initial=0)) + 1
-        if (int(code.max(initial=0)) + 1) * most >= 1 << 64:
-            code = np.unique(code, return_inverse=True)[1].astype(np.uint64)
+        if ((int(code.max(initial=0)) + 1) * most - 1).bit_length() + n.bit_length() > 64:
+            code = rank(code)[1].astype(np.uint64)
         code = code * np.uint64(most) + column.astype(np.uint64)
-    _, first, rank = np.unique(code, return_index=True, return_inverse=True)
-    return first, rank
+    return rank(code)
 
 
 def _begun(row: dict, n: int) -> np.ndarray:
     """For each token, whether a document begins with it."""
     size = np.array(row["size"], np.int64)
     fresh = np.cumsum(size) - size
-    if row["lead"][-1] != START:  # the first document began in an earlier block
+    if row["lead"][-1] != row.get("start", START):  # the first document began in an earlier block
         fresh = fresh[1:]
     out = np.zeros(n + 1, np.bool_)
     out[fresh] = True
@@ -247,7 +269,7 @@ def _grams(row: dict, ids: np.ndarray, order: int, shards: int, hot: Hot) -> Gra
         before = np.empty_like(tokens)
         before[1:] = columns[0][:-1]
         before[:1] = row["lead"][-k]
-        before[begun] = START
+        before[begun] = row["start"]
         columns.insert(0, before)
     first, of_token = _ranked(columns)
     learn = np.repeat(np.array([bool(x) for x in row["learn"]], np.bool_), row["size"])
@@ -256,7 +278,7 @@ def _grams(row: dict, ids: np.ndarray, order: int, shards: int, hot: Hot) -> Gra
     key = _mixed(named[:-1])
     at = hot.find(key)
     key = np.where(at >= 0, _mixed([key, named[-1]]), key)
-    shard = (key % np.uint64(shards)).astype(np.int64)
+    shard = (key % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
     rows = np.argsort(shard, kind="stable")
     return Grams(named, counts, of_token, rows, np.searchsorted(shard[rows], np.arange(shards + 1)), at)
 
@@ -298,7 +320,8 @@ def _word_shard(shards: int, order: int, hot_rows: int, seed: int):
         words, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         checks = np.concatenate([_unpack(r["checks"], "<u8") for r in rows])
         counts = np.bincount(which, np.concatenate([_unpack(r["counts"], "<u4") for r in rows])).astype(np.int64)
-        ids = np.arange(len(words), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
+        ids = np.empty(len(words), np.uint64)
+        ids[np.lexsort((words, -counts))] = np.arange(len(words), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)  # small ones for frequent words
         out = [{"kind": "clashes", "count": int((checks != checks[first][which]).sum())}]
         token = words != start  # the start is counted as a context, and is no token
         out += [{"kind": "tokens", "count": int(counts[token].sum())}, {"kind": "words", "count": int((counts[token] > 0).sum())}]
@@ -326,10 +349,10 @@ def _gram_messages(order: int, shards: int, hot: Hot):
     def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                g = _grams(row, _unpack(row["ids"], "<u8"), order, shards, hot)
+                g = _grams(row, np.cumsum(_unpack(row["ids"], "<u8")), order, shards, hot)
                 for k in np.flatnonzero(np.diff(g.ends)).tolist():
                     some = g.rows[g.ends[k] : g.ends[k + 1]]
-                    grams = np.concatenate([c[some] for c in g.columns])
+                    grams = np.concatenate([_steps(g.columns[0][some]), *(c[some] for c in g.columns[1:])])
                     kind = "<u4" if int(grams.max()) < 1 << 32 else "<u8"
                     out = {"shard": k, "block": row["block"], "n": len(some), "grams": kind[-1].encode() + _pack(grams, kind), "counts": _pack(g.counts[some], "<u4")}
                     yield from _table([out], schema).to_batches()
@@ -351,26 +374,29 @@ def _learnt_trie(columns: list[np.ndarray], counts: np.ndarray, hot: Hot, discou
         total = np.where(at >= 0, hot.counts[at], total)
     context = np.cumsum(new) - 1
     leaf = np.maximum(counts - discount, 0) / total[context] if len(counts) else np.empty(0)
-    words = np.unique(np.concatenate([columns[-1], *(c[begins] for c in columns[:-1])]))
+    words = np.sort(np.concatenate([columns[-1], *(c[begins] for c in columns[:-1])]))
+    words = words[np.append(True, words[1:] != words[:-1])[: len(words)]]
     trie = Trie.build(words, [np.searchsorted(words, c) for c in columns], leaf, total.astype(np.float64), bits)
     return trie, at[at >= 0], np.diff(np.append(begins, len(counts)))[at >= 0]
 
 
-def _answers(trie: Trie, columns: list[np.ndarray], hot: Hot, discount: float) -> tuple[np.ndarray, np.ndarray]:
-    """(leaf's value, weight of the lower order) of distinct ascending grams; a context that was never learnt has weight 1, a hot one NaN."""
+def _answers(trie: Trie, columns: list[np.ndarray], discount: float, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct ascending grams the leaf's code, and the code and values of the lower order's weight; a context that was never learnt has weight 1."""
     new = np.zeros(len(columns[0]), np.bool_)
     new[:1] = True
     for c in columns[:-1]:
         new[1:] |= c[1:] != c[:-1]
     begins, context = np.flatnonzero(new), np.cumsum(new) - 1
-    asked = [np.unique(c, return_inverse=True) for c in ([c[begins] for c in columns[:-1]] + [columns[-1]])]
-    numbers = [trie.numbers(words)[which] for words, which in asked]
+    numbers = []
+    for column in [c[begins] for c in columns[:-1]] + [columns[-1]]:
+        first, which = rank(column)
+        numbers.append(trie.numbers(column[first])[which])
     node = trie.context(numbers[:-1])
     weight = np.ones(len(begins))
     known = node >= 0
     weight[known] = discount * trie.successors(node[known]) / trie.context_value(node[known])
-    weight[hot.find(_mixed([c[begins] for c in columns[:-1]])) >= 0] = np.nan
-    return trie.leaf(node[context], numbers[-1]), weight[context]
+    code, values = codebook(weight, bits)
+    return trie.leaf_code(node[context], numbers[-1]), code[context], values
 
 
 def _gram_shard(order: int, hot: Hot, discount: float, bits: int, hot_rows: int):
@@ -380,7 +406,7 @@ def _gram_shard(order: int, hot: Hot, discount: float, bits: int, hot_rows: int)
     def answer(table: pa.Table) -> pa.Table:
         rows = table.drop_columns(["grams", "counts", "checks"]).to_pylist()
         flat = [_unpack(r[1:], "<u" + r[:1].decode()).reshape(order, -1) for r in table.column("grams").to_pylist()]
-        columns = [np.concatenate([f[k] for f in flat]) for k in range(order)]
+        columns = [np.concatenate([np.cumsum(f[0], dtype=f.dtype) if k == 0 else f[k] for f in flat]) for k in range(order)]
         del flat
         first, which = _ranked(columns)
         counts = np.bincount(which, np.concatenate([_unpack(r, "<u4") for r in table.column("counts").to_pylist()])).astype(np.int64)
@@ -388,7 +414,8 @@ def _gram_shard(order: int, hot: Hot, discount: float, bits: int, hot_rows: int)
         learnt = counts > 0
         trie, at, successors = _learnt_trie([c[learnt] for c in columns], counts[learnt], hot, discount, bits)
         levels = trie.to_bytes()
-        leaf, weight = _answers(Trie.open(levels), columns, hot, discount)
+        opened = Trie.open(levels)
+        leaf, weight, weights = _answers(opened, columns, discount, bits)
         out: list[Row] = [{"kind": "levels", "shard": rows[0]["shard"], "n": int(learnt.sum()), "first": levels}]
         out += [{"kind": "successors", "key": _signed(hot.keys[k]), "count": int(n)} for k, n in zip(at, successors, strict=True)]
         some = np.flatnonzero(counts > hot_rows)
@@ -397,7 +424,7 @@ def _gram_shard(order: int, hot: Hot, discount: float, bits: int, hot_rows: int)
         for r in rows:
             part = which[begin : begin + r["n"]]
             begin += r["n"]
-            out.append({"kind": "answer", "shard": r["shard"], "block": r["block"], "n": r["n"], "first": _pack(leaf[part], "<f4"), "second": _pack(weight[part], "<f4")})
+            out.append({"kind": "answer", "shard": r["shard"], "block": r["block"], "n": r["n"], "first": _pack_coded(leaf[part], opened.leaf_values()), "second": _pack_coded(weight[part], weights)})
         del columns, which, leaf, weight
         give_back()
         return _table(out, schema)
@@ -417,7 +444,12 @@ def _with_ids(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         ids, counts = np.empty(len(order), np.uint64), np.empty(len(order), np.uint64)
         ids[order] = np.concatenate([_unpack(a["first"], "<u8") for a in got])
         counts[order] = np.concatenate([_unpack(a["second"], "<u8") for a in got])
-        out.append({k: row[k] for k in ("block", "row", "doc_id", "learn", "size", "lead", "tokens")} | {"ids": _pack(ids, "<u8"), "counts": _pack(counts, "<u8")})
+        up = np.argsort(ids)  # a block's numbers ascend as ids do, so that its grams come in the order of ids
+        number = np.empty(len(up), np.uint32)
+        number[up] = np.arange(len(up))
+        tokens = number[_unpack(row["tokens"], "<u4")]
+        kept = {k: row[k] for k in ("block", "row", "doc_id", "learn", "size")}
+        out.append(kept | {"lead": number[row["lead"]].tolist(), "start": int(number[START]), "tokens": _pack(tokens, "<u4"), "ids": _pack(_steps(ids[up]), "<u8"), "counts": _pack(counts[up], "<u8")})
     return _table(out, _schema(_LEARNT))
 
 
@@ -429,7 +461,7 @@ def _score(model: Model):
         got = answers.sort_by("shard").to_pylist()
         for row in blocks.to_pylist():
             tokens = _unpack(row["tokens"], "<u4")
-            ids, counts = _unpack(row["ids"], "<u8"), _unpack(row["counts"], "<u8").astype(np.float64)
+            ids, counts = np.cumsum(_unpack(row["ids"], "<u8")), _unpack(row["counts"], "<u8").astype(np.float64)
             base = ((counts + 1) / (model.tokens + model.words + 1))[tokens]
             p = base
             for k in range(2, model.order + 1):
@@ -437,8 +469,8 @@ def _score(model: Model):
                 g = _grams(row, ids, k, model.shards, hot)
                 leaf, weight = np.empty(len(g.rows)), np.empty(len(g.rows))
                 mine = [a for a in got if a["count"] == k]
-                leaf[g.rows] = np.concatenate([_unpack(a["first"], "<f4") for a in mine] or [np.empty(0)])
-                weight[g.rows] = np.concatenate([_unpack(a["second"], "<f4") for a in mine] or [np.empty(0)])
+                leaf[g.rows] = np.concatenate([_unpack_coded(a["first"]) for a in mine] or [np.empty(0)])
+                weight[g.rows] = np.concatenate([_unpack_coded(a["second"]) for a in mine] or [np.empty(0)])
                 weight[g.hot >= 0] = hot.weights[g.hot[g.hot >= 0]]
                 p = leaf[g.of_token] + weight[g.of_token] * p
             of = np.repeat(np.arange(len(row["size"])), row["size"])
@@ -461,6 +493,11 @@ class Model:
     levels: dict[int, str] = field(default_factory=dict)
 
 
+def _sweep(docs: DataFrame) -> None:
+    """Collect the driver's garbage: shuffle files of plans that have run go with it, and there are several times the input of them."""
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _hot(rows: list, least: int) -> Hot:
     kept = sorted((_unsigned(r.key), r["count"]) for r in rows if r["count"] > least)
     return Hot(np.array([k for k, _ in kept], np.uint64), np.array([n for _, n in kept], np.int64), np.ones(len(kept)))
@@ -488,6 +525,7 @@ def scores(docs: DataFrame, learn: Column, order: int = ORDER, discount: float =
     mine = answers.where("kind = 'answer'").withColumn("count", F.lit(shards[0]).cast("bigint"))
     learnt = scratch.cut(blocks.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(_with_ids, _LEARNT), "learnt", compression="zstd")
     scratch.drop(f"blocks-{seed}", f"words-{seed}")
+    _sweep(docs)
     given = None
     for k in range(2, order + 1):
         hot = model.hot[k]
@@ -497,6 +535,7 @@ def scores(docs: DataFrame, learn: Column, order: int = ORDER, discount: float =
         followed = {_unsigned(r.key): r["sum(count)"] for r in parts.where("kind = 'successors'").groupBy("key").sum("count").collect()}
         hot.weights = np.array([discount * followed.get(int(h), 0) / n for h, n in zip(hot.keys, hot.counts, strict=True)])
         model.hot[k + 1] = _hot(parts.where("kind = 'hot'").collect() + [r for r in starts if r.n == k], hot_rows)
+        _sweep(docs)
         own = parts.where("kind = 'answer'").withColumn("count", F.lit(k).cast("bigint"))
         given = own if given is None else given.union(own)
     if given is None:
