@@ -43,12 +43,12 @@ from revisio.llm.eliasfano import Trie, codebook, rank
 from revisio.llm.tokens import give_back, runs, slices
 from revisio.plans.lineage import Scratch
 
-ORDER, DISCOUNT, BITS, SHARD_ROWS, HOT_ROWS = 3, 0.75, 8, 1_500_000, 400_000
-BLOCK_BYTES, BLOCK_DOCS = 3_500_000, 100_000
-START, END = 0, 1  # numbers of the two marks in a block; words follow
+ORDER, ORDER_MOST, DISCOUNT, BITS, SHARD_ROWS, HOT_ROWS = 3, 5, 0.75, 8, 1_500_000, 400_000
+BLOCK_BYTES, BLOCK_DOCS = 12_000_000, 300_000
+START, END = 0, 1  # places of the two marks before the words
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ZSTD = pa.Codec("zstd", compression_level=1)
-_BLOCKS = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, tokens binary, n_tokens bigint, n_words bigint, keys binary, checks binary"
+_BLOCKS = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, start bigint, tokens binary, n_tokens bigint, n_words bigint, keys binary, checks binary"
 _LEARNT = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, start bigint, tokens binary, ids binary, counts binary"
 _MESSAGES = "shard bigint, block bigint, n bigint, grams binary, counts binary, checks binary"
 _ANSWERS = "kind string, shard bigint, block bigint, n bigint, first binary, second binary, key bigint, count bigint"
@@ -140,28 +140,38 @@ def _keys(words: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Key and check of the two marks, which no word can be, and of the words."""
     raw = b"".join(xxhash.xxh3_128_digest(w, seed) for w in (b" ", b"\n", *words))
     both = np.frombuffer(raw, "<u8").reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+    return both[:, 0], both[:, 1].astype(np.uint32)
 
 
-def _block(number: int, pieces: list[tuple[Row, bytes, bool]], lead: list[bytes], seed: int) -> Row:
-    """pieces: a document, some of its text, and whether it ends there. lead: the words before the first piece, if its document began earlier."""
+def _renumbered(order: np.ndarray) -> np.ndarray:
+    """The new number of each old one, if they are put in this order."""
+    number = np.empty(len(order), np.uint32)
+    number[order] = np.arange(len(order), dtype=np.uint32)
+    return number
+
+
+def _block(block: int, pieces: list[tuple[Row, bytes, bool]], lead: list[bytes], seed: int) -> Row:
+    """Words are numbered in the order of their keys. pieces: a document, some of its text, and whether it ends there. lead: the words before the first piece, if its document began earlier."""
     raw, at, ends = [], 0, []
     for _, text, _ in [(None, b" ".join(lead), False), *pieces]:
         raw.append(text)
         at += len(text) + 1
         ends.append(at)
     begins, words, which = _cut_words(b"\n".join(raw))
+    keys, checks = _keys(words, seed)
+    order = np.argsort(keys)
+    number = _renumbered(order)
+    which = number[which + 2]
     upto = np.searchsorted(begins, ends)
     last = np.array([done for *_, done in pieces])
-    tokens = which[upto[0] :] + 2
+    tokens = which[upto[0] :]
     upto = upto[1:] - upto[0]
-    tokens = np.insert(tokens, upto[last], END)
+    tokens = np.insert(tokens, upto[last], number[END])
     size = np.diff(upto, prepend=0) + last
-    before = ([START] * ORDER + (which[: len(lead)] + 2).tolist())[-(ORDER - 1) :]
-    keys, checks = _keys(words, seed)
+    before = ([number[START]] * ORDER_MOST + which[: len(lead)].tolist())[-(ORDER_MOST - 1) :]
     return {
-        "block": number, "row": [d["row"] for d, *_ in pieces], "doc_id": [d["doc_id"] for d, *_ in pieces], "learn": [d["learn"] for d, *_ in pieces], "size": size.tolist(), "lead": before,
-        "tokens": _pack(tokens, "<u4"), "n_tokens": len(tokens), "n_words": len(keys), "keys": _pack(keys, "<u8"), "checks": _pack(checks, "<u8"),
+        "block": block, "row": [d["row"] for d, *_ in pieces], "doc_id": [d["doc_id"] for d, *_ in pieces], "learn": [d["learn"] for d, *_ in pieces], "size": size.tolist(), "lead": [int(x) for x in before], "start": int(number[START]),
+        "tokens": _pack(tokens, "<u4"), "n_tokens": len(tokens), "n_words": len(keys), "keys": _pack(_steps(keys[order]), "<u8"), "checks": _pack(checks[order], "<u4"),
     }
 
 
@@ -204,7 +214,7 @@ def _last_words(lead: list[bytes], pieces: list[tuple[dict, bytes, bool]]) -> li
     row = pieces[-1][0]["row"]
     own = [text for d, text, _ in pieces if d["row"] == row]
     before = lead if pieces[0][0]["row"] == row else []
-    return [*before, *(w for text in own for w in text.lower().split())][-(ORDER - 1) :]
+    return [*before, *(w for text in own for w in text.lower().split())][-(ORDER_MOST - 1) :]
 
 
 # ---- grams of a block
@@ -254,7 +264,7 @@ def _begun(row: dict, n: int) -> np.ndarray:
     """For each token, whether a document begins with it."""
     size = np.array(row["size"], np.int64)
     fresh = np.cumsum(size) - size
-    if row["lead"][-1] != row.get("start", START):  # the first document began in an earlier block
+    if row["lead"][-1] != row["start"]:  # the first document began in an earlier block
         fresh = fresh[1:]
     out = np.zeros(n + 1, np.bool_)
     out[fresh] = True
@@ -292,17 +302,16 @@ def _word_messages(shards: int):
     def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, checks, tokens = _unpack(row["keys"], "<u8"), _unpack(row["checks"], "<u8"), _unpack(row["tokens"], "<u4")
+                keys, checks, tokens = np.cumsum(_unpack(row["keys"], "<u8"), dtype=np.uint64), _unpack(row["checks"], "<u4"), _unpack(row["tokens"], "<u4")
                 learn = np.repeat(np.array([bool(x) for x in row["learn"]], np.bool_), row["size"])
                 counts = np.bincount(tokens[learn], minlength=len(keys))
-                counts[START] = (learn & _begun(row, len(tokens))).sum()
-                shard = (keys % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
+                counts[row["start"]] = (learn & _begun(row, len(tokens))).sum()
+                ends = np.searchsorted(keys, np.array([-(-(k << 64) // shards) for k in range(shards)] + [0], np.uint64))
+                ends[-1] = len(keys)
                 out = []
                 for k in np.flatnonzero(np.diff(ends)).tolist():
-                    some = order[ends[k] : ends[k + 1]]
-                    out.append({"shard": k, "block": row["block"], "n": len(some), "grams": _pack(keys[some], "<u8"), "counts": _pack(counts[some], "<u4"), "checks": _pack(checks[some], "<u8")})
+                    some = slice(ends[k], ends[k + 1])
+                    out.append({"shard": k, "block": row["block"], "n": ends[k + 1] - ends[k], "grams": _pack(_steps(keys[some]), "<u8"), "counts": _pack(counts[some], "<u4"), "checks": _pack(checks[some], "<u4")})
                 yield from _table(out, schema).to_batches()
 
     return messages
@@ -316,9 +325,11 @@ def _word_shard(shards: int, order: int, hot_rows: int, seed: int):
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         shard = rows[0]["shard"]
-        keys = [_unpack(r["grams"], "<u8") for r in rows]
-        words, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        checks = np.concatenate([_unpack(r["checks"], "<u8") for r in rows])
+        keys = [np.cumsum(_unpack(r["grams"], "<u8"), dtype=np.uint64) for r in rows]
+        every = np.concatenate(keys)
+        first, which = rank(every)
+        words = every[first]
+        checks = np.concatenate([_unpack(r["checks"], "<u4") for r in rows])
         counts = np.bincount(which, np.concatenate([_unpack(r["counts"], "<u4") for r in rows])).astype(np.int64)
         ids = np.empty(len(words), np.uint64)
         ids[np.lexsort((words, -counts))] = np.arange(len(words), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)  # small ones for frequent words
@@ -436,20 +447,16 @@ def _gram_shard(order: int, hot: Hot, discount: float, bits: int, hot_rows: int)
 
 
 def _with_ids(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-    """A block with the id and count of each of its words. Each shard's answers stand in the order of its keys' rows in the block."""
+    """A block with the id and count of each of its words, which are then numbered as their ids ascend, so that grams come in the order of ids. Shards hold ranges of keys, in which a block's words stand."""
     out, got = [], answers.sort_by("shard").to_pylist()
     for row in blocks.to_pylist():
-        shards = int(answers.column("count")[0].as_py())
-        order = np.argsort((_unpack(row["keys"], "<u8") % np.uint64(shards)).astype(np.int64), kind="stable")
-        ids, counts = np.empty(len(order), np.uint64), np.empty(len(order), np.uint64)
-        ids[order] = np.concatenate([_unpack(a["first"], "<u8") for a in got])
-        counts[order] = np.concatenate([_unpack(a["second"], "<u8") for a in got])
-        up = np.argsort(ids)  # a block's numbers ascend as ids do, so that its grams come in the order of ids
-        number = np.empty(len(up), np.uint32)
-        number[up] = np.arange(len(up))
-        tokens = number[_unpack(row["tokens"], "<u4")]
+        ids = np.concatenate([_unpack(a["first"], "<u8") for a in got])
+        counts = np.concatenate([_unpack(a["second"], "<u8") for a in got])
+        order = np.argsort(ids)
+        number = _renumbered(order)
         kept = {k: row[k] for k in ("block", "row", "doc_id", "learn", "size")}
-        out.append(kept | {"lead": number[row["lead"]].tolist(), "start": int(number[START]), "tokens": _pack(tokens, "<u4"), "ids": _pack(_steps(ids[up]), "<u8"), "counts": _pack(counts[up], "<u8")})
+        out.append(kept | {"lead": number[row["lead"]].tolist(), "start": int(number[row["start"]]), "tokens": _pack(number[_unpack(row["tokens"], "<u4")], "<u4"), "ids": _pack(_steps(ids[order]), "<u8"), "counts": _pack(counts[order], "<u8")})
+        give_back()
     return _table(out, _schema(_LEARNT))
 
 
@@ -505,8 +512,8 @@ def _hot(rows: list, least: int) -> Hot:
 
 def scores(docs: DataFrame, learn: Column, order: int = ORDER, discount: float = DISCOUNT, bits: int = BITS, shard_rows: int = SHARD_ROWS, hot_rows: int = HOT_ROWS, block_bytes: int = BLOCK_BYTES, seed: int = 0) -> tuple[DataFrame, Model]:
     """Per document (row): doc_id, n_tokens, n_known, base_score and score, by a model learnt from the rows where `learn` holds; and the model."""
-    if not 0 < discount < 1 or order < 2:
-        raise ValueError("a discount lies between 0 and 1, an order is 2 at least")
+    if not 0 < discount < 1 or not 2 <= order <= ORDER_MOST:
+        raise ValueError(f"a discount lies between 0 and 1, an order between 2 and {ORDER_MOST}")
     scratch = Scratch(docs.sparkSession, "ngrams")
     texts = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     while True:
@@ -522,8 +529,9 @@ def scores(docs: DataFrame, learn: Column, order: int = ORDER, discount: float =
         seed += 1
     model = Model(order, shards[1], told.get("tokens", 0), told.get("words", 0), {2: _hot(answers.where("kind = 'hot'").collect(), hot_rows)})
     starts = answers.where("kind = 'start'").collect()
-    mine = answers.where("kind = 'answer'").withColumn("count", F.lit(shards[0]).cast("bigint"))
-    learnt = scratch.cut(blocks.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(_with_ids, _LEARNT), "learnt", compression="zstd")
+    mine = answers.where("kind = 'answer'")
+    _sweep(docs)
+    learnt = scratch.cut(blocks.drop("n_tokens", "n_words", "keys", "checks").groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(_with_ids, _LEARNT), "learnt", compression="zstd")
     scratch.drop(f"blocks-{seed}", f"words-{seed}")
     _sweep(docs)
     given = None
