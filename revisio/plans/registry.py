@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revisio.functions import geo
-from revisio.operators import aliases, merge, revisions, views, windows
+from revisio.operators import aliases, merge, revisions, selection, views, windows
+from revisio.plans.lineage import Scratch
 from revisio.schema import EARTH_RADIUS_KM, RADIUS_KM, REVISION_KEY, SITES
 from revisio.sources import adapter
 
@@ -107,31 +108,21 @@ def _cases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "case_id string, site_key string, s string, e string").select("case_id", "site_key", F.to_timestamp("s").alias("start_utc"), F.to_timestamp("e").alias("end_utc"))
 
 
-def _joined_health(spark: SparkSession, d: str) -> DataFrame:
-    """Batch health by its four left joins [C4]."""
-    counts = _table(spark, d, "lineitem").groupBy(F.concat(F.lit("o"), F.col("l_orderkey")).alias("attempt_id")).agg(F.count("*").alias("raw_rows"), F.count_if(F.col("l_linenumber") == 7).alias("staging_reject_rows"))
-    processes = adapter.processes(spark, d)
-    latest = views.latest_process(processes, "finished_second").join(adapter.attempts(spark, d).select("attempt_id", "attempt_no"), "attempt_id")
-    facts = latest.where("status = 'complete'").select("attempt_id", F.lit("complete").alias("process_status"), "processed_rows", "rejected_rows", (F.col("finished_second") * 1000 + F.col("attempt_no") % 997).cast("double").alias("fetch_to_curated_seconds"))
-    return views.batch_health(adapter.attempts(spark, d), counts.select("attempt_id", "raw_rows"), counts.select("attempt_id", F.col("raw_rows").alias("staging_rows"), "staging_reject_rows"), processes, facts, F.col("gap_count"), "finished_second")
+def _attempts(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
+    """Attempts as a stored table, so that what joins them several times does not derive them again."""
+    return scratch.cut(adapter.attempts(spark, d), "attempts")
 
 
 def _health(spark: SparkSession, d: str) -> DataFrame:
-    """Batch health in one pass: the adapter's attempts hold their counts, and their processes follow from the row."""
-    no = F.col("attempt_no")
-    has, two = no % 23 != 0, no % 2 == 1
-    second = F.when(no % 7 == 0, 10).otherwise(F.when(two, 20).otherwise(10))  # of two processes the last; their ids break a tie
-    status = F.when(two & (no % 29 == 0), "failed").otherwise("complete")
-    done = has & (status == "complete")
-    processed = F.col("loaded_rows") - F.when(no % 31 == 0, 1).otherwise(0)
-    wide = adapter.attempts(spark, d).select(
-        "*", F.col("loaded_rows").alias("raw_rows"), F.col("loaded_rows").alias("staging_rows"), F.col("staged_rejects").alias("staging_reject_rows"), F.col("gap_count").alias("receipt_gap_count"),
-        F.when(has, F.concat("attempt_id", F.lit("-p"), F.when(two, 2).otherwise(1))).alias("process_attempt_id"), F.when(has, status).alias("process_status"),
-        F.when(has, F.col("loaded_rows")).alias("p_loaded_rows"), F.when(has, processed).alias("processed_rows"), F.when(has, F.col("staged_rejects")).alias("rejected_rows"),
-        F.when(done, F.col("attempt_id")).alias("f_attempt_id"), F.when(done, "complete").alias("fact_process_status"), F.when(done, processed).alias("f_processed_rows"), F.when(done, F.col("staged_rejects")).alias("f_rejected_rows"),
-        F.when(done, (second * 1000 + no % 997).cast("double")).alias("fetch_to_curated_seconds"),
-    )
-    return views.judged(wide)
+    """Batch health over stored attempts, process rows and batch facts, by its four left joins [C4, K15]."""
+    scratch = Scratch(spark, "health")
+    attempts = _attempts(spark, d, scratch)
+    processes = scratch.cut(adapter.processes(spark, d, attempts), "processes")
+    done = views.latest_process(processes, "finished_second").where("status = 'complete'").join(attempts.select("attempt_id", "attempt_no"), "attempt_id")
+    facts = done.select("attempt_id", F.col("status").alias("process_status"), "processed_rows", "rejected_rows", (F.col("finished_second") * 1000 + F.col("attempt_no") % 997).cast("double").alias("fetch_to_curated_seconds"))
+    lines = _table(spark, d, "lineitem").groupBy(F.concat(F.lit("o"), F.col("l_orderkey")).alias("attempt_id"))
+    counts = scratch.cut(lines.agg(F.count("*").alias("rows"), F.count_if(F.col("l_linenumber") == 7).alias("staging_reject_rows")), "counts")
+    return views.batch_health(attempts, counts.select("attempt_id", F.col("rows").alias("raw_rows")), counts.select("attempt_id", F.col("rows").alias("staging_rows"), "staging_reject_rows"), processes, facts, F.col("gap_count"), "finished_second")
 
 
 def _near(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +201,7 @@ def equi_range_join(spark, d):
 
 @query("SELECT a.attempt_id, coalesce(r.n, 0) AS raw_rows, p.process_attempt_id, p.status AS process_status FROM att a LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) r ON r.l_orderkey = a.attempt_no LEFT JOIN latest p ON p.attempt_id = a.attempt_id", "att", "latest")
 def left_join_chain(spark, d):
-    return _joined_health(spark, d).select("attempt_id", "raw_rows", "process_attempt_id", "process_status")
+    return _health(spark, d).select("attempt_id", "raw_rows", "process_attempt_id", "process_status")
 
 
 @query(f"SELECT c.case_id, coalesce(a.n, 0) AS event_count FROM cases c LEFT JOIN (SELECT case_id, count(*) AS n FROM ({_MATCHED} AND e.magnitude > 5) GROUP BY 1) a USING (case_id)", "cases", "bridge", "cur")
@@ -256,8 +247,17 @@ def count_distinct(spark, d):
 def percentile_latency(spark, d):
     s = "fetch_to_curated_seconds"
     some = _health(spark, d).where((F.col("batch_kind") == "origin") & F.col(s).isNotNull())
-    out = some.agg(F.count("*").alias("sample_attempts"), F.min(s).alias("min_seconds"), F.round(F.percentile(s, 0.5), 1).alias("p50_seconds"), F.round(F.percentile(s, 0.95), 1).alias("p95_seconds"), F.max(s).alias("max_seconds"))
-    return out.withColumn("target_met", (F.col("sample_attempts") >= 30) & (F.col("p95_seconds") <= 86_400))
+    stored = Scratch(spark, "latency").cut(some.select(s), "seconds")  # read once for each pass
+    out = selection.percentiles(stored, s, [0.5, 0.95], names=["p50", "p95"])
+    met = (F.col("sample_attempts") >= 30) & (F.col("p95_seconds") <= 86_400)
+    return out.select(F.col("n").alias("sample_attempts"), F.col("least").alias("min_seconds"), F.round("p50", 1).alias("p50_seconds"), F.round("p95", 1).alias("p95_seconds"), F.col("most").alias("max_seconds")).withColumn("target_met", met)
+
+
+@query("SELECT l_returnflag, count(l_extendedprice) AS n, min(l_extendedprice) AS least, max(l_extendedprice) AS most, round(quantile_cont(l_extendedprice, 0.05), 6) AS p5, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.999), 6) AS p99_9 FROM lineitem GROUP BY 1")
+def price_percentiles(spark, d):
+    """Exact percentiles of groups by counting passes; no task holds a group's values [D6]."""
+    out = selection.percentiles(_table(spark, d, "lineitem"), "l_extendedprice", [0.05, 0.5, 0.999], ["l_returnflag"])
+    return out.select("l_returnflag", "n", "least", "most", *(F.round(c, 6).alias(c) for c in ("p5", "p50", "p99_9")))
 
 
 @query(f"SELECT {KEY}, count(*) AS duplicate_rows FROM obs GROUP BY {KEY} HAVING count(*) > 1", "obs")
@@ -486,7 +486,7 @@ def site_window_aggregates(spark, d):
 
 @query("SELECT attempt_id, CASE WHEN load_status IS NULL AND raw_rows = 0 THEN 'ready' WHEN load_status = 'complete' AND loaded_rows = raw_rows AND raw_rows = expected_rows THEN 'loaded' ELSE 'investigate' END AS load_state FROM (SELECT a.attempt_id, a.raw_rows_written AS expected_rows, CASE WHEN a.attempt_no % 7 <> 0 THEN a.load_status END AS load_status, CASE WHEN a.attempt_no % 7 <> 0 THEN a.loaded_rows END AS loaded_rows, CASE WHEN a.attempt_no % 14 = 0 THEN 0 ELSE a.loaded_rows END AS raw_rows FROM att a)", "att")
 def load_state(spark, d):
-    a = adapter.attempts(spark, d)
+    a = _attempts(spark, d, Scratch(spark, "load-state"))
     return views.load_state(a.select("attempt_id", F.col("raw_rows_written").alias("expected_rows")), a.where("attempt_no % 7 <> 0"), a.where("attempt_no % 14 <> 0").select("attempt_id", F.col("loaded_rows").alias("raw_rows")))
 
 

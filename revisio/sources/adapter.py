@@ -68,5 +68,6 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text(ATTEMPTS, "spark", orders="{orders}", lineitem="{lineitem}"), orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem"))
 
 
-def processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(text(PROCESSES, "spark", attempts="{attempts}"), attempts=attempts(spark, sf_dir))
+def processes(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """of: the attempts, if they are stored already."""
+    return spark.sql(text(PROCESSES, "spark", attempts="{attempts}"), attempts=attempts(spark, sf_dir) if of is None else of)
