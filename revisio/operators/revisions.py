@@ -48,37 +48,61 @@ def _count(flag: Column) -> Column:
     return F.count_if(F.coalesce(flag, F.lit(False)))
 
 
+PROBLEMS = ("no canonical id", "one id in two groups", "repeated fact key", "bridge without a fact", "repeated bridge key", "bridges collide", "winner lacks a site")
+
+
 def rekey_problems(facts: DataFrame, bridges: DataFrame, canonical: DataFrame, sites: Sequence[str] = tuple(s[0] for s in SITES)) -> DataFrame:
     """(problem, n) of what stops a re-keying, without those that do not occur [K7].
 
     facts without a new id; old ids that fall into two groups; repeated fact keys; bridge rows
     without a fact; repeated bridge keys; bridge rows that would meet under one new key; facts
-    that win a collision but lack a site. Grouped counts and joins on the revision key alone.
+    that win a collision but lack a site.
+
+    canonical has a row for each source id. Each input is read once. Ranked facts and bridge rows meet in one grouping by revision key and
+    site, and once more by revision key, whose rows then carry flags. What still needs another
+    key (old id, new key and site) leaves as tagged groups of one more exchange, in which the
+    flags travel along, summed before they do.
     """
     key, new_key = list(REVISION_KEY), ["new_id", "source_updated_at", "payload_hash"]
     new = canonical.select("source_event_id", F.col("canonical_id").alias("new_id"))
-    mapped = facts.select("source_event_id", *key, "fetched_at", "stage_file_name", "stage_file_row_number").join(new, "source_event_id", "left")
-    groups = mapped.groupBy("canonical_event_id").agg(F.min("new_id").alias("low"), F.max("new_id").alias("high"))
-    order = Window.partitionBy(*new_key).orderBy(*(F.col(c).desc() for c in _RANK))
-    met = mapped.where("new_id IS NOT NULL").withColumns({"rank": F.row_number().over(order), "met": F.count("*").over(Window.partitionBy(*new_key))})
-    ranked = met.groupBy(*key).agg(F.min("rank").alias("rank"), F.max("met").alias("met"), F.min("new_id").alias("new_id"))
-    placed = bridges.select(*key, "site_key").join(ranked, key, "left")
-    per_key = placed.groupBy(*key, "site_key").agg(F.count("*").alias("n"), F.count_if(F.col("rank").isNull()).alias("orphans"))
-    per_new = placed.where("rank = 1").select(*new_key, "site_key", "canonical_event_id").distinct().groupBy(*new_key, "site_key").agg(F.count("*").alias("n"))
-    winners = ranked.where("rank = 1 AND met > 1").select(*key).join(bridges.where(F.col("site_key").isin(*sites)).groupBy(*key).agg(F.count_distinct("site_key").alias("sites")), key, "left")
-    counts = [
-        ("no canonical id", mapped.agg(_count(F.col("new_id").isNull()))),
-        ("one id in two groups", groups.agg(_count(F.col("low") != F.col("high")))),
-        ("repeated fact key", facts.groupBy(*key).agg(F.count("*").alias("n")).agg(_count(F.col("n") > 1))),
-        ("bridge without a fact", per_key.agg(F.coalesce(F.sum("orphans"), F.lit(0)))),
-        ("repeated bridge key", per_key.agg(_count(F.col("n") > 1))),
-        ("bridges collide", per_new.agg(_count(F.col("n") > 1))),
-        ("winner lacks a site", winners.agg(_count(F.coalesce("sites", F.lit(0)) < len(sites)))),
-    ]
-    found = None
-    for problem, frame in counts:
-        row = frame.toDF("n").select(F.lit(problem).alias("problem"), F.col("n").cast("long").alias("n"))
-        found = row if found is None else found.union(row)
+    mapped = facts.select("source_event_id", *key, *_RANK[:-1]).join(new, "source_event_id", "left")
+    met = Window.partitionBy(*new_key)
+    order = met.orderBy(*(F.col(c).desc() for c in _RANK))
+    has = F.col("new_id").isNotNull()
+    ranked = mapped.select(*key, "source_event_id", "new_id", F.when(has, F.row_number().over(order)).alias("rank"), F.when(has, F.count("*").over(met)).alias("met"))
+    told = ranked.select(*key, F.lit(None).cast("string").alias("site_key"), "new_id", "rank", "met", F.lit(True).alias("fact"))
+    both = told.unionByName(bridges.select(*key, "site_key"), allowMissingColumns=True)
+    by_site = both.groupBy(*key, "fact", "site_key").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("fact") & F.col("new_id").isNull()).alias("unmapped"), F.min("new_id").alias("low"), F.max("new_id").alias("high"), F.min("rank").alias("rank"), F.max("met").alias("met")
+    )
+    is_fact = F.coalesce("fact", F.lit(False))
+    by_key = by_site.groupBy(*key).agg(
+        F.sum(F.when(is_fact, F.col("rows")).otherwise(0)).alias("facts"), F.sum("unmapped").alias("unmapped"), F.min("low").alias("new_id"), F.max("high").alias("high"), F.min("rank").alias("rank"), F.max("met").alias("met"),
+        F.sum(F.when(is_fact, 0).otherwise(F.col("rows"))).alias("bridges"), F.count_if(~is_fact & (F.col("rows") > 1)).alias("repeated"), F.collect_list(F.when(~is_fact, F.col("site_key"))).alias("held"),
+    )
+    wins = F.coalesce(F.col("rank") == 1, F.lit(False))
+    lacks = F.size(F.array_intersect("held", F.lit(list(sites)).cast("array<string>"))) < len(sites)
+    orphan = F.col("rank").isNull()
+    flags = {
+        PROBLEMS[0]: F.col("unmapped"), PROBLEMS[2]: (F.col("facts") > 1).cast("long"), PROBLEMS[3]: F.when(orphan, F.col("bridges")).otherwise(0),
+        PROBLEMS[4]: F.col("repeated"), PROBLEMS[6]: (wins & (F.col("met") > 1) & lacks).cast("long"),
+    }
+    sums = [F.sum(name).alias(name) for name in flags]
+
+    def tagged(tag: str, group: Sequence[Column], low: Column, high: Column, own: dict[str, Column]) -> Column:
+        """One group of the last exchange: low and high of what must be one, and the flags that travel along."""
+        none = F.lit(0).cast("long")
+        return F.struct(F.lit(tag).alias("tag"), F.struct(*group).alias("group"), low.alias("low"), high.alias("high"), *(own.get(name, none).cast("long").alias(name) for name in flags))
+
+    nothing = [F.lit(None).cast("timestamp").alias("at"), *(F.lit(None).cast("string").alias(c) for c in ("hash", "site"))]
+    old = tagged("old", [F.col("canonical_event_id").alias("id"), *nothing], F.col("new_id"), F.col("high"), flags)
+    at = [F.col("new_id").alias("id"), F.col("source_updated_at").alias("at"), F.col("payload_hash").alias("hash")]
+    held = F.when(wins, F.col("held")).otherwise(F.array().cast("array<string>"))
+    won = F.transform(held, lambda site: tagged("new", [*at, site.alias("site")], F.col("canonical_event_id"), F.col("canonical_event_id"), {}))
+    grouped = by_key.select(F.inline(F.concat(F.array(old), won))).groupBy("tag", "group").agg(F.min("low").alias("low"), F.max("high").alias("high"), *sums)
+    apart = F.col("low") != F.col("high")
+    row = grouped.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags), _count((F.col("tag") == "old") & apart).alias(PROBLEMS[1]), _count((F.col("tag") == "new") & apart).alias(PROBLEMS[5]))
+    found = row.select(F.inline(F.array(*(F.struct(F.lit(name).alias("problem"), F.col(name).cast("long").alias("n")) for name in PROBLEMS))))
     return found.where("n > 0")
 
 

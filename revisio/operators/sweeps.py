@@ -39,25 +39,33 @@ def coverage(audit: DataFrame, requests: DataFrame, counts: DataFrame) -> DataFr
 
     audit: attempt_id, window_id, window_status, window_starttime, window_endtime, count_before,
     returned_rows, count_after. requests: attempt_id, low, cutoff. counts: attempt_id, window_id,
-    window_rows, of the windows that have rows. One pass over the audit by attempt: settled
-    windows must join end to start from low to cutoff.
+    window_rows, of the windows that have rows. Settled windows must join end to start from low to
+    cutoff. Each input is read once: their rows are dealt by attempt together, and every window
+    and the grouping rest on that one exchange.
     """
-    order = Window.partitionBy("attempt_id").orderBy("window_starttime", "window_endtime", "window_id")
-    told = audit.join(requests, "attempt_id").join(counts, ["attempt_id", "window_id"], "left").withColumn("leaf", F.col("window_status") == "reconciled")
-    leaves = told.where("leaf").withColumn("before", F.coalesce(F.lag("window_endtime").over(order), F.col("low")))
-    n, equal = F.col("returned_rows"), F.col("count_before").eqNullSafe(F.col("returned_rows")) & F.col("returned_rows").eqNullSafe(F.col("count_after"))
-    settled = leaves.groupBy("attempt_id").agg(
-        F.count("*").alias("leaves"),
-        F.count_if((F.col("window_starttime") != F.col("before")) | (F.col("window_endtime") <= F.col("window_starttime"))).alias("breaks"),
-        F.max("window_endtime").alias("upto"),
-        F.count_if(~equal | n.isNull() | (n < 0)).alias("unequal_counts"),
-        (F.count("*") - F.count_distinct("window_id")).alias("repeated_windows"),
-        F.count_if(F.coalesce("window_rows", F.lit(0)) != F.coalesce(n, F.lit(0))).alias("differing_rows"),
-    )
-    open_ = told.groupBy("attempt_id").agg(F.count_if(~F.coalesce(F.col("window_status").isin("reconciled", "split"), F.lit(False))).alias("unsettled"))
-    stray = counts.join(leaves.select("attempt_id", "window_id"), ["attempt_id", "window_id"], "left_anti").groupBy("attempt_id").agg(F.count("*").alias("stray_windows"))
-    out = requests.join(settled, "attempt_id", "left").join(open_, "attempt_id", "left").join(stray, "attempt_id", "left")
-    out = out.fillna(0, ["leaves", "breaks", "unequal_counts", "repeated_windows", "differing_rows", "unsettled", "stray_windows"])
+    told = lambda kind, rows: rows.withColumn("kind", F.lit(kind))
+    every = told("audit", audit).unionByName(told("request", requests), allowMissingColumns=True).unionByName(told("count", counts), allowMissingColumns=True).repartition("attempt_id")
+    kind, n, named = F.col("kind"), F.col("returned_rows"), F.col("window_id").isNotNull()
+    leaf = F.coalesce((kind == "audit") & (F.col("window_status") == "reconciled"), F.lit(False))
+    attempt, window = Window.partitionBy("attempt_id"), Window.partitionBy("attempt_id", "window_id")
+    order = Window.partitionBy("attempt_id", "leaf").orderBy("window_starttime", "window_endtime", "window_id")
+    marked = every.withColumn("leaf", leaf).withColumns({
+        "low": F.max("low").over(attempt), "cutoff": F.max("cutoff").over(attempt), "asked": F.max(kind == "request").over(attempt),
+        "rows": F.when(named, F.max("window_rows").over(window)), "has_leaf": F.coalesce(F.when(named, F.max("leaf").over(window)), F.lit(False)), "before": F.lag("window_endtime").over(order),
+    }).where("asked")
+    settled = F.col("leaf")
+    begin = F.coalesce("before", "low")
+    equal = F.col("count_before").eqNullSafe(n) & n.eqNullSafe(F.col("count_after"))
+    of_leaves = lambda wrong: F.count_if(settled & F.coalesce(wrong, F.lit(False)))
+    out = marked.groupBy("attempt_id").agg(
+        F.count_if(settled).alias("leaves"), F.max(F.when(settled, F.col("window_endtime"))).alias("upto"), F.max("cutoff").alias("cutoff"),
+        of_leaves((F.col("window_starttime") != begin) | (F.col("window_endtime") <= F.col("window_starttime"))).alias("breaks"),
+        of_leaves(~equal | n.isNull() | (n < 0)).alias("unequal_counts"),
+        (F.count(F.when(settled, F.lit(1))) - F.count_distinct(F.when(settled, F.col("window_id")))).alias("repeated_windows"),
+        of_leaves(F.coalesce("rows", F.lit(0)) != F.coalesce(n, F.lit(0))).alias("differing_rows"),
+        F.count_if((kind == "audit") & ~F.coalesce(F.col("window_status").isin("reconciled", "split"), F.lit(False))).alias("unsettled"),
+        F.count_if((kind == "count") & ~F.col("has_leaf")).alias("stray_windows"),
+    )
     state = (
         F.when((F.col("unsettled") > 0) | (F.col("leaves") == 0), "unsettled windows").when((F.col("breaks") > 0) | ~F.col("upto").eqNullSafe(F.col("cutoff")), "range not covered")
         .when((F.col("unequal_counts") > 0) | (F.col("repeated_windows") > 0), "counts disagree").when((F.col("differing_rows") > 0) | (F.col("stray_windows") > 0), "rows differ").otherwise("complete")

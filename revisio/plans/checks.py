@@ -48,23 +48,29 @@ def compile_only(spark: SparkSession, statements: Mapping[str, str], args: Mappi
     return failed
 
 
-def verdict(health: DataFrame, window_anomalies: DataFrame, duplicates: Mapping[str, DataFrame], rejects: DataFrame) -> DataFrame:
+def verdict(health: DataFrame, window_anomalies: DataFrame, stored: Mapping[str, tuple[DataFrame, Sequence[str]]], rejects: DataFrame) -> DataFrame:
     """One row: what the run left open, and `pass` if that is nothing [K26].
 
     Passes only if every attempt is RECONCILED, no window is anomalous, no key repeats, and the
-    rejects of the health view are as many as the rejects view has. duplicates: grouped keys
-    that repeat, by name.
+    rejects of the health view are as many as the rejects view has. stored: tables and their
+    keys, by name. All checks are one grouping: each input is read once and leaves a row for each
+    check and task, or for each key where keys must not repeat.
     """
-    h = health.agg(
-        F.count_if(~F.col("health_status").isin("RECONCILED", "PENDING_PROCESS")).alias("batch_anomalies"), F.count_if(F.col("health_status") != "RECONCILED").alias("other"),
-        F.count("*").alias("attempts"), F.coalesce(F.sum("rejected_rows"), F.lit(0)).cast("long").alias("health_rejects"),
-    )
-    parts = [h, window_anomalies.agg(F.count("*").alias("window_anomalies")), rejects.agg(F.count("*").alias("view_rejects"))]
-    parts += [frame.agg(F.count("*").alias(f"duplicate_{name}")) for name, frame in duplicates.items()]
-    row = parts[0]
-    for part in parts[1:]:
-        row = row.crossJoin(part)  # single rows
+    names = ["batch_anomalies", "other", "attempts", "health_rejects", "window_anomalies", "view_rejects"]
+
+    def lines(rows: DataFrame, check: str, keys: Sequence[str] = (), **counts: Column) -> DataFrame:
+        key = F.array(*(F.col(k).cast("string") for k in keys)).cast("array<string>")
+        return rows.select(F.lit(check).alias("check"), key.alias("key"), *(counts.get(name, F.lit(0)).cast("long").alias(name) for name in names))
+
+    status = F.col("health_status")
+    every = lines(health, "health", batch_anomalies=~status.isin("RECONCILED", "PENDING_PROCESS"), other=status != "RECONCILED", attempts=F.lit(1), health_rejects=F.coalesce("rejected_rows", F.lit(0)))
+    every = every.union(lines(window_anomalies, "windows", window_anomalies=F.lit(1))).union(lines(rejects, "rejects", view_rejects=F.lit(1)))
+    for name, (rows, keys) in stored.items():
+        every = every.union(lines(rows, name, keys))
+    grouped = every.groupBy("check", "key").agg(F.count("*").alias("rows"), *(F.sum(name).alias(name) for name in names))
+    repeated = [F.count_if((F.col("check") == name) & (F.col("rows") > 1)).alias(f"duplicate_{name}") for name in stored]
+    row = grouped.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names), *repeated)
     clean: Column = (F.col("attempts") > 0) & (F.col("other") == 0) & (F.col("window_anomalies") == 0) & (F.col("health_rejects") == F.col("view_rejects"))
-    for name in duplicates:
+    for name in stored:
         clean = clean & (F.col(f"duplicate_{name}") == 0)
     return row.withColumn("verdict", F.when(clean, "pass").otherwise("review")).drop("other", "attempts")

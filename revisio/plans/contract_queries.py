@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from revisio.functions import geo, project
 from revisio.operators import briefs, merge, revisions, sweeps, views, windows
 from revisio.plans import checks, inventory, migrate
-from revisio.plans.registry import _MONTHS, CUTOFF, KEY, QUERIES, _bridge, _current, _facts, _health, _obs, _table, query
+from revisio.plans.registry import _MONTHS, CUTOFF, KEY, QUERIES, _bridge, _current, _facts, _health, _lines, _obs, _table, query
+from revisio.plans.lineage import Scratch
 from revisio.schema import REVISION_KEY, SITES
 from revisio.sources import adapter, landing
 
@@ -214,9 +215,10 @@ def rekey_stops(spark, d):
     """Facts and bridges with planted faults: each kind is counted before anything moves [K7]."""
     n = F.substring("canonical_event_id", 2, 20).cast("long")
     facts = _facts(spark, d).withColumns({"source_event_id": F.col("canonical_event_id"), "payload_hash": F.col("event_type")})
-    keys = facts.select(*REVISION_KEY)
-    bridges = keys.crossJoin(F.broadcast(geo.sites(spark).select("site_key"))).where(~((n % 4 == 0) & (F.col("site_key") == "seattle")))
-    bridges = bridges.union(keys.where(n % 9 == 0).select("*", F.lit("anchorage"))).union(keys.where(n % 25 == 0).select(F.concat(F.lit("x"), "canonical_event_id"), "source_updated_at", "payload_hash", F.lit("seattle")))
+    own = F.transform(F.array(*(F.lit(k) for k, *_ in SITES)), lambda site: F.struct(F.col("canonical_event_id").alias("id"), site.alias("site")))
+    placed = F.filter(own, lambda x: ~((n % 4 == 0) & (x["site"] == "seattle")))
+    planted = F.array(F.when(n % 9 == 0, F.struct(F.col("canonical_event_id").alias("id"), F.lit("anchorage").alias("site"))), F.when(n % 25 == 0, F.struct(F.concat(F.lit("x"), "canonical_event_id").alias("id"), F.lit("seattle").alias("site"))))
+    bridges = facts.select("source_updated_at", "payload_hash", F.inline(F.array_compact(F.concat(placed, planted)))).select(F.col("id").alias("canonical_event_id"), "source_updated_at", "payload_hash", F.col("site").alias("site_key"))
     mapping = facts.select("source_event_id").distinct().withColumn("no", F.substring("source_event_id", 2, 20).cast("long")).where("no % 50 <> 7").select("source_event_id", F.expr("'g' || (no div 3)").alias("canonical_id"))
     return revisions.rekey_problems(facts, bridges, mapping)
 
@@ -246,13 +248,14 @@ def batch_anomalies(spark, d):
 _WINDOW_AUDIT = "SELECT 'o' || l_orderkey AS attempt_id, 'w' || l_linenumber AS window_id, CASE WHEN l_linenumber % 5 = 0 THEN 'unresolved' ELSE 'reconciled' END AS window_status, l_linenumber::BIGINT AS count_before, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_linenumber::BIGINT END AS returned_rows, CASE WHEN l_linenumber = 2 AND l_orderkey % 7 = 0 THEN 3 ELSE l_linenumber::BIGINT END AS count_after FROM lineitem"
 
 
-def _audits(spark, d):
+def _audits(spark, d, lines=None):
     n = F.col("l_linenumber")
     item = F.struct(
         F.concat(F.lit("w"), n).alias("window_id"), F.when(n % 5 == 0, "unresolved").otherwise("reconciled").alias("status"), n.alias("count_before"), F.when(n % 3 != 0, n).alias("returned_rows"),
         F.when((n == 2) & (F.col("l_orderkey") % 7 == 0), 3).otherwise(n).alias("count_after"),
     )
-    receipts = _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.parse_json(F.to_json(F.collect_list(item))).alias("window_audit"))
+    rows = _table(spark, d, "lineitem") if lines is None else lines
+    receipts = rows.groupBy("l_orderkey").agg(F.parse_json(F.to_json(F.collect_list(item))).alias("window_audit"))
     return views.window_audit(receipts.select(F.concat(F.lit("o"), "l_orderkey").alias("attempt_id"), F.lit("origin").alias("batch_kind"), "window_audit"))
 
 
@@ -273,9 +276,12 @@ def day_sample(spark, d):
     (SELECT count(*) FROM (SELECT 1 FROM facts GROUP BY {KEY} HAVING count(*) > 1)) AS duplicate_facts, (SELECT count(*) FROM (SELECT 1 FROM bridge GROUP BY {KEY}, site_key HAVING count(*) > 1)) AS duplicate_bridge)""", "health", "facts", "bridge")
 def run_verdict(spark, d):
     """Rejects of the health view against those of the rejects view, anomalies and repeated keys [K26]."""
-    repeated = lambda rows, *keys: rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    duplicates = {"facts": repeated(_facts(spark, d), *REVISION_KEY), "bridge": repeated(_bridge(spark, d), *REVISION_KEY, "site_key")}
-    return checks.verdict(_health(spark, d), views.window_anomalies(_audits(spark, d)), duplicates, views.rejects(_obs(spark, d).withColumns({"source_event_id": F.col("canonical_event_id"), "projected_at": F.col("fetched_at")})))
+    scratch = Scratch(spark, "verdict")
+    lines = _lines(spark, d, scratch)
+    staged = scratch.cut(_obs(spark, d).drop("props").withColumns({"source_event_id": F.col("canonical_event_id"), "projected_at": F.col("fetched_at")}), "staged")
+    facts = revisions.dedup(staged.where("reject_reason IS NULL"))
+    stored = {"facts": (facts, REVISION_KEY), "bridge": (geo.bridge(facts), (*REVISION_KEY, "site_key"))}
+    return checks.verdict(_health(spark, d, lines), views.window_anomalies(_audits(spark, d, lines)), stored, views.rejects(staged))
 
 
 # ---- briefs [J6, J8]

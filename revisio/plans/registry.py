@@ -108,20 +108,26 @@ def _cases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "case_id string, site_key string, s string, e string").select("case_id", "site_key", F.to_timestamp("s").alias("start_utc"), F.to_timestamp("e").alias("end_utc"))
 
 
-def _attempts(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
+def _attempts(spark: SparkSession, d: str, scratch: Scratch, lines: DataFrame | None = None) -> DataFrame:
     """Attempts as a stored table, so that what joins them several times does not derive them again."""
-    return scratch.cut(adapter.attempts(spark, d), "attempts")
+    return scratch.cut(adapter.attempts(spark, d, lines), "attempts")
 
 
-def _health(spark: SparkSession, d: str) -> DataFrame:
+def _lines(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
+    """Two columns of lineitem, stored for several readers."""
+    return scratch.cut(_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "lines")
+
+
+def _health(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
     """Batch health over stored attempts, process rows and batch facts, by its four left joins [C4, K15]."""
     scratch = Scratch(spark, "health")
-    attempts = _attempts(spark, d, scratch)
+    lines = _lines(spark, d, scratch) if lines is None else lines
+    attempts = _attempts(spark, d, scratch, lines)
     processes = scratch.cut(adapter.processes(spark, d, attempts), "processes")
     done = views.latest_process(processes, "finished_second").where("status = 'complete'").join(attempts.select("attempt_id", "attempt_no"), "attempt_id")
     facts = done.select("attempt_id", F.col("status").alias("process_status"), "processed_rows", "rejected_rows", (F.col("finished_second") * 1000 + F.col("attempt_no") % 997).cast("double").alias("fetch_to_curated_seconds"))
-    lines = _table(spark, d, "lineitem").groupBy(F.concat(F.lit("o"), F.col("l_orderkey")).alias("attempt_id"))
-    counts = scratch.cut(lines.agg(F.count("*").alias("rows"), F.count_if(F.col("l_linenumber") == 7).alias("staging_reject_rows")), "counts")
+    by_attempt = lines.groupBy(F.concat(F.lit("o"), F.col("l_orderkey")).alias("attempt_id"))
+    counts = scratch.cut(by_attempt.agg(F.count("*").alias("rows"), F.count_if(F.col("l_linenumber") == 7).alias("staging_reject_rows")), "counts")
     return views.batch_health(attempts, counts.select("attempt_id", F.col("rows").alias("raw_rows")), counts.select("attempt_id", F.col("rows").alias("staging_rows"), "staging_reject_rows"), processes, facts, F.col("gap_count"), "finished_second")
 
 

@@ -64,8 +64,9 @@ def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).where("reject_reason IS NULL")
 
 
-def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(text(ATTEMPTS, "spark", orders="{orders}", lineitem="{lineitem}"), orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem"))
+def attempts(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """lines: lineitem, if its rows are stored already."""
+    return spark.sql(text(ATTEMPTS, "spark", orders="{orders}", lineitem="{lineitem}"), orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem") if lines is None else lines)
 
 
 def processes(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
