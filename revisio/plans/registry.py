@@ -521,4 +521,4 @@ def current_in_window(spark, d):
     return _current(spark, d).where("origin_time >= timestamp'2024-01-01' AND origin_time < timestamp'2024-02-01'").select("canonical_event_id", "origin_time", "magnitude")
 
 
-from revisio.plans import contract_queries  # noqa: E402, F401  it registers further queries
+from revisio.plans import contract_queries, scale_queries  # noqa: E402, F401  they register further queries
