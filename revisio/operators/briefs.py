@@ -58,7 +58,8 @@ def problems(message: Column) -> Column:
     """Array of what is wrong with a brief; empty if nothing is [J6]. Commas and case do not count."""
     low = F.replace(F.lower(message), F.lit(","), F.lit(""))
     checks = [F.when(~F.coalesce(F.contains(low, F.lower(value)), F.lit(False)), f"missing or misstated {name}") for name, value in facts().items()]
-    anchored = F.coalesce(F.contains(F.regexp_replace(low, r"\s+", " "), F.concat(F.lit("away from "), F.lower("nearest_event_id"))), F.lit(False))
+    own = F.concat(F.lit(r"\baway from\s+\Q"), F.lower("nearest_event_id"), F.lit(r"\E\b"))  # lower case has no end of the quote
+    anchored = F.coalesce(F.regexp_like(low, own), F.lit(False))
     checks += [
         F.when(low.rlike(HAZARD), "hazard or action language"), F.when(low.rlike(COVERAGE), "unsupported coverage claim"),
         F.when(anchored, "distance anchored to event ID"), F.when(~F.endswith(F.rtrim(message), F.lit(".")), "incomplete ending"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import calendar
+import re
 from datetime import UTC, datetime, timedelta
 from itertools import pairwise
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revisio.schema import HISTORY_MONTHS, SITES
@@ -31,6 +32,20 @@ def history_windows(spark: SparkSession, cutoff: datetime, months: int = HISTORY
     return F.broadcast(sites).crossJoin(steps).select((F.col("site_no") * months + F.col("k") + 1).alias("window_no"), "site_key", bound(months - F.col("k")).alias("window_start"), bound(months - 1 - F.col("k")).alias("window_end"))
 
 
+def months_before_each(rows: DataFrame, cutoff: str, months: Column | int) -> DataFrame:
+    """The rows with window_no (from 1, the oldest), window_start and window_end of the contiguous months that end at their cutoff, an NTZ instant [H23, I1].
+
+    Each bound is counted from the cutoff, so that a short month clips its own bound alone. No month or no cutoff: no window.
+    """
+    n = months if isinstance(months, Column) else F.lit(months)
+    at = F.col(cutoff)
+    rest = at - F.to_date(at).cast("timestamp_ntz")
+    bound = lambda back: F.add_months(F.to_date(at), -back).cast("timestamp_ntz") + rest
+    steps = rows.where(at.isNotNull() & (n > 0)).withColumn("window_no", F.explode(F.sequence(F.lit(1), n.cast("int"))))
+    back = n.cast("int") - F.col("window_no")
+    return steps.withColumns({"window_start": bound(back + 1), "window_end": bound(back)})
+
+
 def slices(windows: DataFrame, unit: str, size: int, start: str = "window_start", end: str = "window_end") -> DataFrame:
     """Each window in slices of `size` days (1-7) or hours (1-12), the last one clipped."""
     if unit not in ("day", "hour") or not 1 <= size <= {"day": 7, "hour": 12}[unit]:
@@ -56,6 +71,8 @@ def sweep_windows(start: datetime, end: datetime, years: int, recent_year: int =
         raise ValueError("monthly windows begin at or after the recent ones")
     days = None
     if daily_month is not None:
+        if not re.fullmatch(r"[0-9]{4}-(0[1-9]|1[0-2])", daily_month) or daily_month < "0001":
+            raise ValueError("a daily month is written YYYY-MM")
         first = datetime.strptime(daily_month, "%Y-%m").replace(tzinfo=start.tzinfo)
         if monthly_year is None or first.year < monthly_year or (first.year, first.month) == (9999, 12):
             raise ValueError("a daily month lies within the monthly windows")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from datetime import datetime
+from itertools import pairwise
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revisio.plans.store import Store
@@ -19,20 +23,55 @@ def canonical_json(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+_PLACED = "file string, begin bigint, line string, place bigint"
+
+
+def _place_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the lines of each split, which a task reads one after another."""
+    now, seen = (None, None), 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, begins = batch.column("file").dictionary_encode(), batch.column("begin").to_numpy()
+        names, codes = files.dictionary, files.indices.to_numpy()
+        new = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (begins[1:] != begins[:-1])))
+        place = np.arange(len(begins), dtype=np.int64)
+        for at, upto in pairwise([*new.tolist(), len(begins)]):
+            own = (names[int(codes[at])].as_py(), int(begins[at]))
+            seen = seen if own == now else 0
+            place[at:upto] += seen - at
+            now, seen = own, seen + upto - at
+        yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("begin"), batch.column("line"), pa.array(place)], ["file", "begin", "line", "place"])
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, line): all lines of text files with their numbers from 1, blank ones included [A10, H11].
+
+    Files split: each split's task numbers its own lines. A first pass counts the lines of each
+    split, and the sum of what stands before it in its file is added to its numbers: a row for
+    each split is all that meets. A split that the first pass has not seen fails the query.
+    """
+    own = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin")
+    lines = spark.read.text(path, lineSep="\n").select(*own, F.col("value").alias("line"))
+    before = Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("file", "begin").agg(F.count("*").alias("n")).select("file", "begin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    placed = lines.mapInArrow(_place_lines, _PLACED).join(counts, ["file", "begin"], "left")
+    shift = F.coalesce("before", F.raise_error(F.concat(F.lit("a split was not counted: "), "file")).cast("bigint"))
+    return placed.select("file", (F.col("place") + shift + 1).alias("number"), "line")
+
+
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line of envelope files, with its file and its number from 1 [A10].
+    """One row per line of envelope files, with its file and its number from 1 [A10, H11].
 
-    A file is one task's row: an attempt file holds at most some ten thousand features.
-    A line that is no JSON fails the load.
+    Files of any size: they are read in splits. A line that is no JSON fails the load.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", "\n")).alias("k", "line")).where("trim(line) <> ''")
+    lines = numbered_lines(spark, path).where("trim(line) <> ''")
     v = F.parse_json("line")
     meta = lambda name, kind="string": F.variant_get(v, f"$.metadata.{name}", kind)
     return lines.select(
         meta("logical_batch_id").alias("logical_batch_id"), meta("attempt_id").alias("attempt_id"), meta("window_id").alias("window_id"), F.variant_get(v, "$.source_feature", "variant").alias("payload"),
         F.to_timestamp(meta("fetched_at")).alias("fetched_at"), meta("payload_hash").alias("payload_hash"), F.coalesce(meta("parser_version"), F.lit(RAW_PARSER_VERSION)).alias("parser_version"),
-        F.regexp_extract("file", r"([^/]+/[^/]+)$", 1).alias("stage_file_name"), (F.col("k") + 1).cast("long").alias("stage_file_row_number"),
+        F.regexp_extract("file", r"([^/]+/[^/]+)$", 1).alias("stage_file_name"), F.col("number").alias("stage_file_row_number"),
     )
 
 
