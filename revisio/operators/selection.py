@@ -156,7 +156,7 @@ def percentiles(rows: DataFrame, value: str, fractions: Sequence[float], keys: S
             return None
         h = places[g, p]
         low, high = at[g, floor(h)], at[g, min(floor(h) + 1, totals[g] - 1)]
-        return low if low == high else low + (high - low) * (h - floor(h))
+        return low if low == high or h == floor(h) else low + (high - low) * (h - floor(h))
 
     names = names or [f"p{p * 100:g}".replace(".", "_") for p in fractions]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema if f.name in keys}
