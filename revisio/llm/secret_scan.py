@@ -1,8 +1,11 @@
 """Secret scans with a random forest that removes false positives.
 
-Two patterns propose candidates in the whole text, of any length: runs of key characters that
-hold a digit, and values after `=` or `:`, up to white space, a quote, comma or semicolon, whose
-name (letters, digits, `_`, `-` and dots) has a credential word in it. Both read a text once,
+Three patterns propose candidates in the whole text, of any length. Runs of key characters that
+hold a digit. Private-key blocks from header to footer (without a footer: the lines of key
+characters that follow). Values of six bytes or more after `=` or `:`: in quotes all up to the
+closing quote on the same line, whatever stands in between; without, up to white space or a quote,
+or a comma or semicolon that ends it or that another name and its sign follow; the
+name (letters, digits, `_`, `-` and dots) has a credential word in it. All read a text once,
 whatever stands in it. The forest scores each
 from its length, character transitions, dictionary coverage, path and neighbouring words.
 It is grown in numpy from labelled findings: (value, before, after, path, is_secret). A
@@ -10,8 +13,8 @@ seeded generator gives a labelled set of public credential formats and of look-a
 (checksums, placeholders, identifiers, numbers); reviewed findings of one's own can be
 passed instead or besides.
 
-Defined results. Null and empty texts: no finding, unchanged. A value found by both
-patterns: one finding, the longer span. Repeated values: a finding each. Null paths: empty.
+Defined results. Null and empty texts: no finding, unchanged. A value found by several
+patterns: one finding over all of them. Repeated values: a finding each. Null paths: empty.
 Repeated ids: each row has its findings. Empty table: no rows. `redact` keeps all rows and
 columns; `scan` reads id, text and path alone.
 """
@@ -37,7 +40,10 @@ from revisio.llm.tokens import give_back, text_batches
 THRESHOLD, NEAR, MASK = 0.5, 48, "[SECRET]"
 _RUN = re.compile(rb"[A-Za-z0-9_+/\-]{14,}+={0,2}")
 _ASSIGN = re.compile(rb"(?<![\w.\-])([\w.\-]++)[\"']?+\s*+[=:]")
-_VALUE = re.compile(rb"[ \t]*+[\"']?+([^\s\"',;]{6,}+)")
+_QUOTED = re.compile(rb"""[ \t]*+(["'])((?:\\[^\n]|(?!\1)[^\\\n]){6,}+)\1""")
+_VALUE = re.compile(rb"""[ \t]*+["']?+((?:[^\s"',;]|[,;](?=[^\s"',;])(?![\w.\-]++[ \t]*+[=:])){6,}+)""")
+_BEGIN, _END = re.compile(rb"-----BEGIN (?:[A-Z0-9]++ )*?PRIVATE KEY-----"), re.compile(rb"-----END (?:[A-Z0-9]++ )*?PRIVATE KEY-----")
+_LINES = re.compile(rb"(?:\s*+[A-Za-z0-9+/=]{8,}+)*+")
 _NAME = re.compile(rb"(?i)pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|(?<![a-z])pass(?![a-z])")
 _DIGIT = re.compile(rb"[0-9]")
 #: Words whose presence in a value speaks for prose, code or a placeholder.
@@ -57,7 +63,7 @@ WORDS = tuple(
 #: Neighbouring words for and against a secret.
 FOR = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "auth", "bearer", "credential", "private_key")
 AGAINST = ("commit", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "isbn", "example", "sample", "revision", "version", "build", "phone", "card", "order", "invoice", "tracking")
-_KNOWN = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|eyJ[0-9A-Za-z_-]{8,}|AIza[0-9A-Za-z_-]{35}|sk_(?:live|test)_[0-9A-Za-z]{16,}")
+_KNOWN = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[\s\S]*|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|eyJ[0-9A-Za-z_-]{8,}|AIza[0-9A-Za-z_-]{35}|sk_(?:live|test)_[0-9A-Za-z]{16,}")
 _COVER = re.compile("|".join(sorted(WORDS, key=len, reverse=True)))
 
 
@@ -72,13 +78,30 @@ class Finding:
     name: str = ""  # what the value is assigned to, where it is longer than `before` shows
 
 
+def _blocks(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Private-key blocks. Once no footer follows, none follows any later header."""
+    at, footers = 0, True
+    while m := _BEGIN.search(raw, at):
+        end = _END.search(raw, m.end()) if footers else None
+        footers = end is not None
+        at = end.end() if end else _LINES.match(raw, m.end()).end()
+        yield m.start(), at, b"private_key"
+
+
 def candidates(raw: bytes) -> list[tuple[int, int, bytes]]:
     """Byte spans of candidates, in order and apart from one another, and the names of values that have one."""
     spans = [(m.start(), m.end(), b"") for m in _RUN.finditer(raw) if _DIGIT.search(m[0])]
+    spans += _blocks(raw)
     end = 0
     for m in _ASSIGN.finditer(raw):
-        if m.end() >= end and _NAME.search(m[1]) and (value := _VALUE.match(raw, m.end())):  # what stands in a value is in its span
-            spans.append((*value.span(1), m[1]))
+        if m.end() >= end and _NAME.search(m[1]):  # what stands in a value is in its span
+            if value := _QUOTED.match(raw, m.end()):
+                span = value.span(2)
+            elif value := _VALUE.match(raw, m.end()):
+                span = value.span(1)
+            else:
+                continue
+            spans.append((*span, m[1]))
             end = value.end()
     out: list[tuple[int, int, bytes]] = []
     for a, b, name in sorted(spans):
@@ -116,7 +139,7 @@ def features(f: Finding) -> list[float]:
     ]
 
 
-def labelled_findings(n: int = 4000, seed: int = 2) -> list[tuple[Finding, int]]:
+def labelled_findings(n: int = 6000, seed: int = 2) -> list[tuple[Finding, int]]:
     """A seeded labelled set: public credential formats in use, and look-alikes."""
     r = random.Random(seed)
     pick = lambda alphabet, k: "".join(r.choices(alphabet, k=k))
@@ -130,6 +153,9 @@ def labelled_findings(n: int = 4000, seed: int = 2) -> list[tuple[Finding, int]]
         lambda: ("eyJ" + base64.urlsafe_b64encode(pick(alnum, 40).encode()).decode().rstrip("="), r.choice(["Bearer ", named()])), lambda: (pick(alnum + "!#%&*@", r.randint(9, 20)) + pick(string.digits, 2), r.choice(["password=", "passwd: ", "pwd = '"])),
         lambda: ("AIza" + pick(alnum + "_-", 35), r.choice(["", named()])), lambda: ("sk_live_" + pick(alnum, 24), r.choice(["", named()])),
         lambda: (pick(r.choice([alnum + "+/", alnum + "!#%&*@", hexes]), r.choice([100, 250, 600, 1600, 4000])), named()),
+        lambda: (" ".join(pick(alnum, r.randint(2, 4)) for _ in range(r.randint(3, 5))) + pick(string.digits, 1), r.choice(FOR[:4]) + r.choice(['="', "='", ': "', ' = "'])),
+        lambda: (pick(alnum + "!#%&*@,;.", r.randint(9, 20)) + pick(string.digits, 2), r.choice(FOR) + r.choice(['="', "='", ': "'])), lambda: (pick(alnum, r.randint(4, 8)) + r.choice(",;") + pick(alnum, r.randint(7, 12)) + pick(string.digits, 1), named()),
+        lambda: ("-----BEGIN {0}PRIVATE KEY-----\n{1}\n-----END {0}PRIVATE KEY-----".format(r.choice(["", "RSA ", "EC ", "OPENSSH "]), "\n".join(pick(alnum + "+/", 64) for _ in range(r.randint(1, 24)))), r.choice(["", "\n", named()])),
     ]
     alike = [
         lambda: (pick(hexes, r.choice([32, 40, 64])), r.choice(AGAINST[:6]) + r.choice([" ", ": ", "="])), lambda: ("_".join(r.choices(WORDS, k=r.randint(2, 4))) + pick(string.digits, r.randint(1, 4)), r.choice(["", named()])),
@@ -138,6 +164,7 @@ def labelled_findings(n: int = 4000, seed: int = 2) -> list[tuple[Finding, int]]
         lambda: ("/".join(r.choices(WORDS, k=4)) + "/" + pick(string.digits, 4), r.choice(["", "path=", "https:"])), lambda: (r.choice(["changeme", "your-api-key-here-", "example-token-", "password"]) + "1234", named()),
         lambda: (f"{r.randint(2000, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}-{r.choice(WORDS)}-{r.choice(WORDS)}", ""), lambda: ("0123456789abcdef"[: r.randint(14, 16)] * r.randint(1, 3), r.choice(["", named()])),
         lambda: (pick(r.choice([alnum + "+/", hexes]), r.choice([100, 250, 600, 1600, 4000])), r.choice(["", "base64,", "checksum: ", "data="])),
+        lambda: (" ".join(r.choices(r.choice([WORDS, syllables]), k=r.randint(2, 6))), r.choice(FOR) + r.choice(['="', "='", ': "', ": "])), lambda: (", ".join(r.choices(WORDS, k=r.randint(2, 4))), r.choice(FOR) + r.choice(['="', ': "'])),
     ]
     paths, mild = ["", "", "src/app/settings.env", "config/prod.yaml", "notes.txt", "src3"], ["", "docs/readme.md", "tests/fixtures/data.json", "src7", "notes.txt"]
     out = []
