@@ -3,9 +3,9 @@
 Corners of a Harris response at several scales, each the strongest within APART pixels, so
 that their number grows with the image and a crop keeps those inside it, are turned to the direction of their
 intensity centroid and described by 128 binary tests of a smoothed patch. Descriptors meet
-in Hamming tables: a key is a choice of all but two of a descriptor's blocks, so that two that
-differ in up to two bits share a key by the pigeonhole rule; more descriptors have longer keys
-(`table_plan`). A copy shares many corners. Images that share a key are compared: corners within `near_bits` of each other, wherever they stand, are matches, and `agree` of
+in Hamming tables: a key is one of a descriptor's three blocks, so that two that differ in up to
+two bits share a key by the pigeonhole rule, and many that differ in more bits do so as well. Keys
+are as long for many descriptors as for few: longer ones would lose copies. A copy shares many corners. Images that share a key are compared: corners within `near_bits` of each other, wherever they stand, are matches, and `agree` of
 them must follow one similarity transform (scale, turn, shift) before the two count as copies.
 
 Images of equal pixels are one node from the start. In two rounds each image first meets one
@@ -41,6 +41,7 @@ from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
 
 SCALES, APART, PATCH, NEAR_BITS, AGREE, PIXELS = (1.0, 0.7071, 0.5), 3, 15, 20, 5, 3.0
+BLOCKS, CHOSEN = 3, 1  # whatever the number of descriptors: of a hundred billion random ones, each shares a key of 43 bits with 0.02 others
 TIE = 0.01  # grey levels: flat places give equal bits whatever the rounding
 _RNG = np.random.default_rng(4)
 _TESTS = np.clip(_RNG.normal(0, PATCH / 2.2, (128, 4)), -PATCH + 1, PATCH - 1)
@@ -233,12 +234,7 @@ def _consent(batches: Iterator[pa.RecordBatch], near_bits: int, agree: int) -> I
             yield some.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
-def table_plan(n: int) -> tuple[int, int]:
-    """(blocks, blocks in a key) for n descriptors: keys of 43, 77 or 91 bits, exact for two bits in all forms."""
-    return (3, 1) if n <= 20_000_000 else (5, 3) if n <= 20_000_000_000 else (7, 5)
-
-
-def _keys(d0: Column, d1: Column, blocks: int, chosen: int) -> Column:
+def _keys(d0: Column, d1: Column, blocks: int = BLOCKS, chosen: int = CHOSEN) -> Column:
     """Array of keys: the bits of each choice of blocks, and the choice's number."""
     edges = [128 * k // blocks for k in range(blocks + 1)]
     keys = []
@@ -252,8 +248,7 @@ def _keys(d0: Column, d1: Column, blocks: int, chosen: int) -> Column:
 def links(corners: DataFrame, near_bits: int = NEAR_BITS, agree: int = AGREE) -> DataFrame:
     """Pairs (a, b), a < b, of images (columns node, corners) whose corners agree; they join all that agrees."""
     scratch = Scratch(corners.sparkSession, "image-links")
-    n = corners.agg(F.sum(F.size("corners"))).first()[0] or 0
-    keyed = corners.select("node", F.explode("corners").alias("c")).select("node", F.explode(_keys(F.col("c.d0"), F.col("c.d1"), *table_plan(n))).alias("key"))
+    keyed = corners.select("node", F.explode("corners").alias("c")).select("node", F.explode(_keys(F.col("c.d0"), F.col("c.d1"))).alias("key"))
     keys = scratch.cut(shared_keys(keyed), "keys")
     shared = scratch.cut(keys.join(keys.groupBy("node").agg((-F.count("*")).alias("rest")), "node"), "shared")
     found = tried = None

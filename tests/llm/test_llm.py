@@ -728,7 +728,7 @@ def test_rendered_copies_against_brute_force(spark):
     assert all(got[i] == got[j] <= i for i in range(len(stack)) for j in range(i) if got[i] == got[j] and label[i] == label[j])
     assert not any(got[i] == got[j] and label[i] != label[j] for i in range(len(stack)) for j in range(i))
     kinds = {name: np.mean([got[80 + 3 * k + n] == got[k] for k in range(40)]) for n, name in enumerate(images.EDITS)}
-    assert kinds["crop"] >= 0.95 and kinds["edit"] >= 0.95 and kinds["turn"] >= 0.8, kinds
+    assert kinds["crop"] >= 0.95 and kinds["edit"] >= 0.95 and kinds["turn"] >= 0.9, kinds
     assert np.mean([got[40 + k] == k for k in range(40)]) >= 0.95 and all(got[k] == k for k in range(40))
 
 
@@ -755,8 +755,8 @@ def test_groups_of_crops_lose_no_links(spark, size):
     assert sum(got[k] == 0 for k in range(size)) >= 0.97 * size and all(got[2000 + k] == 2000 + k for k in range(20))
 
 
-def test_table_plan_is_exact_for_two_bits(spark):
-    """Descriptors that differ in any two bits share a key under every plan."""
+def test_keys_are_exact_for_two_bits(spark):
+    """Descriptors that differ in any two bits share a key."""
     rng = np.random.default_rng(2)
     rows = [(0, 0, 0)]
     for k in range(1, 60):
@@ -766,11 +766,9 @@ def test_table_plan_is_exact_for_two_bits(spark):
         halves = [h - (1 << 64) if h >> 63 else h for h in (d & (1 << 64) - 1, d >> 64)]
         rows.append((k, *halves))
     frame = spark.createDataFrame(rows, "k bigint, d0 bigint, d1 bigint")
-    for n in (10, 10**9, 10**11):
-        blocks, chosen = images.table_plan(n)
-        assert blocks - chosen == 2
-        keys = {r.k: set(r.keys) for r in frame.select("k", images._keys(F.col("d0"), F.col("d1"), blocks, chosen).alias("keys")).collect()}
-        assert all(keys[0] & keys[k] for k in keys)
+    assert images.BLOCKS - images.CHOSEN == 2
+    keys = {r.k: set(r.keys) for r in frame.select("k", images._keys(F.col("d0"), F.col("d1")).alias("keys")).collect()}
+    assert all(keys[0] & keys[k] for k in keys)
 
 
 def test_small_crops_of_a_large_picture():
