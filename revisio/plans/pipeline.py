@@ -109,12 +109,13 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Reso
     if not moved.isEmpty():
         _rekey(tx, moved, labels, scratch)
 
-    facts = tx.read("fact_event_revision")
-    names = valid.select("source_event_id").distinct().join(labels.withColumnRenamed("canonical_id", "canonical_event_id"), "source_event_id", "left")
+    ids = valid.select("source_event_id").distinct()
+    labels = tx.read("alias_label", matching=ids)
+    names = ids.join(labels.withColumnRenamed("canonical_id", "canonical_event_id"), "source_event_id", "left")
     accepted = valid.join(names, "source_event_id", "left")
     accepted = accepted.withColumn("canonical_event_id", F.coalesce("canonical_event_id", F.raise_error(F.lit("no canonical id")).cast("string"))).withColumn("curated_at", F.lit(at))
-    source = scratch.cut(revisions.dedup(revisions.refuse_conflicts(accepted.select(*facts.columns))), "source")
-    stored = facts.join(source.select(*REVISION_KEY), list(REVISION_KEY), "left_semi")
+    source = scratch.cut(revisions.dedup(revisions.refuse_conflicts(accepted.select(*tx.read("fact_event_revision").columns))), "source")
+    stored = tx.read("fact_event_revision", matching=source.select(*REVISION_KEY))
     lineage = ["fetched_at", "curated_at", "stage_file_name", "stage_file_row_number"]
     merged = scratch.cut(merge.upsert(stored, source, REVISION_KEY, lineage, F.col("s.fetched_at") > F.col("t.fetched_at")).where("merge_action <> 'kept'"), "merged")  # once, for the table, its check and the count
     changed = merged.count()
@@ -145,8 +146,8 @@ def write_models(tx: Transaction, staged: DataFrame, at: datetime, resolve: Reso
 def _rekey(tx: Transaction, moved: DataFrame, labels: DataFrame, scratch: Scratch) -> None:
     """Facts and bridges of the canonical ids that move, and of those they may meet, under their new ids [K7]."""
     touched = moved.select(F.explode(F.array("old_id", "new_id")).alias("canonical_event_id")).distinct()
-    facts = scratch.cut(tx.read("fact_event_revision").join(touched, "canonical_event_id", "left_semi"), "facts-touched")
-    bridges = scratch.cut(tx.read("bridge_event_site").join(touched, "canonical_event_id", "left_semi"), "bridges-touched")
+    facts = scratch.cut(tx.read("fact_event_revision", matching=touched), "facts-touched")
+    bridges = scratch.cut(tx.read("bridge_event_site", matching=touched), "bridges-touched")
     canonical = scratch.cut(labels.join(facts.select("source_event_id").distinct(), "source_event_id", "left_semi"), "ids-touched")
     new_facts, new_bridges, _ = revisions.rekey_checked(facts, bridges, canonical)
     tx.exchange("fact_event_revision", facts, scratch.cut(new_facts, "facts-new"))

@@ -22,12 +22,13 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisio.schema import MERGED, TABLES
+from revisio.schema import BY_ATTEMPT, MERGED, TABLES
 
 TIER = 8
 
@@ -99,28 +100,40 @@ class Store:
             raise CommitUncertain(f"version {version} may be published or not") from error or unread
 
     # ---- reads
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        """A table now or as of a version; empty with its schema where no commit has written it."""
-        return self._frame(self.commit_at(version), table)
-
-    def _frame(self, commit: dict[str, Any], table: str) -> DataFrame:
-        return self._merged(table, commit["tables"].get(table, [])).where("NOT gone").drop("gone")
-
-    def _merged(self, table: str, segments: list[dict[str, Any]]) -> DataFrame:
-        """Rows of segments, with gone: keys that a later segment took away, if no later one brought them back."""
+    def read(self, table: str, version: int | None = None, matching: DataFrame | None = None) -> DataFrame:
+        """A table now or as of a version; empty with its schema where no commit has written it. matching: keys, or some columns of them, of the rows wanted."""
+        return self._frame(self.commit_at(version), table, matching)
+
+    def _frame(self, commit: dict[str, Any], table: str, matching: DataFrame | None = None) -> DataFrame:
+        return self._merged(table, commit["tables"].get(table, []), matching).where("NOT gone").drop("gone")
+
+    def _rows(self, table: str, folders: list[str]) -> DataFrame:
+        """Rows of folders; those that hold a folder for each attempt are read one by one, as Spark asks of partitioned folders."""
+        read, paths = self.spark.read.schema(self.tables[table]).parquet, [self.at(f) for f in folders]
+        if table not in BY_ATTEMPT:
+            return read(*paths)
+        names = self.spark.createDataFrame([], self.tables[table]).columns
+        return reduce(DataFrame.union, (read(path).select(*names) for path in paths))
+
+    def _merged(self, table: str, segments: list[dict[str, Any]], matching: DataFrame | None = None) -> DataFrame:
+        """Rows of segments, with gone: keys that a later segment took away, if no later one brought them back.
+
+        matching: each segment keeps what agrees before segments meet, so that what is merged does not grow with the table.
+        """
         schema, keys = self.tables[table], MERGED.get(table)
+        some = (lambda frame: frame) if matching is None else (lambda frame: frame.join(matching, matching.columns, "left_semi"))
         rows = [s["rows"] for s in segments if s["rows"]]
         if not rows and not any(s.get("gone") for s in segments):
             return self.spark.createDataFrame([], schema).withColumn("gone", F.lit(False))
         if not keys or (len(segments) == 1 and not segments[0].get("gone")):
-            return self.spark.read.schema(schema).parquet(*map(self.at, rows)).withColumn("gone", F.lit(False))
+            return some(self._rows(table, rows)).withColumn("gone", F.lit(False))
         whole = self.spark.createDataFrame([], schema).withColumns({"gone": F.lit(False), "segment": F.lit(0)})
         for k, s in enumerate(segments):
             if s["rows"]:
-                whole = whole.unionByName(self.spark.read.schema(schema).parquet(self.at(s["rows"])).withColumns({"gone": F.lit(False), "segment": F.lit(k)}))
+                whole = whole.unionByName(some(self._rows(table, [s["rows"]])).withColumns({"gone": F.lit(False), "segment": F.lit(k)}))
             if s.get("gone"):
                 lost = self.spark.read.schema(self.spark.createDataFrame([], schema).select(*keys).schema).parquet(self.at(s["gone"]))
-                whole = whole.unionByName(lost.withColumns({"gone": F.lit(True), "segment": F.lit(k)}), allowMissingColumns=True)
+                whole = whole.unionByName(some(lost).withColumns({"gone": F.lit(True), "segment": F.lit(k)}), allowMissingColumns=True)
         # Of one segment, rows come after what it takes away: a key may go and come back.
         last = F.max_by(F.struct(*(c for c in whole.columns if c not in keys and c != "segment")), F.struct("segment", ~F.col("gone")))
         return whole.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*")
@@ -180,14 +193,17 @@ class Transaction:
         self.store, self.base = store, store.version()
         self.now = store.commit_at(self.base)
 
-    def read(self, table: str) -> DataFrame:
-        """The table as this transaction has it."""
-        return self.store._frame(self.now, table)
+    def read(self, table: str, matching: DataFrame | None = None) -> DataFrame:
+        """The table as this transaction has it; matching as in `Store.read`."""
+        return self.store._frame(self.now, table, matching)
 
     def _stage(self, table: str, rows: DataFrame, columns: tuple[str, ...] | None = None) -> str:
         folder = f"data/{table}-{uuid.uuid4().hex}"
         target = self.store.spark.createDataFrame([], self.store.tables[table])
-        rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in target.schema if columns is None or f.name in columns)).write.parquet(f"{self.store.root}/{folder}")
+        writer = rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in target.schema if columns is None or f.name in columns)).write
+        if table in BY_ATTEMPT:
+            writer = writer.partitionBy("attempt_id")
+        writer.parquet(f"{self.store.root}/{folder}")
         return folder
 
     def append(self, table: str, rows: DataFrame) -> None:

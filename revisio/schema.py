@@ -21,6 +21,9 @@ FILE_ROW = ("stage_file_name", "stage_file_row_number")
 #: Tables that are merged by key when they are read: the latest segment's row of a key holds.
 MERGED = {"fact_event_revision": REVISION_KEY, "bridge_event_site": (*REVISION_KEY, "site_key"), "alias_label": ("source_event_id",), "fact_batch_run": ("attempt_id",)}
 
+#: Tables whose segments hold a folder for each attempt, so that an attempt reads its own rows alone.
+BY_ATTEMPT = ("raw_event_records", "stg_event_revision")
+
 TABLES = {
     "batch_attempt": """attempt_id string, logical_batch_id string, batch_kind string, site_key string, requested_starttime timestamp,
         requested_endtime timestamp, query_parameters variant, window_audit variant, coverage_gaps variant, fetched_at timestamp,
