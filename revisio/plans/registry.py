@@ -119,13 +119,14 @@ def _lines(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
 
 
 def _health(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
-    """Batch health over stored attempts, process rows and batch facts, by its four left joins [C4, K15]."""
+    """Batch health over stored attempts and counts, process rows and batch facts, by its four left joins [C4, K15]."""
     scratch = Scratch(spark, "health")
-    lines = _lines(spark, d, scratch) if lines is None else lines
+    lines = _table(spark, d, "lineitem") if lines is None else lines
     attempts = _attempts(spark, d, scratch, lines)
-    processes = scratch.cut(adapter.processes(spark, d, attempts), "processes")
-    done = views.latest_process(processes, "finished_second").where("status = 'complete'").join(attempts.select("attempt_id", "attempt_no"), "attempt_id")
-    facts = done.select("attempt_id", F.col("status").alias("process_status"), "processed_rows", "rejected_rows", (F.col("finished_second") * 1000 + F.col("attempt_no") % 997).cast("double").alias("fetch_to_curated_seconds"))
+    processes = adapter.processes(spark, d, attempts)
+    done = views.latest_process(processes, "finished_second").where("status = 'complete'")
+    seconds = F.col("finished_second") * 1000 + F.substring("attempt_id", 2, 20).cast("long") % 997
+    facts = done.select("attempt_id", F.col("status").alias("process_status"), "processed_rows", "rejected_rows", seconds.cast("double").alias("fetch_to_curated_seconds"))
     by_attempt = lines.groupBy(F.concat(F.lit("o"), F.col("l_orderkey")).alias("attempt_id"))
     counts = scratch.cut(by_attempt.agg(F.count("*").alias("rows"), F.count_if(F.col("l_linenumber") == 7).alias("staging_reject_rows")), "counts")
     return views.batch_health(attempts, counts.select("attempt_id", F.col("rows").alias("raw_rows")), counts.select("attempt_id", F.col("rows").alias("staging_rows"), "staging_reject_rows"), processes, facts, F.col("gap_count"), "finished_second")
