@@ -59,8 +59,8 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return bins, offsets, np.array(fills, np.int64)
 
 
-def _pack_partition(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = tokens.encoder(path, GROUP_BYTES), np.array([end_id], "<u4").tobytes()
+def _pack_partition(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int, cache_words: int = tokens.CACHE_WORDS) -> Iterator[pa.RecordBatch]:
+    encoder, end = tokens.encoder(path, GROUP_BYTES, cache_words), np.array([end_id], "<u4").tobytes()
     ids, rows, pieces, starts, lengths, crcs = [], [], [], [], [], []
     n_docs = 0
     for batch in batches:
@@ -100,17 +100,17 @@ def _pack_bins(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return packed[(np.bincount(bins, minlength=len(fills)) > 1)[bins]]
 
 
-def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, slack: int = SLACK, fan_in: int = FAN_IN) -> DataFrame:
+def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, slack: int = SLACK, fan_in: int = FAN_IN, cache_words: int = tokens.CACHE_WORDS) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    slack: free tokens up to which a bin is nearly full. fan_in: nodes that meet in a round.
+    slack: free tokens up to which a bin is nearly full. fan_in: nodes that meet in a round. cache_words: pieces of words that a worker keeps; fewer cost time, and leave memory to others.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     scratch = Scratch(spark, "packing")
     tokens.text_batches(spark)
     layout = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, place bigint, fill bigint"
-    placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, vocabulary, capacity, end_id), layout), "round-0")
+    placed = scratch.cut(docs.select(id_col, text_col).mapInArrow(lambda it: _pack_partition(it, vocabulary, capacity, end_id, cache_words), layout), "round-0")
 
     items = scratch.cut(placed.where((F.col("place") == 0) & (F.col("fill") < capacity - slack)).select("bin", "fill"), "items")
     nodes = (items.agg(F.max(F.shiftright("bin", 32))).first()[0] or 0) + 1

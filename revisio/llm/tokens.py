@@ -222,9 +222,9 @@ def plain(path: str):
 
 
 @functools.cache
-def encoder(path: str | None, group_bytes: int = GROUP_BYTES) -> WordEncoder:
-    """One encoder for each Python worker and size of group, kept from task to task. path: on the worker; the default vocabulary where the worker has it, if null."""
-    made = WordEncoder(path or vocabulary(), group_bytes=group_bytes)
+def encoder(path: str | None, group_bytes: int = GROUP_BYTES, cache_words: int = CACHE_WORDS) -> WordEncoder:
+    """One encoder for each Python worker and its sizes, kept from task to task. path: on the worker; the default vocabulary where the worker has it, if null."""
+    made = WordEncoder(path or vocabulary(), cache_words, group_bytes)
     give_back()
     return made
 
