@@ -1,27 +1,25 @@
 """Batch health as its parts arrive: receipts, row counts, process rows and batch facts in any order [C4, K15].
 
-One piece of state for each attempt holds what its four joins would find: the receipt, the sums of
-the counts told so far, the latest process row and the fact. Whatever changes it passes the
-attempt's joined row on, once the receipt is there, so that an attempt without counts, process or
-fact shows at once, and nothing waits for a watermark. The state of a row of the log is told by
-the same rule as that of the joins; an attempt's last row is its health.
+A grouping by attempt keeps what its four joins would find: the receipt, the sums of the counts
+told so far, the latest process row and the fact. A batch that brings rows of an attempt passes its
+joined row on, once the receipt is there, so that an attempt without counts, process or fact shows
+at once, and nothing waits for a watermark. The state of a row of the log is told by the same rule
+as that of the joins; an attempt's last row, the one that has seen most rows, is its health.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from functools import reduce
-from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from revisio.operators import views
 from revisio.streaming.current import session_for
 
-#: Columns of each part, beside attempt_id; counts are added up, of processes the last by (finished, id) holds, of others the last that came.
+#: Columns of each part, beside attempt_id; counts are added up, of processes the greatest by (finished, id, ...) holds, of others one of the last batch that brought any.
 PARTS = {
     "receipt": {"batch_kind": "string", "load_status": "string", "source_rows_returned": "bigint", "raw_rows_written": "bigint", "loaded_rows": "bigint", "receipt_gap_count": "bigint"},
     "count": {"raw_rows": "bigint", "staging_rows": "bigint", "staging_reject_rows": "bigint"},
@@ -32,34 +30,6 @@ _COLUMNS = {name: kind for part in PARTS.values() for name, kind in part.items()
 _OUT = "attempt_id string, version bigint, " + ", ".join(f"{name} {kind}" for name, kind in _COLUMNS.items())
 
 
-class Health(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", "parts string, version bigint")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803  Spark's names
-        text, version = self.held.get() if self.held.exists() else ("{}", 0)
-        parts = json.loads(text)
-        for row in rows:
-            told = {name: row[name] for name in PARTS[row["part"]]}
-            before = parts.get(row["part"])
-            if row["part"] == "count" and before:
-                told = {name: before[name] + (n or 0) for name, n in told.items()}
-            if row["part"] != "process" or not before or _last(told) > _last(before):
-                parts[row["part"]] = told
-        now = json.dumps(parts, sort_keys=True)
-        if now != text:
-            self.held.update((now, version + 1))
-            if "receipt" in parts:
-                yield Row(attempt_id=key[0], version=version + 1, **{name: parts.get(part, {}).get(name, 0 if part == "count" else None) for part, names in PARTS.items() for name in names})
-
-    def close(self) -> None:
-        pass
-
-
-def _last(process: Mapping[str, Any]) -> tuple:
-    return process["finished"], process["process_attempt_id"]
-
-
 def part(frame: DataFrame, name: str) -> DataFrame:
     """A part's rows as the state reads them: its own columns and nulls for those of the others."""
     own = PARTS[name]
@@ -67,9 +37,15 @@ def part(frame: DataFrame, name: str) -> DataFrame:
 
 
 def joined(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """Streams of parts, by name, to the stream of joined rows."""
+    """Streams of parts, by name, to the stream of joined rows: one grouping, whose sums and greatest rows Spark keeps as state."""
     every = reduce(DataFrame.union, (part(frame, name) for name, frame in parts.items()))
-    return every.groupBy("attempt_id").transformWithState(Health(), _OUT, "Update", "None")
+    of = lambda name, what: F.when(F.col("part") == name, what)  # noqa: E731  null, which aggregates leave out, in other parts' rows
+    whole = lambda name: of(name, F.struct(*PARTS[name]))
+    held = every.withColumn("came_at", F.current_timestamp()).groupBy("attempt_id").agg(  # one instant a batch
+        F.count("*").alias("version"), F.max_by(whole("receipt"), of("receipt", F.col("came_at"))).alias("receipt"), F.max(whole("process")).alias("process"), F.max_by(whole("fact"), of("fact", F.col("came_at"))).alias("fact"),
+        *(F.coalesce(F.sum(of("count", F.coalesce(c, F.lit(0)))), F.lit(0)).alias(c) for c in PARTS["count"]),
+    )
+    return held.where("receipt IS NOT NULL").select("attempt_id", "version", "receipt.*", *PARTS["count"], "process.*", "fact.*")
 
 
 def maintain(spark: SparkSession, folders: Mapping[str, str], log: str, checkpoint: str, files_per_batch: int = 200) -> StreamingQuery:

@@ -12,7 +12,7 @@ from revisio.functions import geo, grid
 from revisio.operators import briefs, distinct, intervals, revisions, selection, sweeps, windows
 from revisio.plans import checks, registry
 from revisio.sources import landing
-from revisio.streaming import current
+from revisio.streaming import current, health
 
 T0 = datetime(2024, 1, 1)
 SF = "/root/testdata/sf0.001"
@@ -243,3 +243,34 @@ def test_an_anchor_ends_with_the_id(spark):
     for text, found in (("away from u12.", True), ("away from   U12, x.", True), ("away from u123.", False), ("away from u1.", False), ("runaway from u12.", False)):
         frame = spark.createDataFrame([case | {"message": text}])
         assert ("distance anchored to event ID" in frame.select(briefs.problems(F.col("message")).alias("p")).first().p) == found
+
+
+def test_health_of_parts_in_any_order(spark, tmp_path):
+    """Facts before receipts, counts in two batches, a process that comes late and a receipt told anew; no task of the state runs Python."""
+    none = dict.fromkeys(c for part in health.PARTS.values() for c in part)
+    batches = [
+        {"fact": [("a", {"f_attempt_id": "a", "f_processed_rows": 2})], "count": [("a", {"raw_rows": 1, "staging_rows": None, "staging_reject_rows": 1}), ("b", {"raw_rows": 9})], "process": [("a", {"finished": 9, "process_attempt_id": "p9"})]},
+        {"receipt": [("a", {"load_status": "complete"}), ("c", {"load_status": "failed"})], "count": [("a", {"raw_rows": 2, "staging_rows": 3, "staging_reject_rows": 0})], "process": [("a", {"finished": 3, "process_attempt_id": "p3"})]},
+        {"receipt": [("a", {"load_status": "told anew"})]},
+    ]
+    log, state = f"file://{tmp_path}/log", f"file://{tmp_path}/state"
+    folders = {name: f"file://{tmp_path}/{name}" for name in health.PARTS}
+    schema = {name: "attempt_id string, " + ", ".join(f"{c} {kind}" for c, kind in columns.items()) for name, columns in health.PARTS.items()}
+    for batch in batches:
+        for name, columns in health.PARTS.items():
+            rows = [(i, *((none | told)[c] for c in columns)) for i, told in batch.get(name, [])]
+            spark.createDataFrame(rows, schema[name]).coalesce(1).write.mode("append").parquet(folders[name])
+        query = health.maintain(spark, folders, log, state)
+        query.awaitTermination()
+    got = {r.attempt_id: r for r in health.health(spark, log).collect()}
+    assert set(got) == {"a", "c"} and (got["c"].raw_rows, got["c"].finished, got["c"].f_processed_rows) == (0, None, None)
+    a = got["a"]
+    assert (a.load_status, a.raw_rows, a.staging_rows, a.staging_reject_rows, a.process_attempt_id, a.f_processed_rows) == ("told anew", 3, 3, 1, "p9", 2)
+    every = health.joined({name: spark.read.schema(schema[name]).parquet(folder) for name, folder in folders.items()})
+    assert not any(name in every._jdf.queryExecution().toString() for name in ("Python", "Pandas", "TransformWithState"))
+
+
+def test_current_state_runs_no_python(spark):
+    rows = spark.createDataFrame([("a", T0, "h", T0, "f", 1, "automatic"), ("a", None, "z", T0, "f", 2, "late")], "canonical_event_id string, source_updated_at timestamp, payload_hash string, fetched_at timestamp, stage_file_name string, stage_file_row_number bigint, source_status string")
+    plan = current.changes(rows)._jdf.queryExecution().toString()
+    assert not any(name in plan for name in ("Python", "Pandas", "TransformWithState"))
