@@ -7,13 +7,16 @@ from collections.abc import Mapping
 from datetime import UTC, datetime, timedelta
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revisio.operators import views
 from revisio.plans.store import Store
 from revisio.sources import landing
 
+#: Windows of an audit that one task sorts, beside the counts and requests of their attempts.
+TASK_WINDOWS = 250_000
+
 
 def _utc(value: str | datetime) -> datetime:
     at = datetime.fromisoformat(value) if isinstance(value, str) else value
@@ -34,17 +37,24 @@ def plan(low: str | datetime, cutoff: str | datetime, watermark: str | datetime,
     }
 
 
-def coverage(audit: DataFrame, requests: DataFrame, counts: DataFrame) -> DataFrame:
+def tasks_for(spark: SparkSession, windows: int) -> int:
+    """Tasks to deal an audit's attempts to: their number grows with the windows, so that what one holds does not."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows // TASK_WINDOWS))
+
+
+def coverage(audit: DataFrame, requests: DataFrame, counts: DataFrame, tasks: int | None = None) -> DataFrame:
     """Per requested attempt: what its audit leaves open, and sweep_state (`complete`, or the first problem) [I7].
 
     audit: attempt_id, window_id, window_status, window_starttime, window_endtime, count_before,
     returned_rows, count_after. requests: attempt_id, low, cutoff. counts: attempt_id, window_id,
     window_rows, of the windows that have rows. Settled windows must join end to start from low to
     cutoff. Each input is read once: their rows are dealt by attempt together, and every window
-    and the grouping rest on that one exchange.
+    and the grouping rest on that one exchange. tasks: those of `tasks_for`, if the caller has
+    counted the windows already.
     """
+    tasks = tasks or tasks_for(audit.sparkSession, audit.count())
     told = lambda kind, rows: rows.withColumn("kind", F.lit(kind))
-    every = told("audit", audit).unionByName(told("request", requests), allowMissingColumns=True).unionByName(told("count", counts), allowMissingColumns=True).repartition("attempt_id")
+    every = told("audit", audit).unionByName(told("request", requests), allowMissingColumns=True).unionByName(told("count", counts), allowMissingColumns=True).repartition(tasks, "attempt_id")
     kind, n, named = F.col("kind"), F.col("returned_rows"), F.col("window_id").isNotNull()
     leaf = F.coalesce((kind == "audit") & (F.col("window_status") == "reconciled"), F.lit(False))
     attempt, window = Window.partitionBy("attempt_id"), Window.partitionBy("attempt_id", "window_id")

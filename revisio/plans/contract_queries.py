@@ -163,13 +163,14 @@ def sweep_coverage(spark, d):
     day, hour = "make_dt_interval(", "make_dt_interval(0, "
     text = _AUDIT.replace("{day}(l_linenumber - 1)", f"{day}l_linenumber - 1)").replace("{day}l_linenumber", f"{day}l_linenumber)").replace("{hour}(", hour)
     lines = _table(spark, d, "lineitem").select(F.col("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"))
-    audit = spark.sql(text, lines=lines)
+    audit, tasks = spark.sql(text, lines=lines), sweeps.tasks_for(spark, lines.count())
+    dealt = audit.repartition(tasks, "attempt_id")  # both groupings rest on it
     no = F.substring("attempt_id", 2, 20).cast("long")
     low = F.lit("2024-01-01").cast("timestamp")
-    requests = audit.groupBy("attempt_id").agg(F.max("n").alias("n")).select("attempt_id", low.alias("low"), (low + F.make_dt_interval(F.col("n") + (no % 11 == 0).cast("int"))).alias("cutoff"))
+    requests = dealt.groupBy("attempt_id").agg(F.max("n").alias("n")).select("attempt_id", low.alias("low"), (low + F.make_dt_interval(F.col("n") + (no % 11 == 0).cast("int"))).alias("cutoff"))
     first = F.col("n") == 1
-    counts = audit.groupBy("attempt_id", F.when((no % 31 == 0) & first, "stray").otherwise(F.col("window_id")).alias("window_id")).agg(F.sum(F.col("returned_rows") + ((no % 19 == 0) & first).cast("long")).alias("window_rows"))
-    return sweeps.coverage(audit.drop("n"), requests, counts)
+    counts = dealt.groupBy("attempt_id", F.when((no % 31 == 0) & first, "stray").otherwise(F.col("window_id")).alias("window_id")).agg(F.sum(F.col("returned_rows") + ((no % 19 == 0) & first).cast("long")).alias("window_rows"))
+    return sweeps.coverage(audit.drop("n"), requests, counts, tasks)
 
 
 @query(f"""SELECT window_no::BIGINT AS window_no, coalesce(c.captures, 0) AS captures, c.file FROM ({_MONTHS}) w LEFT JOIN (SELECT n, count(*) AS captures, max(file) AS file FROM (SELECT 1 + o_orderkey % 180 AS n, 'c' || o_orderkey AS file FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 3 <> 0 AND o_orderkey % 180 % 12 <> 5) GROUP BY 1) c ON c.n = w.window_no""")

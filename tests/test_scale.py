@@ -93,6 +93,15 @@ def test_coverage_of_null_windows_and_unasked_attempts(spark):
     assert (got["a"].leaves, got["a"].breaks, got["a"].differing_rows, got["a"].stray_windows, got["a"].sweep_state) == (2, 0, 0, 1, "counts disagree")  # a window without an id is none that can be told apart
 
 
+def test_coverage_is_dealt_to_more_tasks_as_windows_grow(spark, monkeypatch):
+    """No task sorts more than its share, whatever the number of shuffle partitions; results stay."""
+    want = sorted(map(tuple, registry.QUERIES["sweep_coverage"](spark, SF).collect()))
+    monkeypatch.setattr(sweeps, "TASK_WINDOWS", 250)
+    found = registry.QUERIES["sweep_coverage"](spark, SF)
+    windows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert found.rdd.getNumPartitions() >= windows / 250 > 20 and sorted(map(tuple, found.collect())) == want
+
+
 # ---- many sites [K8, C9]
 
 
