@@ -9,49 +9,21 @@ its current revision.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from typing import Any
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from revisio.operators import revisions
 
 KEY = "canonical_event_id"
-#: What a later revision is told by, most significant first; instants as microseconds, as state keeps them.
-ORDER = {"updated": "bigint", "fetched": "bigint", "payload_hash": "string", "stage_file_name": "string", "stage_file_row_number": "bigint"}
+#: What a later revision is told by, most significant first; nulls come before all values.
+ORDER = ("source_updated_at", "fetched_at", "payload_hash", "stage_file_name", "stage_file_row_number")
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class Winner(StatefulProcessor):
-    """Holds what the winning revision of an event is told by, and passes on each that takes its place."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", ", ".join(f"{c} {kind}" for c, kind in ORDER.items()))
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803  Spark's names
-        last = max(rows, key=lambda r: _rank([r[c] for c in ORDER]))
-        told = [last[c] for c in ORDER]
-        if not self.best.exists() or _rank(told) > _rank(self.best.get()):
-            self.best.update(tuple(told))
-            yield Row(**{c: last[c] for c in self.names})
-
-    def close(self) -> None:
-        pass
-
-
-def _rank(values: Sequence[Any]) -> tuple:
-    """Nulls come before all values, as they sort."""
-    return tuple((v is not None, 0 if v is None else v) for v in values)
-
-
 def session_for(spark: SparkSession) -> SparkSession:
-    """A session of its own with the state store that typed state needs; the caller's settings stay as they are."""
+    """A session of its own that keeps state beside the heap; the caller's settings stay as they are."""
     own = spark.newSession()
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         if (value := spark.conf.get(key, None)) is not None:
@@ -61,9 +33,15 @@ def session_for(spark: SparkSession) -> SparkSession:
 
 
 def changes(stream: DataFrame) -> DataFrame:
-    """A stream of revisions to the stream of those that became current."""
-    told = stream.withColumns({"updated": F.unix_micros("source_updated_at"), "fetched": F.unix_micros("fetched_at")})
-    return told.groupBy(KEY).transformWithState(Winner(stream.columns), stream.schema, "Update", "None")
+    """A stream of revisions to the stream of those that became current: a grouped maximum, which Spark keeps as state.
+
+    Of equal revisions the one that came first holds. A batch passes the winners on that came with it.
+    """
+    now = F.unix_micros(F.current_timestamp())  # one instant a batch
+    told = F.struct(*ORDER, (-F.col("came_at")).alias("came_at"))
+    best = stream.withColumn("came_at", now).groupBy(KEY).agg(F.max_by(F.struct(*(c for c in stream.columns if c != KEY), "came_at"), told).alias("best"))
+    names = (F.col(KEY) if c == KEY else F.col("best")[c].alias(c) for c in stream.columns)
+    return best.where(F.col("best")["came_at"] == now).select(*names)
 
 
 def maintain(spark: SparkSession, folder: str, schema: StructType, log: str, checkpoint: str, files_per_batch: int = 200) -> StreamingQuery:
