@@ -11,7 +11,8 @@ differ in at most D bits, so that a pair whose sketches differ in more than (|A|
 bits cannot be similar. Sketches are a few bits a shingle; texts are read for the pairs alone
 that they leave, and are compared whole.
 
-A first round compares the sets of a shared shingle with one of them, the one that has the
+A first round compares the pairs that a caller's fingerprints link (`simhash`), and the sets of a
+shared shingle with one of them, the one that has the
 fewest shingles of its own (an unchanged original, where there is one), so that a large group
 of near copies is one component early. Then all sets that share a shingle and
 lie in different components are compared: pairs of few rows by a join; where more than CROWD
@@ -26,7 +27,7 @@ and equal texts are told apart by hashes of 64 bits.
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,9 +41,10 @@ from revisio.llm.tokens import give_back, slices, text_batches
 from revisio.operators.components import connected_components
 from revisio.plans.lineage import Scratch
 
-SHINGLE, SEED, COMMON = 5, 42, 100_000
-#: The order of shingles follows one text in SAMPLE_EACH, or SAMPLE texts where that is more.
-SAMPLE, SAMPLE_EACH = 10_000, 64
+SHINGLE, SEED, COMMON = 5, 42, 400_000
+#: The order of shingles follows one text in SAMPLE_EACH, or SAMPLE texts where that is more: a share that thinned
+#: out as tables grow would take ever more frequent passages for rare ones, and pair their texts.
+SAMPLE, SAMPLE_EACH = 10_000, 5
 #: Rows (16 bytes each) up to which a side is broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS, SKETCH_BITS = 500_000, 1 << 23
 #: Rows of a shingle that are paired by a join, and rows of a part of a larger group.
@@ -113,14 +115,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, times: np.ndarray, mark: Callable[[np.ndarray], int] | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = 0
         for texts in _texts(batch.column(2)):
             sets = [shingle_set(t) for t in texts]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            rest = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary()), _lists([prefix(s, common, times) for s in sets])]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *rest], names=["id", "text_hash", "node", "n", "sketch", "keys"])
+            marks = pa.array([None if mark is None else mark(s) for s in sets], pa.int64())
+            rest = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), marks, pa.array([sketch(s) for s in sets], pa.binary()), _lists([prefix(s, common, times) for s in sets])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), *rest], names=["id", "text_hash", "node", "n", "print", "sketch", "keys"])
             at += len(texts)
         give_back()
 
@@ -160,7 +163,10 @@ def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     some = texts.where(F.pmod("text_hash", F.lit(every)) == 0).select("text_hash", "text").dropDuplicates(["text_hash"])
     seen = some.mapInArrow(_sets, "node bigint, shingles array<bigint>").select(F.explode("shingles").alias("s")).groupBy("s").count()
     rows = seen.where("count > 2").orderBy(F.desc("count"), "s").limit(COMMON).toPandas().sort_values("s")
-    return rows["s"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
+    out = rows["s"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
+    del rows
+    give_back()
+    return out
 
 
 def small_side(side: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -234,8 +240,8 @@ def _crowded_pairs(rows: DataFrame, slim: DataFrame, part: int) -> DataFrame:
     return dealt.join(slim, "node").repartition(*of).sortWithinPartitions(*of, "node").mapInPandas(_near_groups, "a bigint, b bigint").distinct()
 
 
-def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int = CROWD, part: int = PART) -> DataFrame:
-    """Similar pairs (a, b) that join all that is similar. shared: key, node, n, own (shingles of its prefix that no other has); sketches: node, n, sketch, text_hash; texts: text_hash, text."""
+def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int = CROWD, part: int = PART, first: DataFrame | None = None) -> DataFrame:
+    """Similar pairs (a, b) that join all that is similar. first: pairs to compare before all others. shared: key, node, n, own (shingles of its prefix that no other has); sketches: node, n, sketch, text_hash; texts: text_hash, text."""
     scratch = Scratch(shared.sparkSession, "jaccard-links")
     slim = sketches.select("node", "n", "sketch")
 
@@ -243,7 +249,8 @@ def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int =
         asked = scratch.cut(sketches.select("node", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), f"asked-{name}")
         return scratch.cut(texts.join(small_side(asked, asked.count()), "text_hash").dropDuplicates(["node"]).select("node", "text"), f"held-{name}")
 
-    near = scratch.cut(_compare(stars(open_rows(shared, None), F.struct("own", "node"), _fits), slim), "near-stars")
+    asked = stars(open_rows(shared, None), F.struct("own", "node"), _fits)
+    near = scratch.cut(_compare(asked if first is None else asked.union(first).distinct(), slim), "near-stars")
     found = scratch.cut(_confirm(near, texts_of(near, "stars")), "links-stars")
     # What is in different components by texts: all pairs that no round has compared.
     state = scratch.cut(open_rows(shared, connected_components(found)), "state-rest")
@@ -255,21 +262,26 @@ def links(shared: DataFrame, sketches: DataFrame, texts: DataFrame, crowd: int =
     return found.union(scratch.cut(_confirm(rest, texts_of(rest, "rest")), "links-rest"))
 
 
-def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **groups: int) -> DataFrame:
-    """One row per document: id, text_hash, root (the same for all that similar pairs join). groups: crowd and part of `links`."""
+def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: Callable[[np.ndarray], int] | None = None, linked: Callable[[DataFrame], DataFrame] | None = None, **groups: int) -> DataFrame:
+    """One row per document: id, text_hash, root (the same for all that similar pairs join).
+
+    mark: a fingerprint of a set of shingles; linked: sets (node, print) to the pairs (a, b) that
+    their fingerprints link, which are compared first. groups: crowd and part of `links`.
+    """
     scratch = Scratch(docs.sparkSession, "jaccard")
     kind = docs.schema[id_col].dataType.simpleString()
     text_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     common, times = _common(texts)
-    marked = scratch.cut(texts.mapInArrow(lambda it: _prefixes(it, common, times), f"id {kind}, text_hash bigint, node bigint, n int, sketch binary, keys array<bigint>"), "prefixes")
+    marked = scratch.cut(texts.mapInArrow(lambda it: _prefixes(it, common, times, mark), f"id {kind}, text_hash bigint, node bigint, n int, print bigint, sketch binary, keys array<bigint>"), "prefixes")
     rows = scratch.cut(marked.select("id", "text_hash", "node"), "rows")
-    sketches = scratch.cut(marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+    sketches = scratch.cut(marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("print").alias("print"), F.first("sketch").alias("sketch")), "sketches")
     each = marked.select("node", F.explode("keys").alias("key"))
     found = scratch.cut(shared_keys(each), "keys")
     of = found.groupBy("node").agg(F.count("*").alias("others")).join(sketches.select("node", "n"), "node")
     own = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1 - F.col("others")
     shared = scratch.cut(found.join(of.select("node", "n", own.alias("own")), "node"), "shared")
     scratch.drop("prefixes")
-    joined = connected_components(links(shared, sketches, texts.select("text_hash", "text"), **groups))
+    first = None if linked is None else linked(sketches.select("node", "print"))
+    joined = connected_components(links(shared, sketches, texts.select("text_hash", "text"), first=first, **groups))
     return rows.join(joined, "node", "left").select(F.col("id").alias(id_col), "text_hash", F.coalesce("component", "node").alias("root"))

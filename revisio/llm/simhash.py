@@ -67,9 +67,20 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
         n += len(hashes)
     if not n and kept:
         return xxhash.xxh64_intdigest(b" ".join(kept), SEED)
+    return _majority(counts, n)
+
+
+def _majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits((2 * counts > n).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
+def mark(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of shingles' hashes, as a signed long."""
+    counts = np.zeros(64, np.int64)
+    _add(counts, hashes)
+    return int(np.uint64(_majority(counts, len(hashes))).view(np.int64))
+
+
 class Forest:
     """BK-trees over arrays: one tree per group, built level by level for all groups at once."""
 
@@ -238,13 +249,27 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return marked.join(named, "print").select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def linked_sets(sets: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
+    """Rows (node, print) to pairs (a, b): each node with the least of its fingerprint, and the least ones of fingerprints that the forest links."""
+    scratch = Scratch(sets.sparkSession, "simhash-sets")
+    least = scratch.cut(sets.groupBy("print").agg(F.min("node").alias("least")), "distinct")
+    found = scratch.cut(links(least.select("print"), least.count(), radius, tree_size), "links")
+    of = lambda end: least.select(F.col("print").alias(end), F.col("least").alias(f"{end}_node"))
+    across = found.join(of("a"), "a").join(of("b"), "b").select("a_node", "b_node")
+    pairs = across.union(sets.join(least, "print").where(F.col("node") != F.col("least")).select("least", "node"))
+    return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near copies (`jaccard`), columns as they come.
+    """One row of each group of near copies, columns as they come.
+
+    Every set of shingles goes through the BK-tree forests; an exact check of whole texts
+    (`jaccard`) follows, which also finds the similar pairs that lie beyond the radius.
 
     The row of the least id stays (null ids last; among rows of one id, that of the least hash
     of its text; among equal ones, any).
     """
-    found = jaccard.components(docs, id_col=id_col, text_col=text_col)
+    found = jaccard.components(docs, id_col=id_col, text_col=text_col, mark=mark, linked=linked_sets)
     scratch = Scratch(docs.sparkSession, "keep-one")
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("hash"))
     each = scratch.cut(found.groupBy(F.col(id_col).alias("id"), "text_hash").agg(F.first("root").alias("root"), F.count("*").alias("rows"), F.min(rank).alias("rank")), "rows")

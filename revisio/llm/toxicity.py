@@ -232,6 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     twins = [(i, np.array(t["lost"], np.int64), np.array(t["gained"], np.int64)) for i, ts in enumerate(found.column("twins").to_pylist()) for t in ts]
     model = train(x, twins, np.array(found.column("y").to_pylist(), float), **options)
     model.twins = len(twins)
+    del found, lists, values, x, twins  # the driver lives on through a pipeline's other stages
+    give_back()
     return model
 
 

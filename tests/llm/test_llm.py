@@ -237,6 +237,24 @@ def test_keep_one(spark, odd):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == [(1, text), (5, other), (None, "c d")]
 
 
+def test_keep_one_goes_through_the_forest(spark, monkeypatch):
+    """Sets are linked by fingerprints first; what these link wrongly is refuted, what they miss is found."""
+    words = [f"w{k}" for k in range(200)]
+    near, far = [*words[:199], "other"], [f"x{k}" if k % 40 == 0 else w for k, w in enumerate(words)]
+    sets = [jaccard.shingle_set(" ".join(w).encode()) for w in (words, near, far, [f"v{k}" for k in range(50)])]
+    prints = [simhash.mark(s) for s in sets]
+    apart = [(a ^ prints[0]).bit_count() if (a ^ prints[0]) >= 0 else ((a ^ prints[0]) + 2**64).bit_count() for a in prints]
+    assert apart[1] <= simhash.RADIUS < apart[3]
+    found = {(r.a, r.b) for r in simhash.linked_sets(spark.createDataFrame([*zip(range(4), prints, strict=True), (9, prints[3])], "node bigint, print bigint")).collect()}
+    assert {(0, 1), (3, 9)} <= found and (0, 3) not in found
+    asked, real = [], simhash.linked_sets
+    monkeypatch.setattr(simhash, "linked_sets", lambda s: asked.append(s.count()) or real(s))
+    rows = [(k, " ".join(w)) for k, w in enumerate((words, near, far, words, ["a", "b"]))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    want = brute_near_copies(rows)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(min(i for i, k in enumerate(want) if k == w) for w in set(want)) and asked == [4]
+
+
 def test_sketches_bound_the_difference():
     """Sketches never tell more than the true difference, and tell apart what is far from similar."""
     rng = np.random.default_rng(6)
