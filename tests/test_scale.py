@@ -152,6 +152,20 @@ def test_ranges_by_bins_equal_all_pairs(spark, ranges):
     assert intervals.in_ranges(a, "at", b.limit(0), "s", "e", ["k"]).count() == 0
 
 
+def test_few_long_ranges_are_dealt_to_many_bins(spark):
+    """Rare lengths take narrower bins, so that no bin holds all ranges and rows of a long time; the rows dealt stay in proportion."""
+    short = [(k, T0 + timedelta(minutes=7 * k), T0 + timedelta(minutes=7 * k + 60)) for k in range(2000)]
+    long = [(5000 + k, T0 + timedelta(hours=k), T0 + timedelta(hours=k + 200)) for k in range(20)]
+    b = spark.createDataFrame(short + long, "j int, s timestamp, e timestamp")
+    held, widths = intervals.dealt(b, "s", "e")
+    bins = {r.j: r.n for r in held.groupBy("j").agg(F.count("*").alias("n")).collect()}
+    assert all(bins[k] <= 4 for k, *_ in short) and all(32 <= bins[k] <= intervals.SPREAD + 1 for k, *_ in long)
+    assert {r.level for r in held.select("level").distinct().collect()} == set(widths)
+    rows = [(k, T0 + timedelta(minutes=11 * k)) for k in range(1500)]
+    found = intervals.in_ranges(spark.createDataFrame(rows, "i int, at timestamp"), "at", b, "s", "e")
+    assert sorted((r.i, r.j) for r in found.collect()) == sorted((i, j) for i, at in rows for j, s, e in short + long if s <= at < e)
+
+
 def brute_cover(held):
     upto, stretches, nested, overlapping = None, 0, 0, 0
     for s, e in sorted((s, max(s, e)) for s, e in held):
