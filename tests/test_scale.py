@@ -129,6 +129,12 @@ def test_grid_equals_all_pairs(spark):
         grid.within(points, sites, 0)
 
 
+def test_sites_are_dealt_to_few_cells(spark):
+    """What is shuffled of the sites is about five rows each."""
+    sites = spark.createDataFrame(places(3000, 2), "s int, site_latitude double, site_longitude double")
+    assert grid.with_cells(sites, 150).count() < 6 * 3000
+
+
 # ---- many ranges and nested windows [C3, I7]
 
 
