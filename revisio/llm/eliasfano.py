@@ -2,6 +2,7 @@
 
 A sequence of n ascending numbers below u keeps the low log2(u / n) bits of each packed side by
 side, and the high bits as a unary bit vector: about two bits more than that for each number.
+Few questions are answered where they stand; for many the sequence is read once from end to end.
 Everything is an array of a single buffer at aligned places, so that a trie opens from bytes that
 Arrow hands over, or from a mapped file, without a copy. All queries take arrays.
 """
@@ -14,6 +15,7 @@ from collections.abc import Mapping
 import numpy as np
 
 _PAD = 16
+_MANY = 8  # one reading of the whole sequence costs less than so many numbers a question
 
 
 def _low_bits(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,8 +84,16 @@ class Sequence:
         some = every[bit >> 3] >> (bit & 7).astype(np.uint64)
         return np.bitwise_count((some ^ (some + np.uint64(1))) >> np.uint64(1)).astype(np.int64)
 
+    def every(self) -> np.ndarray:
+        """All numbers, read from the first to the last."""
+        ones = np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little").view(np.bool_))
+        index = np.arange(self.n)
+        return ((ones - index).astype(np.uint64) << np.uint64(self.width)) | self._lows(index)
+
     def get(self, index: np.ndarray) -> np.ndarray:
         index = np.asarray(index, np.int64)
+        if len(index) * _MANY > self.n:
+            return self.every()[index]
         word = np.searchsorted(self.ones, index, side="right") - 1
         place = word * 64 + _nth_one(self.words[word], index - self.ones[word])
         return ((place - index).astype(np.uint64) << np.uint64(self.width)) | self._lows(index)
@@ -93,6 +103,10 @@ class Sequence:
         wanted = np.asarray(wanted, np.uint64)
         if not self.n:
             return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.bool_)
+        if len(wanted) * _MANY > self.n:
+            every = self.every()
+            at = np.searchsorted(every, wanted)
+            return at, every[np.minimum(at, self.n - 1)] == wanted
         most = len(self.words) * 64 - self.n - 65  # more than any high part, and eight bytes before the end
         high = np.minimum(wanted >> np.uint64(self.width), np.uint64(most)).astype(np.int64)
         beyond = (wanted >> np.uint64(self.width)) > np.uint64(most)
@@ -213,7 +227,8 @@ class Trie:
 
     def successors(self, node: np.ndarray) -> np.ndarray:
         """How many words have followed each context: the distance of two pointers."""
-        return (self.pointers.get(node + 1) - self.pointers.get(node)).astype(np.int64)
+        ends = self.pointers.get(np.concatenate([node, node + 1]))
+        return (ends[len(node) :] - ends[: len(node)]).astype(np.int64)
 
     def context_value(self, node: np.ndarray) -> np.ndarray:
         return self.parts["context_values"][self.parts["context"][node]].astype(np.float64)

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,6 @@ from revisio.plans.lineage import Scratch
 ORDER, ORDER_MOST, DISCOUNT, BITS, SHARD_ROWS, HOT_ROWS = 3, 5, 0.75, 8, 1_500_000, 400_000
 BLOCK_BYTES, BLOCK_DOCS = 12_000_000, 300_000
 START, END = 0, 1  # places of the two marks before the words
-_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ZSTD = pa.Codec("zstd", compression_level=1)
 _BLOCKS = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, start bigint, tokens binary, n_tokens bigint, n_words bigint, keys binary, checks binary"
 _LEARNT = "block bigint, row array<bigint>, doc_id array<bigint>, learn array<boolean>, size array<bigint>, lead array<int>, start bigint, tokens binary, ids binary, counts binary"
@@ -124,7 +124,7 @@ def _unsigned(key: int) -> int:
 def _cut_words(raw: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """(begin of each word, distinct words, number of each word among them)."""
     chars = np.frombuffer(raw.lower(), np.uint8)  # of bytes, A-Z alone
-    solid = ~_IS_SPACE[chars]
+    solid = (chars != 32) & (chars - np.uint8(9) > 4)
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     begins = np.flatnonzero(first)
@@ -133,7 +133,9 @@ def _cut_words(raw: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     data = chars[solid]
     ends = np.append(np.flatnonzero(first[solid]), len(data)).astype(np.int32)
     words = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
-    return begins, words.dictionary.to_pylist(), words.indices.to_numpy()
+    _, places, held = words.dictionary.buffers()
+    places, held = np.frombuffer(places, np.int32, len(words.dictionary) + 1).tolist(), held.to_pybytes()
+    return begins, [held[a:b] for a, b in pairwise(places)], words.indices.to_numpy()
 
 
 def _keys(words: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -385,9 +387,10 @@ def _learnt_trie(columns: list[np.ndarray], counts: np.ndarray, hot: Hot, discou
         total = np.where(at >= 0, hot.counts[at], total)
     context = np.cumsum(new) - 1
     leaf = np.maximum(counts - discount, 0) / total[context] if len(counts) else np.empty(0)
-    words = np.sort(np.concatenate([columns[-1], *(c[begins] for c in columns[:-1])]))
-    words = words[np.append(True, words[1:] != words[:-1])[: len(words)]]
-    trie = Trie.build(words, [np.searchsorted(words, c) for c in columns], leaf, total.astype(np.float64), bits)
+    every = np.concatenate([columns[-1], *(c[begins] for c in columns[:-1])])
+    first, which = rank(every)
+    last, *before = np.split(which, len(counts) + len(begins) * np.arange(len(columns) - 1))
+    trie = Trie.build(every[first], [*(b[context] for b in before), last], leaf, total.astype(np.float64), bits)
     return trie, at[at >= 0], np.diff(np.append(begins, len(counts)))[at >= 0]
 
 

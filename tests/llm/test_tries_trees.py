@@ -39,6 +39,22 @@ def test_sequence_with_a_long_bucket():
     assert (s.successor(asked)[0] == np.searchsorted(values, asked)).all()
 
 
+def test_many_questions_read_a_sequence_once(monkeypatch):
+    """As many as the numbers are answered without a search for each, and alike to few."""
+    rng = np.random.default_rng(5)
+    values = np.sort(np.concatenate([rng.integers(0, 1 << 60, 4000, np.uint64), rng.integers(0, 5000, 4000, np.uint64), np.array([0, 0, 7, 7, 1 << 63], np.uint64)]))
+    s = eliasfano.Sequence.pack(values)
+    asked = np.concatenate([rng.choice(values, 500), rng.integers(0, 1 << 61, 398, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    index = rng.integers(0, len(values), 900)
+    few = [(s.get(index[k : k + 90]), *s.successor(asked[k : k + 90])) for k in range(0, 900, 90)]  # less than an eighth of the numbers each
+    monkeypatch.setattr(eliasfano, "_nth_one", None)
+    assert (s.get(np.arange(len(values))) == values).all()
+    many = [np.tile(x, 9) for x in (index, asked)]
+    got = (s.get(many[0])[:900], *(x[:900] for x in s.successor(many[1])))
+    assert all((np.concatenate([f[k] for f in few]) == got[k]).all() for k in range(3))
+    assert (got[1] == np.searchsorted(values, asked)).all() and (got[2] == np.isin(asked, values)).all()
+
+
 def test_codes_are_exact_or_within_a_step():
     few = np.array([0.5, 0.25, 0.5, 1e-9])
     code, mean = eliasfano.codebook(few)
