@@ -172,6 +172,26 @@ def test_few_long_ranges_are_dealt_to_many_bins(spark):
     assert sorted((r.i, r.j) for r in found.collect()) == sorted((i, j) for i, at in rows for j, s, e in short + long if s <= at < e)
 
 
+def test_equal_ranges_come_pack_by_pack(spark, tmp_path, monkeypatch):
+    """Rows of equal ranges repeat in the order that a store by columns writes short, and one crowded bin is dealt to several tasks."""
+    monkeypatch.setattr(intervals, "LOOKS", 500, raising=False)
+    starts = [T0 + timedelta(hours=9 * (j % 12)) for j in range(4800)]
+    b = spark.createDataFrame([(j * 7, j % 2, s, s + timedelta(hours=j // 12 % 3)) for j, s in enumerate(starts)], "j long, k int, s timestamp, e timestamp")
+    a = spark.createDataFrame([(i * 13, i % 2, T0 + timedelta(minutes=i % 40 + 60 * 27 * (i % 3 == 0))) for i in range(4000)], "i long, k int, at timestamp")
+    found = intervals.in_ranges(a, "at", b, "s", "e", ["k"])
+    assert found.columns == ["k", "i", "at", "j", "s", "e"]
+    want = a.join(b, "k").where("at >= s AND at < e").select("i", "j")
+    found.select("i", "j", F.spark_partition_id().alias("task")).write.parquet(f"{tmp_path}/found")
+    stored = spark.read.parquet(f"{tmp_path}/found")
+    assert stored.count() == want.count() > 500_000 and stored.select("i", "j").exceptAll(want).isEmpty()
+    assert stored.select("task").distinct().count() > 4
+    assert sum(f.stat().st_size for f in (tmp_path / "found").glob("*.parquet")) < 0.5 * stored.count()
+    held = intervals.packed(b, "s", "e", ["k"])
+    assert held.count() < 100 and held.select(F.sum(F.size("pack"))).first()[0] == b.where("s < e").count() and held.select(F.max(F.size("pack"))).first()[0] <= intervals.PACK
+    bare = intervals.in_ranges(a, "at", b.drop("j", "k"), "s", "e")
+    assert bare.columns == ["i", "k", "at", "s", "e"] and bare.count() == a.drop("k").join(b.drop("j", "k")).where("at >= s AND at < e").count()
+
+
 def brute_cover(held):
     upto, stretches, nested, overlapping = None, 0, 0, 0
     for s, e in sorted((s, max(s, e)) for s, e in held):
